@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.scalars import month_label
-from ledgerline.operators.ordered import exact_percentiles, one_row
+from ledgerline.operators.ordered import constants, exact_percentiles
 from ledgerline.operators.reshape import melt, rows_of
 from ledgerline.operators.scaling import minmax
 from ledgerline.operators.series import join_on
@@ -87,8 +87,10 @@ def count_if(df: DataFrame, tests: Mapping[str, Column]) -> DataFrame:
     return df.agg(*[F.count_if(test).alias(name) for name, test in tests.items()])
 
 
-def group_median(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    medians = exact_percentiles(df, cols, [0.5], keys)
+def group_median(
+    df: DataFrame, keys: Sequence[str], cols: Sequence[str], method: str = "auto"
+) -> DataFrame:
+    medians = exact_percentiles(df, cols, [0.5], keys, method)
     return medians.select(*keys, *[F.col(c)[0].alias(c) for c in cols])
 
 
@@ -112,7 +114,7 @@ def describe_exact(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             for c in cols
         ]
     )
-    quartiles = one_row(exact_percentiles(df, cols, [0.25, 0.5, 0.75]))
+    quartiles = constants(exact_percentiles(df, cols, [0.25, 0.5, 0.75]))
     picked = F.array(
         *[
             F.struct(
@@ -163,7 +165,7 @@ def missing_ranking(df: DataFrame, k: int = 20) -> DataFrame:
 
 def iqr_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
     """(column, q1, q3, iqr, low, high, n_outliers, outlier_pct) by quartile fences."""
-    q = one_row(exact_percentiles(df, cols, [0.25, 0.75]))
+    q = constants(exact_percentiles(df, cols, [0.25, 0.75]))
 
     def summary(c: str) -> Column:
         q1, q3 = q[c][0], q[c][1]
@@ -171,11 +173,11 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFram
         outside = F.count_if((F.col(c) < q1 - reach) | (F.col(c) > q3 + reach))
         return F.struct(
             F.lit(c).alias("column"),
-            F.max(q1).alias("q1"),
-            F.max(q3).alias("q3"),
-            F.max(q3 - q1).alias("iqr"),
-            F.max(q1 - reach).alias("low"),
-            F.max(q3 + reach).alias("high"),
+            q1.alias("q1"),
+            q3.alias("q3"),
+            (q3 - q1).alias("iqr"),
+            (q1 - reach).alias("low"),
+            (q3 + reach).alias("high"),
             outside.alias("n_outliers"),
             (F.try_divide(outside.cast("double"), F.count(F.lit(1))) * 100).alias("outlier_pct"),
         )
@@ -208,7 +210,7 @@ def trend_line(df: DataFrame, x: str, y: str, keys: Sequence[str] = ()) -> DataF
 def histogram(df: DataFrame, col: str, bins: int = 50, keys: Sequence[str] = ()) -> DataFrame:
     """(keys, bin, low, high, n): equal-width bins over the whole range, the last one closed, empty ones kept."""
     v = F.col(col).cast("double")
-    edge = one_row(df.agg(F.min(v).alias("lo"), F.max(v).alias("hi")))
+    edge = constants(df.agg(F.min(v).alias("lo"), F.max(v).alias("hi")))
     width = (edge["hi"] - edge["lo"]) / bins
     at = F.least(F.coalesce(F.floor(F.try_divide(v - edge["lo"], width)), F.lit(0)), F.lit(bins - 1))
     counts = (

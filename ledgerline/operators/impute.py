@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.operators.aggregates import group_median
-from ledgerline.operators.ordered import one_row
+from ledgerline.operators.ordered import constants, percentile_method
 from ledgerline.operators.series import join_on
+from ledgerline.storage import checkpointed
 
 
 def impute_median(
@@ -33,30 +34,41 @@ def impute_median(
         null_before = null_before | F.col(c).isNull()
     df = df.withColumn(flag, null_before)
 
+    sizes = df.groupBy(entity).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"), F.sum("n")).first()
+    per_entity, overall = (percentile_method(n or 0) for n in sizes)
     later = df.filter(F.col(year) >= cutoff)
-    global_later = one_row(group_median(later, [], cols))
-    global_all = one_row(group_median(df, [], cols))
+    global_later = constants(group_median(later, [], cols, overall))
+    global_all = constants(group_median(df, [], cols, overall))
     fallback = {c: F.coalesce(global_later[c], global_all[c]) for c in cols}
-
-    own = group_median(later, [entity], cols).withColumnsRenamed({c: f"__m_{c}" for c in cols})
     early = F.col(year) < cutoff
-    first = join_on(df, own, [entity]).withColumns(
-        {c: F.coalesce(F.col(c), F.when(early, F.coalesce(F.col(f"__m_{c}"), fallback[c]))) for c in cols}
-    ).drop(*[f"__m_{c}" for c in cols])
 
-    own_all = group_median(first, [entity], cols).withColumnsRenamed({c: f"__m_{c}" for c in cols})
-    filled_all = one_row(group_median(first, [], cols))
+    def filled(frame: DataFrame, source: DataFrame, names: Sequence[str], fill) -> DataFrame:
+        own = group_median(source, [entity], names, per_entity).withColumnsRenamed({c: f"__m_{c}" for c in names})
+        joined = join_on(frame, own, [entity])
+        return joined.withColumns({c: F.coalesce(F.col(c), fill(c)) for c in names}).drop(
+            *[f"__m_{c}" for c in names]
+        )
+
+    # Stage 2 reads the stage-1 result several times, so it is stored once.
+    first = checkpointed(
+        filled(df, later, cols, lambda c: F.when(early, F.coalesce(F.col(f"__m_{c}"), fallback[c])))
+    )
+    left = first.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
+    open_cols = [c for c in cols if left[c]]
+    if not open_cols:
+        return first
+    overall_now = constants(group_median(first, [], open_cols, overall))
     no_value = lambda c: F.raise_error(F.lit(f"no median for {c}")).cast("double")
-    return join_on(first, own_all, [entity]).withColumns(
-        {
-            c: F.coalesce(F.col(c), F.col(f"__m_{c}"), filled_all[c], fallback[c], no_value(c))
-            for c in cols
-        }
-    ).drop(*[f"__m_{c}" for c in cols])
+    return filled(
+        first,
+        first,
+        open_cols,
+        lambda c: F.coalesce(F.col(f"__m_{c}"), overall_now[c], fallback[c], no_value(c)),
+    )
 
 
 def fill_global_median(df: DataFrame, col: str, year: str, cutoff: int = 2006) -> DataFrame:
     """Fill one column with its global median over the years from `cutoff` on."""
     later = df.filter(F.col(year) >= cutoff)
-    median = one_row(group_median(later, [], [col]))[col]
+    median = constants(group_median(later, [], [col]))[col]
     return df.withColumn(col, F.coalesce(F.col(col), median))

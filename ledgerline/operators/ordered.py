@@ -18,9 +18,21 @@ BRACKET_ACCURACY = 100_000
 SEGMENTS = 512
 
 
-def one_row(df: DataFrame) -> Column:
-    """All columns of a one-row frame as one scalar-subquery struct."""
-    return df.select(F.struct(*df.columns).alias("row")).scalar()
+def constants(df: DataFrame) -> dict[str, Column]:
+    """The values of a one-row summary as literals.
+
+    The row is read when the plan is built: a summary used by many columns, or by later summaries, stays one
+    small job instead of a subquery copied into every expression.
+    """
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    row = df.first()
+    return {c: _literal(row[c], kinds[c]) for c in df.columns}
+
+
+def _literal(value, kind) -> Column:
+    if isinstance(value, list):
+        return F.array(*[F.lit(v).cast(kind.elementType) for v in value])
+    return F.lit(value).cast(kind)
 
 
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
@@ -28,6 +40,10 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     return sizes.agg(F.max("n")).first()[0] or 0
 
 
+def percentile_method(rows: int) -> str:
+    return "direct" if rows <= DIRECT_ROWS else "bracket"
+
+
 def exact_percentiles(
     df: DataFrame,
     cols: Sequence[str],
@@ -37,7 +53,7 @@ def exact_percentiles(
 ) -> DataFrame:
     """Linearly interpolated percentiles per group: one row per key, one array column per input column."""
     if method == "auto":
-        method = "direct" if largest_group(df, keys) <= DIRECT_ROWS else "bracket"
+        method = percentile_method(largest_group(df, keys))
     if method == "direct":
         wanted = F.array(*[F.lit(float(p)) for p in probs])
         return df.groupBy(*keys).agg(*[F.percentile(F.col(c).cast("double"), wanted).alias(c) for c in cols])

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerline import fixed
 from ledgerline.operators.clusters import assemble
-from ledgerline.operators.ordered import one_row, running_totals
+from ledgerline.operators.ordered import constants, running_totals
 from ledgerline.operators.reshape import rows_of
 
 
@@ -24,7 +24,7 @@ def balanced_weight(df: DataFrame, label: str, out: str = "weight") -> DataFrame
         F.sum("n").alias("total"),
         F.count(F.lit(1)).alias("classes"),
     )
-    row = one_row(table)
+    row = table.select(F.struct("m", "total", "classes")).scalar()
     return df.withColumn(out, row["total"] / (row["classes"] * F.element_at(row["m"], F.col(label))))
 
 
@@ -119,7 +119,7 @@ def auc(df: DataFrame, label: str, prob: str) -> DataFrame:
 def roc_points(df: DataFrame, label: str, prob: str) -> DataFrame:
     """(threshold, fpr, tpr) for every distinct score, plus the origin at an infinite threshold."""
     ordered = running_totals(_by_score(df, label, prob), "score", ["pos", "neg"])
-    total = one_row(_by_score(df, label, prob).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
+    total = constants(_by_score(df, label, prob).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
     left = lambda c: (total[c] - F.col(f"cum_{c}") + F.col(c)).cast("double")
     points = ordered.select(
         F.col("score").alias("threshold"),

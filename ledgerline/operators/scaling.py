@@ -7,15 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.ordered import one_row
+from ledgerline.operators.ordered import constants
 from ledgerline.operators.series import join_on
 
 
 def _with_stats(df: DataFrame, stats: dict[str, Column], keys: Sequence[str]):
-    """The frame plus a way to read each statistic: a scalar subquery, or a column joined on the keys."""
+    """The frame plus a way to read each statistic: a literal, or a column joined on the keys."""
     summary = df.groupBy(*keys).agg(*[e.alias(f"__{n}") for n, e in stats.items()])
     if not keys:
-        row = one_row(summary)
+        row = constants(summary)
         return df, lambda n: row[f"__{n}"], []
     return join_on(df, summary, keys), lambda n: F.col(f"__{n}"), [f"__{n}" for n in stats]
 
@@ -71,5 +71,5 @@ def normalize_percent(df: DataFrame, cols: Sequence[str], limit: float = 1.5) ->
     cols = [c for c in cols if c in df.columns]
     if not cols:
         return df
-    peak = one_row(df.agg(*[F.max(F.abs(c)).alias(c) for c in cols]))
+    peak = constants(df.agg(*[F.max(F.abs(c)).alias(c) for c in cols]))
     return df.withColumns({c: F.when(peak[c] > limit, F.col(c) / 100.0).otherwise(F.col(c)) for c in cols})

@@ -20,6 +20,7 @@ from ledgerline.operators.series import Series
 from ledgerline.operators.windows import dedupe_first, ffill, pct_change
 from ledgerline.sources.tables import rename_aliases
 from ledgerline.spec import RunContext, with_audit
+from ledgerline.storage import checkpointed
 
 
 @dataclass(frozen=True)
@@ -219,7 +220,9 @@ def bank_performance(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(fact, bank dimension, column profile) from yearly statements and the bank list."""
     dim = bank_dim(banks)
-    df = lookup_join(standardize_banks(raw), dim.select("bank_key", "bank_code"), ["bank_code"])
+    # Stored once: the key check, the medians and the fact all read it.
+    df = checkpointed(standardize_banks(raw))
+    df = lookup_join(df, dim.select("bank_key", "bank_code"), ["bank_code"])
     df = impute_median(df, "bank_code", "year", fixed.IMPUTED_RATIOS, fixed.IMPUTE_CUTOFF_YEAR)
     columns = [c for c in fixed.FACT_BANK_PERFORMANCE if c in df.columns]
     shaped = df.select(*columns)

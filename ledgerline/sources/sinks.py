@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -14,24 +13,7 @@ from ledgerline.operators.joins import require_unique
 from ledgerline.operators.reshape import union_all
 from ledgerline.sources.tables import coerce_types, conform
 from ledgerline.spec import RunContext, TableSpec
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared scratch folder; only a local session without one gets a temporary folder."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="ledgerline-")
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage through reliable storage, so a lost executor does not redo or change the work."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+from ledgerline.storage import checkpointed
 
 
 def _with_partitions(df: DataFrame, spec: TableSpec) -> DataFrame:

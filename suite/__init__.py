@@ -1,6 +1,6 @@
 """Queries over the driver's tables, each with its SQL twin where SQL can say it."""
 
-from suite import ingest
+from suite import ingest, warehouse
 from suite.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "ingest"]
+__all__ = ["ORACLES", "QUERIES", "ingest", "warehouse"]

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators.series import Series
+from ledgerline.operators.windows import latest_row
 from ledgerline.plans.facts import bars_from_ticks
-from ledgerline.sources.sinks import shared_folder
 from ledgerline.spec import RunContext
+from ledgerline.storage import shared_folder
 
 RUN = RunContext(20240102030405, dt.datetime(2024, 1, 2, 3, 4, 5), "orders.parquet", "run-1")
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -176,17 +177,9 @@ def customer_features(spark: SparkSession, sf: str) -> DataFrame:
 # Two snapshots of a customer's latest order, for versioned dimensions and upserts.
 def snapshot(spark: SparkSession, sf: str, until: str) -> DataFrame:
     orders = table(spark, sf, "orders").filter(F.col("o_orderdate") < F.lit(until).cast("timestamp_ntz"))
-    at = F.struct("o_orderdate", "o_orderkey")
-    return orders.groupBy(F.col("o_custkey").alias("cust")).agg(
-        F.max_by("o_orderpriority", at).alias("tier"),
-        F.max_by("o_orderstatus", at).alias("status"),
-        F.max_by(F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice")), at).alias("capital"),
+    return latest_row(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"]).select(
+        F.col("o_custkey").alias("cust"),
+        F.col("o_orderpriority").alias("tier"),
+        F.col("o_orderstatus").alias("status"),
+        F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice")).alias("capital"),
     )
-
-
-def snapshot_sql(name: str, until: str) -> str:
-    return f"""{name} AS (
-  SELECT o_custkey AS cust, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) AS tier,
-         arg_max(o_orderstatus, (o_orderdate, o_orderkey)) AS status,
-         arg_max_null(CASE WHEN o_orderstatus = 'F' THEN o_totalprice END, (o_orderdate, o_orderkey)) AS capital
-  FROM orders WHERE o_orderdate < TIMESTAMP '{until}' GROUP BY 1)"""
