@@ -26,7 +26,7 @@ class Series:
 
     keys: tuple[str, ...]
     order: tuple[str, ...]
-    segment: Column | None = None
+    segment: Column | str | None = None  # a column or a SQL expression
     chunk_rows: int = 1_000_000
 
     @classmethod
@@ -34,12 +34,16 @@ class Series:
         cls,
         keys: str | Sequence[str],
         order: str | Sequence[str],
-        segment: Column | None = None,
+        segment: Column | str | None = None,
         chunk_rows: int = 1_000_000,
     ) -> "Series":
         as_tuple = lambda x: (x,) if isinstance(x, str) else tuple(x)
         return cls(as_tuple(keys), as_tuple(order), segment, chunk_rows)
 
+    @property
+    def segment_column(self) -> Column:
+        return F.expr(self.segment) if isinstance(self.segment, str) else self.segment
+
     @property
     def window(self) -> WindowSpec:
         return W.partitionBy(*self.keys).orderBy(*self.order)
@@ -59,7 +63,7 @@ def position(df: DataFrame, s: Series, out: str = _POS) -> DataFrame:
     """1-based row number inside each series, exact and without gathering a series in one task."""
     if s.segment is None:
         return df.withColumn(out, F.row_number().over(s.window).cast("bigint"))
-    df = df.withColumn(_SEG, s.segment)
+    df = df.withColumn(_SEG, s.segment_column)
     part = [*s.keys, _SEG]
     before = W.partitionBy(*s.keys).orderBy(_SEG).rowsBetween(W.unboundedPreceding, -1)
     offsets = (
@@ -106,7 +110,7 @@ def carried(df: DataFrame, s: Series, columns: dict[str, str]) -> DataFrame:
     if s.segment is None:
         past = s.window.rowsBetween(W.unboundedPreceding, -1)
         return df.withColumns({o: F.last(c, ignorenulls=True).over(past) for c, o in columns.items()})
-    df = df.withColumn(_SEG, s.segment)
+    df = df.withColumn(_SEG, s.segment_column)
     part = [*s.keys, _SEG]
     at = F.struct(*s.order)
     ends = df.groupBy(*part).agg(
