@@ -6,19 +6,16 @@ run over all series together.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline import fixed
 from ledgerline.operators.aggregates import forecast_metrics
 from ledgerline.operators.joins import next_business_days
-from ledgerline.operators.reshape import union_all
 from ledgerline.operators.series import Series, join_on
 from ledgerline.operators.windows import diff, lags, last_n_rows, latest_row, ma_forecast, sequences, series_split
 
@@ -36,6 +33,37 @@ def _scaled_by_train(df: DataFrame, s: Series, cols: Sequence[str], ratio: float
     )
 
 
+def joint_moments(df: DataFrame, vector: str, size: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """(rows, means, centred cross products) of an array column, in one pass: each task sums its own rows and
+    Spark adds the partial sums."""
+
+    def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((size + 1, size + 1))
+        for b in batches:
+            rows = np.stack(b[vector].to_numpy()) if len(b) else np.zeros((0, size))
+            full = np.hstack([np.ones((len(rows), 1)), rows])
+            total += full.T @ full
+        yield pd.DataFrame({"i": upper[0], "j": upper[1], "g": total[upper]})
+
+    upper = tuple(x.astype("int32") for x in np.triu_indices(size + 1))
+    parts = df.select(vector).mapInPandas(part, "i int, j int, g double")
+    sums = parts.groupBy("i", "j").agg(F.sum("g").alias("g")).toPandas()  # one row per matrix cell
+    gram = np.zeros((size + 1, size + 1))
+    gram[sums["i"], sums["j"]] = gram[sums["j"], sums["i"]] = sums["g"]
+    n = int(gram[0, 0])
+    mean = gram[0, 1:] / n
+    return n, mean, gram[1:, 1:] - n * np.outer(mean, mean)
+
+
+def _ridge(n: int, mean: np.ndarray, cross: np.ndarray, x: list[int], y: list[int], strength: float) -> np.ndarray:
+    """Coefficients (rows: constant, then x) of each target; the penalty acts on standardised features."""
+    sxx = cross[np.ix_(x, x)] / n
+    scale = np.diag(sxx).copy()
+    scale[scale <= 0] = 1.0  # a constant feature gets weight 0
+    beta = np.linalg.solve(sxx + strength * np.diag(scale), cross[np.ix_(x, y)] / n)
+    return np.vstack([mean[y] - mean[x] @ beta, beta])
+
+
 def train_forecaster(
     df: DataFrame,
     s: Series,
@@ -47,55 +75,81 @@ def train_forecaster(
     ratio: float = fixed.TRAIN_SHARE,
     ridge: float = 1e-4,
 ) -> dict[str, DataFrame]:
-    """Fit one regression per model and horizon over all series, on the last `window` rows of each feature.
+    """Linear models of the next `horizon` values on the last `window` rows of each feature, over all series.
 
-    Returns `metrics` (key, model, horizon, n, rmse, mae, mape), `pooled` (over horizons), `best` (lower pooled
-    RMSE per series) and `predictions` (base, key, horizon label, predicted, model).
+    All models and horizons share one training pass: their normal equations are blocks of the same joint
+    moments. Returns `metrics` (key, model, horizon, n, rmse, mae, mape), `pooled` (over horizons), `best`
+    (lower pooled RMSE per series) and `predictions` (base, key, horizon label, predicted, model).
     """
     features = list(dict.fromkeys([target, *[f for fs in models.values() for f in fs]]))
     order = s.order[0]
     recent = last_n_rows(df.select(*s.keys, *s.order, *features), s.keys, s.order, history)
     scaled = _scaled_by_train(recent, s, features, ratio).persist()
     bounds = scaled.select(*s.keys, f"{target}_lo", f"{target}_hi").distinct()
+    cols = [f"{f}_s" for f in features]
+    width = window * len(features)
+
+    sets = series_split(sequences(scaled, s, cols, f"{target}_s", window, horizon), s, ratio)
+    train = sets.filter("is_train").select(F.concat(F.flatten("x"), "y").alias("v"))
+    n, mean, cross = joint_moments(train, "v", width + horizon)
+    weights = np.zeros((width + 1, len(models) * horizon))
+    for m, fs in enumerate(models.values()):
+        used = {features.index(f) for f in fs}
+        x = [i for i in range(width) if i % len(features) in used]
+        beta = _ridge(n, mean, cross, x, list(range(width, width + horizon)), ridge)
+        weights[[0, *[i + 1 for i in x]], m * horizon : (m + 1) * horizon] = beta
+
+    @F.pandas_udf("array<double>")
+    def predict(x: pd.Series) -> pd.Series:
+        if x.empty:
+            return pd.Series([], dtype=object)
+        return pd.Series(list(weights[0] + np.stack(x.to_numpy()) @ weights[1:]))
+
     back = lambda v: v * (F.col(f"{target}_hi") - F.col(f"{target}_lo")) + F.col(f"{target}_lo")
-    vector = array_to_vector(F.flatten("x")).alias("features")
-    tested, ahead = [], []
-    for name, fs in models.items():
-        cols = [f"{f}_s" for f in fs]
-        sets = series_split(sequences(scaled, s, cols, f"{target}_s", window, horizon), s, ratio)
-        sets = sets.select(*s.keys, *s.order, "is_train", "y", vector).persist()
-        last = latest_row(sequences(scaled, s, cols, f"{target}_s", window, 0), s.keys, s.order)
-        last = last.select(*s.keys, *s.order, vector)
-        for h in range(1, horizon + 1):
-            train = sets.filter("is_train").select("features", F.col("y")[h - 1].alias("label"))
-            model = LinearRegression(regParam=ridge, solver="normal").fit(train)
-            label = F.lit(f"T+{h}").alias("horizon")
-            scored = join_on(model.transform(sets.filter("NOT is_train")), bounds, s.keys)
-            tested.append(
-                scored.select(
-                    *s.keys,
-                    F.lit(name).alias("model"),
-                    label,
-                    back(F.col("y")[h - 1]).alias("actual"),
-                    back(F.col("prediction")).alias("predicted"),
-                )
-            )
-            ahead.append(
-                join_on(model.transform(last), bounds, s.keys).select(
-                    F.col(order).alias("base"),
-                    *s.keys,
-                    label,
-                    back(F.col("prediction")).alias("predicted"),
+    slots = F.explode(
+        F.array(
+            *[
+                F.struct(
                     F.lit(name).alias("model"),
+                    F.lit(f"T+{h + 1}").alias("horizon"),
+                    F.lit(h).alias("h"),
+                    F.lit(m * horizon + h).alias("at"),
                 )
-            )
-    results = union_all(tested)
+                for m, name in enumerate(models)
+                for h in range(horizon)
+            ]
+        )
+    ).alias("slot")
+    test = sets.filter("NOT is_train").withColumn("p", predict(F.flatten("x")))
+    results = (
+        join_on(test, bounds, s.keys)
+        .select("*", slots)
+        .select(
+            *s.keys,
+            "slot.model",
+            "slot.horizon",
+            back(F.get("y", F.col("slot.h"))).alias("actual"),
+            back(F.get("p", F.col("slot.at"))).alias("predicted"),
+        )
+    )
+    last = latest_row(sequences(scaled, s, cols, f"{target}_s", window, 0), s.keys, s.order)
+    predictions = (
+        join_on(last.withColumn("p", predict(F.flatten("x"))), bounds, s.keys)
+        .select("*", slots)
+        .select(
+            F.col(order).alias("base"),
+            *s.keys,
+            "slot.horizon",
+            back(F.get("p", F.col("slot.at"))).alias("predicted"),
+            "slot.model",
+        )
+    )
     metrics = forecast_metrics(results, [*s.keys, "model", "horizon"], "actual", "predicted")
     pooled = forecast_metrics(results, [*s.keys, "model"], "actual", "predicted")
     best = pooled.groupBy(*s.keys).agg(
         F.min_by("model", F.struct("rmse", "model")).alias("model"), F.min("rmse").alias("rmse")
     )
-    return {"metrics": metrics, "pooled": pooled, "best": best, "predictions": union_all(ahead)}
+    return {"metrics": metrics, "pooled": pooled, "best": best, "predictions": predictions}
 
 
 def ar_fit(df: DataFrame, s: Series, col: str, p: int = fixed.AR_ORDER) -> DataFrame:

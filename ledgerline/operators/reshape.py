@@ -55,11 +55,11 @@ def transpose_report(
     Period columns are whatever is not metadata; item columns keep the order given in `items`.
     """
     periods = period_columns(df, meta)
-    long = df.select(item, *[F.col(f"`{p}`").cast("double").alias(p) for p in periods]).unpivot(
-        [item], [F.col(f"`{p}`") for p in periods], "period", "value"
+    cells = F.explode(
+        F.array(*[F.struct(F.lit(p).alias("period"), F.col(f"`{p}`").cast("double").alias("value")) for p in periods])
     )
-    wide = long.groupBy("period").pivot(item, list(items) if items else None)
-    return wide.agg(F.first("value", ignorenulls=True)).orderBy("period")
+    wide = df.select(item, cells.alias("c")).select(item, "c.*").groupBy("period")
+    return wide.pivot(item, list(items) if items else None).agg(F.first("value", ignorenulls=True)).orderBy("period")
 
 
 def item_dictionary(reports: Mapping[str, DataFrame]) -> DataFrame:

@@ -352,8 +352,9 @@ def _wide_statement(spark, sf):
     lines = table(spark, sf, "lineitem")
     item = F.concat_ws("-", "l_returnflag", "l_linestatus")
     wide = (
-        lines.groupBy(item.alias("item"))
-        .pivot(F.year("l_shipdate").cast("string"), [str(y) for y in STATEMENT_YEARS])
+        lines.withColumn("period", F.year("l_shipdate").cast("string"))
+        .groupBy(item.alias("item"))
+        .pivot("period", [str(y) for y in STATEMENT_YEARS])
         .agg(F.sum("l_quantity"))
     )
     return wide.withColumns({"item_en": F.lower("item"), "item_id": F.concat(F.lit("id_"), "item"), "unit": F.lit("pcs")})
