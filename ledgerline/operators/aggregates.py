@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,12 +52,13 @@ def peer_compare(
 
 
 def monthly_flow(df: DataFrame, date: str, key: str, value: str, unit: float = 1.0) -> DataFrame:
-    """Sum per (month, key) and its share of the month's total."""
+    """Sum per (month, key) and its share of the month's total.
+
+    The window runs on the sums, so a month holds one row per key however many rows it had.
+    """
     flow = df.groupBy(month_label(date).alias("month"), key).agg((F.sum(value) / unit).alias("flow"))
-    total = flow.groupBy("month").agg(F.sum("flow").alias("total"))
-    return flow.join(total, "month").select(
-        "month", key, "flow", F.try_divide(F.col("flow"), F.col("total")).alias("share")
-    )
+    total = F.sum("flow").over(W.partitionBy("month"))
+    return flow.withColumn("share", F.try_divide(F.col("flow"), total))
 
 
 def cluster_profile(

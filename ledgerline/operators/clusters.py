@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -38,18 +41,22 @@ def pca_project(
     loading of each component is positive.
     """
     cols = list(cols)
-    model = PCA(k=len(cols), inputCol="features", outputCol="scores").fit(assemble(df, cols).select("features"))
+    vectors = assemble(df, cols)
+    model = PCA(k=len(cols), inputCol="features", outputCol="__scores").fit(vectors.select("features"))
     share = np.asarray(model.explainedVariance.toArray())
     total = np.cumsum(share)
     reached = np.nonzero(total >= threshold - 1e-12)[0]
     keep = k or int(reached[0] + 1 if len(reached) else len(cols))
     loadings = np.asarray(model.pc.toArray())
-    loadings = loadings * np.sign(loadings[np.abs(loadings).argmax(axis=0), np.arange(len(cols))])
-
-    def score(j: int) -> Column:
-        return sum((F.col(c) * float(loadings[i, j]) for i, c in enumerate(cols)), F.lit(0.0))
-
-    scored = df.withColumns({f"{prefix}{j + 1}": score(j) for j in range(keep)})
+    signs = np.sign(loadings[np.abs(loadings).argmax(axis=0), np.arange(len(cols))])
+    scored = (
+        model.transform(vectors)
+        .withColumn("__scores", vector_to_array("__scores"))
+        .select(
+            *df.columns,
+            *[(F.col("__scores")[j] * float(signs[j])).alias(f"{prefix}{j + 1}") for j in range(keep)],
+        )
+    )
     rows = [(j + 1, float(share[j]), float(total[j]), j < keep) for j in range(len(cols))]
     variance = df.sparkSession.createDataFrame(
         rows, "component int, variance_ratio double, cumulative double, selected boolean"
@@ -59,10 +66,13 @@ def pca_project(
 
 def fit_kmeans(features: DataFrame, k: int, n_init: int = 10, seed: int = 42) -> KMeansModel:
     """Best of `n_init` starts by within-cluster sum of squares."""
-    starts = (
-        KMeans(k=k, seed=seed + i, maxIter=100, featuresCol="features", predictionCol="cluster").fit(features)
-        for i in range(n_init)
-    )
+
+    def start(i: int) -> KMeansModel:
+        return KMeans(k=k, seed=seed + i, maxIter=100, featuresCol="features", predictionCol="cluster").fit(features)
+
+    # The starts are independent jobs; submitting them together keeps the executors busy.
+    with ThreadPoolExecutor(min(n_init, 8)) as pool:
+        starts = list(pool.map(inheritable_thread_target(features.sparkSession)(start), range(n_init)))
     return min(starts, key=lambda m: m.summary.trainingCost)
 
 

@@ -35,7 +35,7 @@ def latest_slice(df: DataFrame, order: str) -> DataFrame:
 def last_n_periods(df: DataFrame, col: str, n: int) -> DataFrame:
     """Rows in the last n distinct periods."""
     periods = df.select(col).filter(F.col(col).isNotNull()).distinct().orderBy(F.desc(col)).limit(n)
-    return df.join(F.broadcast(periods), col, "left_semi")  # n rows at most
+    return df.filter(F.col(col) >= periods.agg(F.min(col)).scalar())
 
 
 def since_min_of(df: DataFrame, other: DataFrame, col: str) -> DataFrame:

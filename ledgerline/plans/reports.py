@@ -32,8 +32,8 @@ def price_history(fact: DataFrame, key: str, value, n: int = 60) -> DataFrame:
 
 def money_flow(fact: DataFrame, key: str, months: int = 24, unit: float = 1e9) -> DataFrame:
     """Monthly traded value per key and share of the month, over the last months."""
-    dated = fact.withColumn("full_date", key_to_date("date_key"))
-    return last_n_periods(monthly_flow(dated, "full_date", key, "trading_value", unit), "month", months)
+    dated = fact.withColumns({"full_date": key_to_date("date_key"), "__m": F.floor(F.col("date_key") / 100)})
+    return monthly_flow(last_n_periods(dated, "__m", months), "full_date", key, "trading_value", unit)
 
 
 def cluster_overview(clusters: DataFrame, fact: DataFrame, entity: str, order: str, cols: Sequence[str]) -> DataFrame:
