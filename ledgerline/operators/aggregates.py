@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.functions.moments import correlation
 from ledgerline.functions.scalars import month_label
 from ledgerline.operators.ordered import constants, exact_percentiles
 from ledgerline.operators.reshape import melt, rows_of
@@ -191,7 +192,7 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(a, b, corr) for every column pair, each over the rows where both are present. One aggregation."""
     cols = list(cols)
     pair = lambda a, b: F.struct(
-        F.lit(a).alias("a"), F.lit(b).alias("b"), F.nanvl(F.corr(a, b), F.lit(None)).alias("corr")
+        F.lit(a).alias("a"), F.lit(b).alias("b"), correlation(a, b).alias("corr")
     )
     upper = [pair(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     half = rows_of(df.agg(F.array(*upper).alias("rows")), F.col("rows"))

@@ -84,6 +84,7 @@ def _bracketed_percentiles(df, cols, probs, keys) -> DataFrame:
         F.max("__v").alias("__max"),
         F.percentile_approx("__v", [*edges], BRACKET_ACCURACY).alias("__e"),
     )
+    small = F.col("__n") <= BRACKET_ACCURACY  # the whole group is its own bracket
     brackets = []
     for i, p in enumerate(probs):
         rank = F.lit(float(p)) * (F.col("__n") - 1)
@@ -93,8 +94,10 @@ def _bracketed_percentiles(df, cols, probs, keys) -> DataFrame:
                 F.floor(rank).alias("lo_rank"),
                 F.ceil(rank).alias("hi_rank"),
                 (rank - F.floor(rank)).alias("part"),
-                F.when(F.lit(edges[2 * i] <= 0.0), F.col("__min")).otherwise(F.col("__e")[2 * i]).alias("lo"),
-                F.when(F.lit(edges[2 * i + 1] >= 1.0), F.col("__max"))
+                F.when(small | F.lit(edges[2 * i] <= 0.0), F.col("__min"))
+                .otherwise(F.col("__e")[2 * i])
+                .alias("lo"),
+                F.when(small | F.lit(edges[2 * i + 1] >= 1.0), F.col("__max"))
                 .otherwise(F.col("__e")[2 * i + 1])
                 .alias("hi"),
             )

@@ -17,15 +17,13 @@ from ledgerline.operators.reshape import rows_of
 
 
 def balanced_weight(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Weight n / (classes * rows of the class); the few class counts arrive as one scalar map."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    table = counts.agg(
-        F.map_from_entries(F.collect_list(F.struct(label, "n"))).alias("m"),
-        F.sum("n").alias("total"),
-        F.count(F.lit(1)).alias("classes"),
-    )
-    row = table.select(F.struct("m", "total", "classes")).scalar()
-    return df.withColumn(out, row["total"] / (row["classes"] * F.element_at(row["m"], F.col(label))))
+    """Weight n / (classes * rows of the class); one count per class is read when the plan is built."""
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()
+    total = sum(r["n"] for r in counts)
+    weight = F.lit(None).cast("double")
+    for r in counts:
+        weight = F.when(F.col(label).eqNullSafe(F.lit(r[label])), F.lit(total / (len(counts) * r["n"]))).otherwise(weight)
+    return df.withColumn(out, weight)
 
 
 def fit_risk_forest(

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions.moments import correlation
 from ledgerline.operators.joins import align_common, pair_rows
 from ledgerline.operators.scaling import zscore
 from ledgerline.operators.series import Series
@@ -85,7 +86,7 @@ def dtw_matrix(
 def pair_corr(df: DataFrame, key: str, order: str, value: str, names: Sequence) -> DataFrame:
     """(a, b, corr) over the dates both series have."""
     pairs = pair_rows(df, key, order, value, names)
-    return pairs.groupBy("a", "b").agg(F.nanvl(F.corr("x", "y"), F.lit(None)).alias("corr"))
+    return pairs.groupBy("a", "b").agg(correlation("x", "y").alias("corr"))
 
 
 def pair_rolling_corr(

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ledgerline.functions.moments import correlation
 from ledgerline.operators.ordered import kth_value
 from ledgerline.operators.series import Series, carried, framed, position
 
@@ -65,35 +66,35 @@ def ffill(df: DataFrame, s: Series, cols: Sequence[str], limit: int = 1) -> Data
     )
 
 
-def _full(w: WindowSpec, lo: int, hi: int, value: Column, *cols: str) -> Column:
+def _full(w: WindowSpec, lo: int, hi: int, value: Callable[[WindowSpec], Column], *cols: str) -> Column:
     """The framed value, NULL unless the frame holds its full number of complete rows."""
     complete = F.lit(1)
     for c in cols:
         complete = F.when(F.col(c).isNotNull(), complete)
     frame = w.rowsBetween(lo, hi)
-    return F.when(F.count(complete).over(frame) == hi - lo + 1, value.over(frame))
+    return F.when(F.count(complete).over(frame) == hi - lo + 1, value(frame))
 
 
 def moving_avg(df: DataFrame, s: Series, col: str, n: int, out: str | None = None) -> DataFrame:
     out = out or f"{col}_ma{n}"
-    return framed(df, s, n - 1, 0, lambda w: {out: _full(w, 1 - n, 0, F.avg(col), col)})
+    return framed(df, s, n - 1, 0, lambda w: {out: _full(w, 1 - n, 0, lambda f: F.avg(col).over(f), col)})
 
 
 def ma_forecast(df: DataFrame, s: Series, col: str, n: int = 5, out: str | None = None) -> DataFrame:
     """Mean of the n rows before the row: the one-step moving-average forecast."""
     out = out or f"{col}_ma{n}_forecast"
-    return framed(df, s, n, 0, lambda w: {out: _full(w, -n, -1, F.avg(col), col)})
+    return framed(df, s, n, 0, lambda w: {out: _full(w, -n, -1, lambda f: F.avg(col).over(f), col)})
 
 
 def rolling_std(df: DataFrame, s: Series, col: str, n: int, out: str | None = None) -> DataFrame:
     out = out or f"{col}_std{n}"
-    return framed(df, s, n - 1, 0, lambda w: {out: _full(w, 1 - n, 0, F.stddev_samp(col), col)})
+    return framed(df, s, n - 1, 0, lambda w: {out: _full(w, 1 - n, 0, lambda f: F.stddev_samp(col).over(f), col)})
 
 
 def rolling_corr(df: DataFrame, s: Series, x: str, y: str, n: int, out: str = "rolling_corr") -> DataFrame:
     """Pearson correlation of x and y over the last n rows; NULL until n rows or when a side is constant."""
     return framed(
-        df, s, n - 1, 0, lambda w: {out: F.nanvl(_full(w, 1 - n, 0, F.corr(x, y), x, y), F.lit(None))}
+        df, s, n - 1, 0, lambda w: {out: _full(w, 1 - n, 0, lambda f: correlation(x, y, f), x, y)}
     )
 
 
