@@ -101,7 +101,7 @@ def describe_exact(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column, count, mean, std, min, q1, median, q3, max, skew) with exact quartiles and sample skew."""
     n = lambda c: F.count(c).cast("double")
     corrected = lambda c: F.when(
-        F.count(c) > 2, F.nanvl(F.skewness(c), F.lit(0.0)) * F.sqrt(n(c) * (n(c) - 1)) / (n(c) - 2)
+        F.count(c) > 2, F.coalesce(F.skewness(c), F.lit(0.0)) * F.sqrt(n(c) * (n(c) - 1)) / (n(c) - 2)
     )
     stats = df.agg(
         *[
