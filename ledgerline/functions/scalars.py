@@ -14,7 +14,10 @@ def _col(c: Column | str) -> Column:
 
 def clean_numeric(c: Column | str, to: str = "double") -> Column:
     """Text to number: commas and outer blanks go, empty/nan/None and bad text give NULL."""
-    text = F.trim(F.regexp_replace(_col(c).cast("string"), ",", ""))
+    if isinstance(c, str):  # one parsed expression; wide tables clean dozens of columns
+        text = f"trim(replace(cast(`{c}` as string), ',', ''))"
+        return F.expr(f"try_cast(if(lower({text}) in ('', 'nan', 'none'), null, {text}) as {to})")
+    text = F.trim(F.replace(c.cast("string"), F.lit(","), F.lit("")))
     return F.when(~F.lower(text).isin("", "nan", "none"), text).try_cast(to)
 
 

@@ -139,20 +139,17 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     cols = list(cols or df.columns)
     kinds = {f.name: f.dataType for f in df.schema.fields}
 
-    def described(c: str) -> Column:
-        numeric = isinstance(kinds[c], T.NumericType)
-        edge = lambda f: f(F.col(c).cast("double")) if numeric else F.lit(None).cast("double")
-        missing = F.count_if(F.col(c).isNull())
-        return F.struct(
-            F.lit(c).alias("column"),
-            F.lit(kinds[c].simpleString()).alias("dtype"),
-            missing.alias("missing_count"),
-            F.try_divide(missing.cast("double"), F.count(F.lit(1))).alias("missing_pct"),
-            edge(F.min).alias("min"),
-            edge(F.max).alias("max"),
+    def described(c: str) -> str:
+        number = f"cast(`{c}` as double)" if isinstance(kinds[c], T.NumericType) else "cast(null as double)"
+        return (
+            f"named_struct('column', '{c}', 'dtype', '{kinds[c].simpleString()}', "
+            f"'missing_count', count_if(`{c}` is null), "
+            f"'missing_pct', try_divide(cast(count_if(`{c}` is null) as double), count(1)), "
+            f"'min', min({number}), 'max', max({number}))"
         )
 
-    return rows_of(df.agg(F.array(*[described(c) for c in cols]).alias("rows")), F.col("rows"))
+    listed = F.expr(f"array({', '.join(described(c) for c in cols)})")
+    return rows_of(df.agg(listed.alias("rows")), F.col("rows"))
 
 
 def missing_ranking(df: DataFrame, k: int = 20) -> DataFrame:

@@ -52,9 +52,9 @@ def pca_project(
     scored = (
         model.transform(vectors)
         .withColumn("__scores", vector_to_array("__scores"))
-        .select(
-            *df.columns,
-            *[(F.col("__scores")[j] * float(signs[j])).alias(f"{prefix}{j + 1}") for j in range(keep)],
+        .selectExpr(
+            *[f"`{c}`" for c in df.columns],
+            *[f"__scores[{j}] * {float(signs[j])}d as {prefix}{j + 1}" for j in range(keep)],
         )
     )
     rows = [(j + 1, float(share[j]), float(total[j]), j < keep) for j in range(len(cols))]

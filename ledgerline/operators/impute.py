@@ -29,10 +29,7 @@ def impute_median(
     value raises when the result is computed.
     """
     cols = list(cols)
-    null_before = F.lit(False)
-    for c in cols:
-        null_before = null_before | F.col(c).isNull()
-    df = df.withColumn(flag, null_before)
+    df = df.withColumn(flag, F.expr(" or ".join(f"`{c}` is null" for c in cols)))
 
     sizes = df.groupBy(entity).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"), F.sum("n")).first()
     per_entity, overall = (percentile_method(n or 0) for n in sizes)
@@ -53,7 +50,7 @@ def impute_median(
     first = checkpointed(
         filled(df, later, cols, lambda c: F.when(early, F.coalesce(F.col(f"__m_{c}"), fallback[c])))
     )
-    left = first.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
+    left = first.agg(*[F.expr(f"count_if(`{c}` is null)").alias(c) for c in cols]).first()
     open_cols = [c for c in cols if left[c]]
     if not open_cols:
         return first

@@ -7,30 +7,30 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.ordered import constants
 from ledgerline.operators.series import join_on
 
 
-def _with_stats(df: DataFrame, stats: dict[str, Column], keys: Sequence[str]):
-    """The frame plus a way to read each statistic: a literal, or a column joined on the keys."""
-    summary = df.groupBy(*keys).agg(*[e.alias(f"__{n}") for n, e in stats.items()])
-    if not keys:
-        row = constants(summary)
-        return df, lambda n: row[f"__{n}"], []
-    return join_on(df, summary, keys), lambda n: F.col(f"__{n}"), [f"__{n}" for n in stats]
+def _with_stats(df: DataFrame, stats: dict[str, str], keys: Sequence[str]):
+    """The frame plus the SQL text of each statistic: a number, or a column joined on the keys."""
+    summary = df.groupBy(*keys).agg(*[F.expr(e).alias(f"__{n}") for n, e in stats.items()])
+    if keys:
+        return join_on(df, summary, keys), {n: f"`__{n}`" for n in stats}, [f"__{n}" for n in stats]
+    row = summary.first()
+    text = {n: "null" if row[f"__{n}"] is None else repr(float(row[f"__{n}"])) for n in stats}
+    return df, {n: f"cast('{v}' as double)" if v != "null" else "cast(null as double)" for n, v in text.items()}, []
 
 
 def zscore(
     df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (), ddof: int = 0, suffix: str = "_z"
 ) -> DataFrame:
     """(x - mean) / std with sample (ddof=1) or population (ddof=0) std; a constant column gives 0."""
-    spread = F.stddev_samp if ddof else F.stddev_pop
-    stats = {f"m_{c}": F.avg(c) for c in cols} | {f"s_{c}": spread(c) for c in cols}
+    spread = "stddev_samp" if ddof else "stddev_pop"
+    stats = {f"m_{c}": f"avg(`{c}`)" for c in cols} | {f"s_{c}": f"{spread}(`{c}`)" for c in cols}
     out, stat, extra = _with_stats(df, stats, keys)
 
     def z(c: str) -> Column:
-        centred = F.col(c) - stat(f"m_{c}")
-        return F.when(F.coalesce(stat(f"s_{c}"), F.lit(0.0)) == 0, centred * 0).otherwise(centred / stat(f"s_{c}"))
+        centred, scale = f"(`{c}` - {stat[f'm_{c}']})", stat[f"s_{c}"]
+        return F.expr(f"if(coalesce({scale}, 0) = 0, {centred} * 0.0d, try_divide({centred}, {scale}))")
 
     return out.withColumns({c + suffix: z(c) for c in cols}).drop(*extra)
 
@@ -44,17 +44,19 @@ def minmax(
     keep_range: bool = False,
 ) -> DataFrame:
     """Rescale to [0, 1]; a constant column gives `constant`. `keep_range` keeps `<c>_min` / `<c>_max`."""
-    stats = {f"lo_{c}": F.min(c) for c in cols} | {f"hi_{c}": F.max(c) for c in cols}
+    stats = {f"lo_{c}": f"min(cast(`{c}` as double))" for c in cols}
+    stats |= {f"hi_{c}": f"max(cast(`{c}` as double))" for c in cols}
     out, stat, extra = _with_stats(df, stats, keys)
 
     def scaled(c: str) -> Column:
-        lo, hi = stat(f"lo_{c}"), stat(f"hi_{c}")
-        flat = F.when(F.col(c).isNotNull(), F.lit(float(constant)))
-        return F.when(hi == lo, flat).otherwise((F.col(c) - lo) / (hi - lo).cast("double"))
+        lo, hi = stat[f"lo_{c}"], stat[f"hi_{c}"]
+        flat = f"if(`{c}` is not null, cast({float(constant)!r} as double), null)"
+        return F.expr(f"if({hi} = {lo}, {flat}, try_divide(`{c}` - {lo}, {hi} - {lo}))")
 
     new = {c + suffix: scaled(c) for c in cols}
     if keep_range:
-        new |= {f"{c}_min": stat(f"lo_{c}") for c in cols} | {f"{c}_max": stat(f"hi_{c}") for c in cols}
+        new |= {f"{c}_min": F.expr(stat[f"lo_{c}"]) for c in cols}
+        new |= {f"{c}_max": F.expr(stat[f"hi_{c}"]) for c in cols}
     return out.withColumns(new).drop(*extra)
 
 
@@ -71,5 +73,5 @@ def normalize_percent(df: DataFrame, cols: Sequence[str], limit: float = 1.5) ->
     cols = [c for c in cols if c in df.columns]
     if not cols:
         return df
-    peak = constants(df.agg(*[F.max(F.abs(c)).alias(c) for c in cols]))
-    return df.withColumns({c: F.when(peak[c] > limit, F.col(c) / 100.0).otherwise(F.col(c)) for c in cols})
+    peak = df.agg(*[F.expr(f"max(abs(`{c}`))").alias(c) for c in cols]).first()
+    return df.withColumns({c: F.expr(f"`{c}` / 100.0d") for c in cols if (peak[c] or 0) > limit})

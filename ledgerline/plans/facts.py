@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline import fixed
-from ledgerline.functions.scalars import clean_code, clean_numeric, date_key, net_flow, ratio_or, to_whole, year_end_key
+from ledgerline.functions.scalars import clean_code, clean_numeric, date_key, net_flow, to_whole, year_end_key
 from ledgerline.operators.aggregates import profile
 from ledgerline.operators.dims import bank_dim
 from ledgerline.operators.filters import require_not_null
@@ -177,23 +177,25 @@ def bars_from_ticks(
 
 def camels_ratios(df: DataFrame) -> DataFrame:
     """Ratios of the yearly statements: given values win, else they are derived; lta, ltd, gta always are."""
-    nii = F.col("interest_income") - F.col("interest_expense")
-    df = df.withColumn("net_interest_income", nii)
-    cost_base = F.abs("net_interest_income") + F.abs("non_interest_income")
+    df = df.withColumn("net_interest_income", F.expr("interest_income - interest_expense"))
+    given = {
+        "eta": "total_equity, total_assets",
+        "etd": "total_equity, total_deposits",
+        "roa": "profit_after_tax, total_assets",
+        "roe": "profit_after_tax, total_equity",
+        "nim": "net_interest_income, total_assets",
+        "cir": "non_interest_expense, abs(net_interest_income) + abs(non_interest_income)",
+        "npl_ratio": "npl_amount, total_loans",
+        "llp_ratio": "loan_loss_provision, total_loans",
+    }
+    derived = {
+        "lta": "total_loans, total_assets",
+        "ltd": "total_loans, total_deposits",
+        "gta": "total_loans, total_assets",
+    }
     return df.withColumns(
-        {
-            "eta": ratio_or("eta", "total_equity", "total_assets"),
-            "etd": ratio_or("etd", "total_equity", "total_deposits"),
-            "roa": ratio_or("roa", "profit_after_tax", "total_assets"),
-            "roe": ratio_or("roe", "profit_after_tax", "total_equity"),
-            "nim": ratio_or("nim", "net_interest_income", "total_assets"),
-            "cir": ratio_or("cir", "non_interest_expense", cost_base),
-            "npl_ratio": ratio_or("npl_ratio", "npl_amount", "total_loans"),
-            "llp_ratio": ratio_or("llp_ratio", "loan_loss_provision", "total_loans"),
-            "lta": F.try_divide("total_loans", "total_assets"),
-            "ltd": F.try_divide("total_loans", "total_deposits"),
-            "gta": F.try_divide("total_loans", "total_assets"),
-        }
+        {c: F.expr(f"coalesce({c}, try_divide({parts}))") for c, parts in given.items()}
+        | {c: F.expr(f"try_divide({parts})") for c, parts in derived.items()}
     )
 
 
@@ -228,6 +230,6 @@ def bank_performance(
     shaped = df.select(*columns)
     types = fixed.FACT_BANK_PERFORMANCE
     fact = dedupe_first(shaped, ["date_key", "bank_key"], columns[2:]).select(
-        *[F.col(c).try_cast(types[c]).alias(c) for c in columns]
+        *[F.expr(f"try_cast(`{c}` as {types[c]})").alias(c) for c in columns]
     )
     return (with_audit(fact, run) if run else fact), dim, profile(shaped)

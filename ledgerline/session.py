@@ -19,6 +19,7 @@ def local_session(name: str = "ledgerline", cpus: str | None = None, **conf: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.log.level", "ERROR")
     )
     for key, value in conf.items():

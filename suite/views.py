@@ -153,10 +153,10 @@ EMBEDDING_COLUMNS = [f"e{i}" for i in range(64)]
 
 
 def vectors(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "embeddings").select(
+    return table(spark, sf, "embeddings").selectExpr(
         "vec_id",
-        F.col("label").cast("bigint").alias("label"),
-        *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(EMBEDDING_COLUMNS)],
+        "cast(label as bigint) as label",
+        *[f"cast(embedding[{i}] as double) as {c}" for i, c in enumerate(EMBEDDING_COLUMNS)],
     )
 
 
