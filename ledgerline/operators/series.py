@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
@@ -50,12 +52,12 @@ class Series:
 
 
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    """Null-safe equi-join that keeps the left key columns; an empty key list means a one-row right side."""
+    """Null-safe equi-join that keeps the left key columns."""
+    if not keys:
+        raise ValueError("join_on needs at least one key")
     names = [f"__r_{i}" for i in range(len(keys))]
     right = right.withColumnsRenamed(dict(zip(keys, names)))
-    condition = F.lit(True)
-    for k, n in zip(keys, names):
-        condition = condition & F.col(k).eqNullSafe(F.col(n))
+    condition = reduce(and_, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
     return left.join(right, condition, how).drop(*names)
 
 

@@ -185,9 +185,11 @@ def time_split(df: DataFrame, order: str, ties: Sequence[str], ratio: float = 0.
 
 def series_split(df: DataFrame, s: Series, ratio: float = 0.8) -> DataFrame:
     """Mark the first floor(n * ratio) rows of every series as training rows."""
-    sizes = df.groupBy(*s.keys).agg(F.floor(F.count(F.lit(1)) * F.lit(ratio)).alias("__train"))
     numbered = position(df, s, "__pos")
-    joined = numbered.join(sizes, list(s.keys)) if s.keys else numbered.join(F.broadcast(sizes))
+    if not s.keys:
+        return numbered.withColumn("is_train", F.col("__pos") <= int(df.count() * ratio)).drop("__pos")
+    sizes = df.groupBy(*s.keys).agg(F.floor(F.count(F.lit(1)) * F.lit(ratio)).alias("__train"))
+    joined = numbered.join(sizes, list(s.keys))
     return joined.withColumn("is_train", F.col("__pos") <= F.col("__train")).drop("__pos", "__train")
 
 

@@ -392,8 +392,8 @@ def monthly_money_flow(spark, sf):
 @query(
     "panel_with_dim",
     f"WITH {NATIONS} SELECT bank_key, bank_code, bank_type, year, date_key, round(total, 2) AS total, "
-    "round(npl_ratio, 6) AS npl_ratio, round(llp_ratio, 6) AS llp_ratio, round(roa, 6) AS roa, round(nim, 4) AS nim FROM nations",
+    "round(npl_ratio, 6) AS npl_ratio, round(llp_ratio, 6) AS llp_ratio, round(roa, 6) AS roa FROM nations",
 )
 def panel_with_dim(spark, sf):
-    return rounded(nation_panel(spark, sf), 6, total=2, nim=4)
+    return rounded(nation_panel(spark, sf).drop("nim"), 6, total=2)
 

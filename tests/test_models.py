@@ -139,7 +139,7 @@ def test_dtw_matrix(spark):
     assert len(got) == 9
     for (p, q), d in got.items():
         assert close(d, 0.0 if p == q else brute_dtw(z[p].to_numpy(), z[q].to_numpy()), 1e-9)
-    with pytest.raises(ValueError, match="band"):
+    with pytest.raises(ValueError, match="exceed"):
         similarity.dtw_matrix(df, "k", "t", "v", ["a", "b"], max_points=10)
 
 
