@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import fixed
@@ -123,20 +123,23 @@ def _audit_row(spark: SparkSession, run: RunContext, script: str, rows: int | No
 
 
 def audited(
-    df: DataFrame, run: RunContext, audit_path: str, script: str, write: Callable[[DataFrame], None]
+    df: DataFrame, run: RunContext, audit_path: str, script: str, write: Callable[[DataFrame], DataFrame]
 ) -> int:
-    """Run a write between RUNNING and SUCCESS/FAILED audit rows; rows are counted while they are written."""
+    """Run a write between RUNNING and SUCCESS/FAILED audit rows.
+
+    `write` stores the frame and returns what it stored; a stored Parquet table is counted from its footers, so
+    the load is neither computed twice nor observed on the way (an Observation on the session would keep forest
+    models from being shipped to tasks).
+    """
     spark = df.sparkSession
     log = lambda n, status: (
         _audit_row(spark, run, script, n, status).write.mode("append").parquet(audit_path)
     )
     log(None, "RUNNING")
-    seen = Observation()
     try:
-        write(df.observe(seen, F.count(F.lit(1)).alias("n")))
+        rows = write(df).count()
     except Exception:
         log(None, "FAILED")
         raise
-    rows = seen.get["n"]
     log(rows, "SUCCESS")
     return rows

@@ -231,9 +231,12 @@ def table_status(spark, sf):
 )
 def audited_load(spark, sf):
     path = scratch(spark)
-    sinks.audited(
-        table(spark, sf, "orders"), RUN, f"{path}/audit", "load", lambda df: df.write.parquet(f"{path}/orders")
-    )
+
+    def store(df):
+        df.write.parquet(f"{path}/orders")
+        return spark.read.parquet(f"{path}/orders")
+
+    sinks.audited(table(spark, sf, "orders"), RUN, f"{path}/audit", "load", store)
     return spark.read.parquet(f"{path}/audit").drop("run_timestamp")
 
 

@@ -200,7 +200,12 @@ def test_partition_filter_prunes(spark, tmp_path, capsys):
 
 def test_audit_log(spark, tmp_path):
     df = with_audit(spark.range(5), RUN)
-    assert sinks.audited(df, RUN, str(tmp_path / "a"), "load", lambda d: d.write.parquet(str(tmp_path / "d"))) == 5
+
+    def store(d):
+        d.write.parquet(str(tmp_path / "d"))
+        return spark.read.parquet(str(tmp_path / "d"))
+
+    assert sinks.audited(df, RUN, str(tmp_path / "a"), "load", store) == 5
 
     def broken(d):
         raise RuntimeError("disk")
