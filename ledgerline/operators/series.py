@@ -10,7 +10,7 @@ each with the few neighbouring rows its frames reach into.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from operator import and_
 
@@ -30,6 +30,7 @@ class Series:
     order: tuple[str, ...]
     segment: Column | str | None = None  # a column or a SQL expression
     chunk_rows: int = 1_000_000
+    position: str | None = None  # column already holding the row number, see `numbered`
 
     @classmethod
     def of(
@@ -63,6 +64,8 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
 
 def position(df: DataFrame, s: Series, out: str = _POS) -> DataFrame:
     """1-based row number inside each series, exact and without gathering a series in one task."""
+    if s.position:
+        return df if out == s.position else df.withColumn(out, F.col(s.position))
     if s.segment is None:
         return df.withColumn(out, F.row_number().over(s.window).cast("bigint"))
     df = df.withColumn(_SEG, s.segment_column)
@@ -81,6 +84,11 @@ def position(df: DataFrame, s: Series, out: str = _POS) -> DataFrame:
     )
 
 
+def numbered(df: DataFrame, s: Series, out: str = "row_no") -> tuple[DataFrame, Series]:
+    """Number the rows once and return the series that reuses the number: each further frame is one shuffle."""
+    return position(df, s, out), replace(s, position=out)
+
+
 def framed(
     df: DataFrame,
     s: Series,
@@ -92,13 +100,13 @@ def framed(
     if s.segment is None:
         return df.withColumns(columns(s.window))
     size = max(s.chunk_rows, before + after + 1)
-    numbered = position(df, s)
+    with_position = position(df, s)
     own = F.floor((F.col(_POS) - 1) / size).cast("bigint")
     at = (F.col(_POS) - 1) % size
     copies = F.array_compact(
         F.array(own, F.when(at >= size - before, own + 1), F.when((at < after) & (own > 0), own - 1))
     )
-    spread = numbered.withColumns({_OWN: own, _CHUNK: F.explode(copies)})
+    spread = with_position.withColumns({_OWN: own, _CHUNK: F.explode(copies)})
     w = W.partitionBy(*s.keys, _CHUNK).orderBy(_POS)
     return (
         spread.withColumns(columns(w))

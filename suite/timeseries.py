@@ -10,7 +10,7 @@ from ledgerline.operators import similarity as SIM
 from ledgerline.operators import windows as WN
 from ledgerline.operators.aggregates import forecast_metrics
 from ledgerline.operators.joins import pair_rows
-from ledgerline.operators.series import Series, position
+from ledgerline.operators.series import Series, numbered
 from ledgerline.plans import facts
 from suite.registry import query
 from suite.views import BARS, BY_TICKER, PANEL, PRIORITIES, bars, panel, rounded, table
@@ -39,8 +39,10 @@ def tick_changes(spark, sf):
     f AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)""",
 )
 def tick_moving_average(spark, sf):
-    df = WN.moving_avg(position(table(spark, sf, "events"), TICKS, "n"), TICKS, "value", 20, "ma")
-    return rounded(WN.lags(df, TICKS, {"value": [3]}).select("event_id", "ma", "value_lag3", "n"))
+    ticks = table(spark, sf, "events").select("event_id", "event_type", "ts", "value")
+    df, s = numbered(ticks, TICKS, "n")
+    df = WN.moving_avg(df, s, "value", 20, "ma")
+    return rounded(WN.lags(df, s, {"value": [3]}).select("event_id", "ma", "value_lag3", "n"))
 
 
 @query(

@@ -51,6 +51,14 @@ def test_segments_match_plain_windows(hot, chunk):
         assert as_set(op(cut)) == as_set(op(PLAIN))
 
 
+def test_numbering_once_serves_every_frame(hot):
+    cut = Series.of("k", "at", "floor(at / 500000)", 40)
+    df, s = series.numbered(hot, cut)
+    both = windows.lags(windows.moving_avg(df, s, "x", 9, "m"), s, {"v": [2]}).select("k", "at", "row_no", "m", "v_lag2")
+    plain = windows.lags(windows.moving_avg(series.position(hot, PLAIN, "row_no"), PLAIN, "x", 9, "m"), PLAIN, {"v": [2]})
+    assert as_set(both) == as_set(plain, "k", "at", "row_no", "m", "v_lag2")
+
+
 def test_sequences_count(hot):
     sizes = {r["k"]: r["count"] for r in hot.groupBy("k").count().collect()}
     got = windows.sequences(hot, PLAIN, ["x"], "x", 20, 5).groupBy("k").count().collect()
