@@ -14,6 +14,7 @@ from ledgerline.operators.joins import align_common, pair_rows
 from ledgerline.operators.scaling import zscore
 from ledgerline.operators.series import Series
 from ledgerline.operators.windows import rolling_corr
+from ledgerline.storage import checkpointed
 
 
 def dtw_distance(a: np.ndarray, b: np.ndarray, band: int | None = None) -> float:
@@ -55,7 +56,8 @@ def dtw_matrix(
     """
     names = list(names)
     held = df.filter(F.col(key).isin(*names)).select(key, order, F.col(value).cast("double").alias("v"))
-    aligned = zscore(align_common(held, key, order, "v"), ["v"], [key], ddof=1)
+    # Stored once: the length check and both sides of the pairs read it.
+    aligned = checkpointed(zscore(align_common(held, key, order, "v"), ["v"], [key], ddof=1))
     longest = aligned.groupBy(key).count().agg(F.max("count")).first()[0] or 0
     if longest > max_points:
         raise ValueError(f"series of {longest} points exceed {max_points}: aggregate them to a coarser period")

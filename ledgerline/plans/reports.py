@@ -23,6 +23,7 @@ from ledgerline.operators.risk import (
     tune_threshold,
 )
 from ledgerline.operators.windows import latest_row, time_split
+from ledgerline.storage import checkpointed
 
 
 def price_history(fact: DataFrame, key: str, value, n: int = 60) -> DataFrame:
@@ -53,7 +54,9 @@ def risk_evaluation(
 
     The threshold is tuned on the last fifth of the training rows, not on the test rows.
     """
-    marked = time_split(df.dropna(subset=[*features, label]), order, ties, fixed.TRAIN_SHARE)
+    # Stored once: the splits, class counts and both models read these rows many times.
+    rows = checkpointed(df.dropna(subset=[*features, label]))
+    marked = time_split(rows, order, ties, fixed.TRAIN_SHARE)
     train = marked.filter("is_train").drop("is_train")
     test = marked.filter("NOT is_train").drop("is_train")
     inner = time_split(train, order, ties, fixed.TRAIN_SHARE)

@@ -10,6 +10,7 @@ from ledgerline.operators import risk as RK
 from ledgerline.operators.scaling import zscore
 from ledgerline.operators.windows import time_split
 from ledgerline.plans import reports
+from ledgerline.storage import checkpointed
 from suite.registry import query
 from suite.timeseries import forecaster
 from suite.views import (
@@ -156,7 +157,8 @@ def risk_gates(spark, sf):
 
 
 def _forest(spark, sf, trees=20):
-    train = time_split(_risk_rows(spark, sf), "year", ["entity"]).filter("is_train")
+    rows = checkpointed(_risk_rows(spark, sf))
+    train = time_split(rows, "year", ["entity"]).filter("is_train")
     return RK.fit_risk_forest(train, RISK_FEATURES, "risk_label", trees, 6)
 
 
@@ -277,6 +279,32 @@ def lagged_panel_regression(spark, sf):
     return EC.lagged_panel(nation_panel(spark, sf), "bank_key", "year", "npl_ratio", "llp_ratio")
 
 
+def _partial_sql(term: str, p: str, q: str) -> str:
+    """Coefficient of one of three regressors: y on what the other two leave of it."""
+    on_p = lambda c: f"(SELECT sum({p} * {c}) / sum({p} * {p}) FROM d)"
+    q1 = f"({q} - {on_p(q)} * {p})"
+    left = f"{term} - {on_p(term)} * {p} - (SELECT sum({q1} * {term}) / sum({q1} * {q1}) FROM d) * {q1}"
+    return f"SELECT '{term}' AS term, round(sum(y * e) / sum(e * e), 6) AS coef, count(*) AS nobs FROM (SELECT y, {left} AS e FROM d)"
+
+
+LAG_TERMS = ["npl_ratio_lag1", "llp_ratio_lag1", "llp_ratio_lag2"]
+
+
+@query(
+    "lagged_panel_coefficients",
+    f"""WITH {NATIONS}, l AS (SELECT bank_key, npl_ratio AS y, lag(npl_ratio) OVER w AS npl_ratio_lag1,
+      lag(llp_ratio) OVER w AS llp_ratio_lag1, lag(llp_ratio, 2) OVER w AS llp_ratio_lag2
+      FROM nations WINDOW w AS (PARTITION BY bank_key ORDER BY year)),
+    k AS (SELECT * FROM l WHERE y IS NOT NULL AND npl_ratio_lag1 IS NOT NULL AND llp_ratio_lag1 IS NOT NULL
+      AND llp_ratio_lag2 IS NOT NULL),
+    d AS (SELECT {", ".join(f"{c} - avg({c}) OVER w AS {c}" for c in ["y", *LAG_TERMS])} FROM k WINDOW w AS (PARTITION BY bank_key)) """
+    + " UNION ALL ".join(_partial_sql(t, *[o for o in LAG_TERMS if o != t]) for t in LAG_TERMS),
+)
+def lagged_panel_coefficients(spark, sf):
+    fit = EC.lagged_panel(nation_panel(spark, sf), "bank_key", "year", "npl_ratio", "llp_ratio")
+    return rounded(fit.filter("term <> 'const'").select("term", "coef", F.col("nobs").cast("bigint").alias("nobs")))
+
+
 def _monthly(spark, sf):
     """System-wide monthly means."""
     orders = table(spark, sf, "orders")
