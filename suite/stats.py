@@ -254,9 +254,9 @@ def correlation_with_gaps(spark, sf):
 @query(
     "trend_lines",
     f"""WITH {NATIONS}, t AS (SELECT * FROM nations WHERE npl_ratio BETWEEN 0.1 AND 0.6)
-    SELECT bank_type, count(*) AS n, round(regr_slope(roa, npl_ratio), 6) AS slope,
+    SELECT bank_type, CAST(regr_count(roa, npl_ratio) AS BIGINT) AS n, round(regr_slope(roa, npl_ratio), 6) AS slope,
     round(regr_intercept(roa, npl_ratio), 6) AS intercept FROM t GROUP BY 1
-    UNION ALL SELECT 'all', count(*), round(regr_slope(roa, npl_ratio), 6), round(regr_intercept(roa, npl_ratio), 6) FROM t""",
+    UNION ALL SELECT 'all', CAST(regr_count(roa, npl_ratio) AS BIGINT), round(regr_slope(roa, npl_ratio), 6), round(regr_intercept(roa, npl_ratio), 6) FROM t""",
 )
 def trend_lines(spark, sf):
     df = range_trim(nation_panel(spark, sf), {"npl_ratio": (0.1, 0.6)})
