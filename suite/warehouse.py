@@ -291,13 +291,16 @@ def _bank_inputs(spark, sf):
       sum(o_totalprice) FILTER (o_orderstatus = 'P') AS p, max(o_totalprice) AS hi, min(o_totalprice) AS lo,
       avg(o_totalprice) AS mid, count(*) AS n
       FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
-    r AS (SELECT *, CASE WHEN year >= 1997 THEN p / round(a, 2) END AS npl FROM y),
-    g AS (SELECT median(npl) AS g FROM r)
+    r AS (SELECT *, CASE WHEN year >= 1997 THEN p / round(a, 2) END AS npl, lo / l AS llp, hi / d AS etd,
+      l / round(a, 2) AS lta, l / d AS ltd FROM y),
+    g AS (SELECT median(npl) AS g_npl, median(llp) AS g_llp, median(etd) AS g_etd, median(lta) AS g_lta,
+      median(ltd) AS g_ltd FROM r)
     SELECT year * 10000 + 1231 AS date_key, bank_key, n AS num_employees, round(hi - lo, 2) AS net_interest_income,
-      npl IS NULL AS is_imputed, round(coalesce(npl, g), 5) AS npl_ratio, round(lo / l, 6) AS llp_ratio,
-      round(hi / round(a, 2), 6) AS roa, 1.0::DOUBLE AS roe, round((hi - lo) / round(a, 2), 6) AS nim,
-      round(lo / (hi - lo + mid), 6) AS cir, round(hi / round(a, 2), 6) AS eta, round(hi / d, 6) AS etd,
-      round(l / round(a, 2), 6) AS lta, round(l / d, 6) AS ltd, round(l / round(a, 2), 6) AS gta
+      npl IS NULL OR l IS NULL OR d IS NULL AS is_imputed, round(coalesce(npl, g_npl), 5) AS npl_ratio,
+      round(coalesce(llp, g_llp), 6) AS llp_ratio, round(hi / round(a, 2), 6) AS roa, 1.0::DOUBLE AS roe,
+      round((hi - lo) / round(a, 2), 6) AS nim, round(lo / (hi - lo + mid), 6) AS cir,
+      round(hi / round(a, 2), 6) AS eta, round(coalesce(etd, g_etd), 6) AS etd, round(coalesce(lta, g_lta), 6) AS lta,
+      round(coalesce(ltd, g_ltd), 6) AS ltd, round(coalesce(lta, g_lta), 6) AS gta
     FROM r, g""",
 )
 def bank_performance_fact(spark, sf):
