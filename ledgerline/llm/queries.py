@@ -3,6 +3,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from ledgerline.llm.neardup import near_duplicates
 from ledgerline.llm.store import scratch
 from ledgerline.llm.suite import query, table
 from ledgerline.llm.tokens import TokenCache, count_tokens
@@ -16,3 +17,27 @@ def op1(spark, sf):
     docs = table(spark, sf, "documents")
     counts = count_tokens(docs, BYTE_BPE, TokenCache(spark, scratch(spark, "token-cache")))
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+OP7 = """WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' '))) END AS s FROM w),
+classes AS (SELECT doc_id, len(s) AS n, min(doc_id) OVER (PARTITION BY list_sort(s)) AS rep, s FROM sets),
+items AS (SELECT doc_id, n, unnest(s) AS x FROM classes WHERE doc_id = rep AND n > 0),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+reach(root, node) AS (
+  SELECT doc_id, doc_id FROM classes WHERE doc_id = rep UNION SELECT r.root, p.b FROM reach r JOIN pairs p ON r.node = p.a),
+least AS (SELECT node, min(root) AS root FROM reach GROUP BY node)
+SELECT c.doc_id, CAST(c.n AS BIGINT) AS n_shingles, CASE WHEN c.n = 0 THEN c.doc_id ELSE l.root END AS component_id,
+  c.doc_id = CASE WHEN c.n = 0 THEN c.doc_id ELSE l.root END AS kept
+FROM classes c JOIN least l ON l.node = c.rep"""
+
+
+@query("op7_near_duplicates", OP7)
+def op7(spark, sf):
+    return near_duplicates(table(spark, sf, "documents"))
