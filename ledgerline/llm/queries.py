@@ -4,6 +4,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ledgerline.llm.neardup import near_duplicates
+from ledgerline.llm.repair import read_shards, write_shards
+from ledgerline.llm.repeats import quality_rules
 from ledgerline.llm.store import scratch
 from ledgerline.llm.suite import query, table
 from ledgerline.llm.tokens import TokenCache, count_tokens
@@ -41,3 +43,15 @@ FROM classes c JOIN least l ON l.node = c.rep"""
 @query("op7_near_duplicates", OP7)
 def op7(spark, sf):
     return near_duplicates(table(spark, sf, "documents"))
+
+
+@query("op6_token_shards")
+def op6(spark, sf):
+    folder = scratch(spark, "token-shards")
+    manifest = write_shards(table(spark, sf, "documents"), folder, BYTE_BPE, 50257)
+    return read_shards(manifest, folder).withColumnRenamed("key", "doc_id")
+
+
+@query("op10_quality_rules")
+def op10(spark, sf):
+    return quality_rules(table(spark, sf, "documents"))
