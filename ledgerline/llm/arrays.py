@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 SLICE_BYTES = 2 << 20
 SPACE = np.zeros(256, bool)
@@ -92,19 +94,19 @@ def of_windows(codes: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
+def arrow_schema(ddl: str) -> pa.Schema:
+    """On the driver: the Arrow form of a schema."""
+    return pa.schema([(f.name, f.type) for f in to_arrow_schema(StructType.fromDDL(ddl))])
+
+
 def mapped(df, columns: list, run: Callable, schema: str, column: str = "text", limit: int = SLICE_BYTES):
     """Apply run(slice) -> dict of arrays to bounded slices of the rows; rows and order are kept per task."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    kinds = to_arrow_schema(StructType.fromDDL(schema))
+    kinds = arrow_schema(schema)
 
     def task(batches):
         for part in slices(batches, column, limit):
             out = run(part)
-            yield pa.RecordBatch.from_arrays(
-                [_fit(out[f.name], f.type) for f in kinds], schema=pa.schema([(f.name, f.type) for f in kinds])
-            )
+            yield pa.RecordBatch.from_arrays([_fit(out[f.name], f.type) for f in kinds], schema=kinds)
 
     return df.select(*columns).mapInArrow(task, schema)
 

@@ -9,6 +9,8 @@ from ledgerline.llm.repeats import quality_rules
 from ledgerline.llm.store import scratch
 from ledgerline.llm.suite import query, table
 from ledgerline.llm.tokens import TokenCache, count_tokens
+from ledgerline.llm.urls import TRACKERS, UrlRule, judged_urls
+from ledgerline.llm.warc import archived
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 TOKEN_LIMIT = 1024
@@ -55,3 +57,65 @@ def op6(spark, sf):
 @query("op10_quality_rules")
 def op10(spark, sf):
     return quality_rules(table(spark, sf, "documents"))
+
+
+URL_RULES = [
+    UrlRule("block", "net/"),
+    UrlRule("allow", "example.net/en/"),
+    UrlRule("block", "example.com/de/"),
+    UrlRule("allow", "org/fr/"),
+]
+
+
+def _parts(url: str) -> tuple[str, str]:
+    host = f"translate(regexp_extract({url}, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return host, f"regexp_extract({url}, '^.*?://[^/?#]*([^?#]*)', 1, 's')"
+
+
+def _canonical(url: str) -> str:
+    host, path = _parts(url)
+    query = f"""list_filter(string_split(regexp_extract({url}, '^[^?#]*\\?([^#]*)', 1, 's'), '&'),
+      lambda p: p <> '' AND NOT regexp_matches(p, '(?i)^(?:{TRACKERS})(?:=|$)'))"""
+    return f"""CASE WHEN contains({url}, '://') THEN 'https://' || {host} || regexp_replace({path}, '(?i)(?:/index)?\\.html?$|/+$', '')
+      || CASE WHEN len({query}) > 0 THEN '?' || array_to_string({query}, '&') ELSE '' END END"""
+
+
+def _rule(url: str, field: str) -> str:
+    host, path = _parts(url)
+    fits = ", ".join(
+        f"CASE WHEN ({host} = '{r.host}' OR ends_with({host}, '.{r.host}')) AND starts_with({path}, '{r.path}') "
+        f"THEN {{'n': {len(r.rule)}, 'verdict': '{r.verdict}', 'rule': '{r.rule}'}} END"
+        for r in URL_RULES
+    )
+    return f"list_max(list_filter([{fits}], lambda r: r IS NOT NULL)).{field}"
+
+
+OP5 = f"""WITH RECURSIVE p AS (SELECT page_id, coalesce(url, '') AS url, html FROM pages),
+named AS (
+  SELECT url, unnest([
+    regexp_extract(html, '<link\\b[^>]*\\brel\\s*=\\s*["'']?canonical\\b[^>]*\\bhref\\s*=\\s*["'']([^"''>]+)', 1, 'is'),
+    regexp_extract(html, '<link\\b[^>]*\\bhref\\s*=\\s*["'']([^"''>]+)["''][^>]*\\brel\\s*=\\s*["'']?canonical\\b', 1, 'is'),
+    regexp_extract(html, '<meta\\b[^>]*\\bhttp-equiv\\s*=\\s*["'']?refresh\\b[^>]*\\burl\\s*=\\s*["'']?([^"''>\\s]+)', 1, 'is')
+  ]) AS link FROM p),
+links AS (SELECT url, link FROM named WHERE contains(link, '://') AND contains(url, '://')),
+edges AS (
+  SELECT url AS a, {_canonical("url")} AS b FROM p WHERE contains(url, '://')
+  UNION SELECT url, link FROM links UNION SELECT url, {_canonical("link")} FROM links),
+ways AS (SELECT a, b FROM edges WHERE a <> b UNION SELECT b, a FROM edges WHERE a <> b),
+reach(root, node) AS (SELECT a, a FROM ways UNION SELECT r.root, e.b FROM reach r JOIN ways e ON r.node = e.a),
+labels AS (SELECT node, min(root) AS label FROM reach GROUP BY node),
+blocked AS (SELECT DISTINCT label FROM labels WHERE {_rule("node", "verdict")} = 'block')
+SELECT page_id, {_parts("url")[0]} AS host, {_parts("url")[1]} AS path, {_rule("url", "rule")} AS rule,
+  coalesce({_rule("url", "verdict")}, CASE WHEN b.label IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict,
+  coalesce(l.label, url) AS alias_of
+FROM p LEFT JOIN labels l ON l.node = p.url LEFT JOIN blocked b ON b.label = l.label"""
+
+
+@query("op5_url_filters", OP5)
+def op5(spark, sf):
+    return judged_urls(table(spark, sf, "pages"), URL_RULES)
+
+
+@query("op8_warc_archives")
+def op8(spark, sf):
+    return archived(table(spark, sf, "pages"), scratch(spark, "archives"))
