@@ -3,7 +3,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from ledgerline.llm.cotraining import co_train
 from ledgerline.llm.neardup import near_duplicates
+from ledgerline.llm.pieces import decode_pieces, encode_sampled
 from ledgerline.llm.repair import read_shards, write_shards
 from ledgerline.llm.repeats import quality_rules
 from ledgerline.llm.store import scratch
@@ -13,6 +15,7 @@ from ledgerline.llm.urls import TRACKERS, UrlRule, judged_urls
 from ledgerline.llm.warc import archived
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 TOKEN_LIMIT = 1024
 
 
@@ -119,3 +122,17 @@ def op5(spark, sf):
 @query("op8_warc_archives")
 def op8(spark, sf):
     return archived(table(spark, sf, "pages"), scratch(spark, "archives"))
+
+
+@query("op2_sampled_pieces")
+def op2(spark, sf):
+    encoded = encode_sampled(table(spark, sf, "documents"), PIECES)
+    decoded = decode_pieces(encoded, PIECES, original="text")
+    return decoded.select("doc_id", "n_pieces", "ids_crc32", F.length("decoded").alias("n_chars"), "lossless")
+
+
+@query("op4_quality_classifier")
+def op4(spark, sf):
+    docs = table(spark, sf, "documents")
+    scored = co_train(docs, table(spark, sf, "labels")).scored(docs)
+    return scored.select("row.doc_id", "word_score", "page_score", "score", "kept")
