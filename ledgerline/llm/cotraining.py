@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import CountVectorizerModel, HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,17 +17,22 @@ from ledgerline.llm.store import stored
 @dataclass(frozen=True)
 class CoTraining:
     """labelled_rows and pool_rows: labelled and unlabelled documents that the fit may use, drawn by a hash of the key; all
-    documents are scored. rounds: exchanges of pseudo-labels. sure: calibrated probability from which a view passes one on.
-    word_features and page_features: hashed features. reject: combined probability from which a document is rejected."""
+    documents are scored. rounds: exchanges of pseudo-labels. sure: calibrated probability from which a view passes one on, and
+    the precision that it must have on the calibration fold; proof: rows there that prove it. least_docs and evidence:
+    documents of the sample that a word feature needs, and its chi-square against either label; terms: features kept for each
+    label. page_features: hashed features. penalty: L2. reject: probability from which a document is rejected."""
 
     labelled_rows: int = 20_000
     pool_rows: int = 10_000
     rounds: int = 2
     sure: float = 0.97
-    word_features: int = 1 << 17
+    proof: int = 20
+    least_docs: int = 8
+    evidence: float = 20.0
+    terms: int = 2000
     page_features: int = 1 << 12
     iterations: int = 60
-    penalty: float = 5e-4
+    penalty: float = 1e-4
     reject: float = 0.5
 
 
@@ -36,10 +41,13 @@ def word_terms(text: Column) -> Column:
     how often words are new, in steps."""
     words = F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: w != "")
     found = F.array_distinct(words)
-    stems = [F.array_distinct(F.transform(found, lambda w, n=n: F.concat(F.lit(f"{n}^"), F.substring(w, 1, n)))) for n in (3, 4, 5)]
+
+    def stems(n: int) -> Column:
+        return F.array_distinct(F.transform(found, lambda w: F.concat(F.lit(f"{n}^"), F.substring(w, 1, n))))
+
     marks = F.array_distinct(F.transform(F.split(text, r"[\p{L}\p{N}\s]+"), lambda m: F.concat(F.lit("~"), F.substring(m, 1, 3))))
     fresh = F.concat(F.lit("fresh="), F.coalesce(F.floor(10 * F.size(found) / F.size(words)).cast("string"), F.lit("none")))
-    return F.concat(*stems, marks, F.array(fresh))
+    return F.concat(stems(3), stems(4), stems(5), marks, F.array(fresh))
 
 
 def page_terms(text: Column, lang: Column, source: Column, n_chars: Column) -> Column:
@@ -66,21 +74,39 @@ def page_terms(text: Column, lang: Column, source: Column, n_chars: Column) -> C
     )
 
 
-def _featured(docs: DataFrame, row: Column, key: str, text: str, p: CoTraining) -> DataFrame:
-    """row, key, and the two feature vectors; columns of docs cannot clash with these."""
+def _termed(docs: DataFrame, row: Column, text: str) -> DataFrame:
+    """row and the terms of both views; columns of docs cannot clash with these."""
     have = set(docs.columns)
     meta = [F.col(c) if c in have else F.lit(None) for c in ("lang", "source", "n_chars")]
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    terms = docs.select(row.alias("row"), F.col(key).alias("key"), word_terms(body).alias("words"), page_terms(body, *meta).alias("page"))
-    for column, features, size in (("words", "word_vector", p.word_features), ("page", "page_vector", p.page_features)):
-        terms = HashingTF(inputCol=column, outputCol=features, numFeatures=size, binary=True).transform(terms).drop(column)
-    return terms
+    return docs.select(row.alias("row"), word_terms(body).alias("words"), page_terms(body, *meta).alias("page"))
+
+
+def _vectored(terms: DataFrame, vocabulary: list[str], p: CoTraining) -> DataFrame:
+    words = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="words", outputCol="word_vector", binary=True)
+    page = HashingTF(inputCol="page", outputCol="page_vector", numFeatures=p.page_features, binary=True)
+    return page.transform(words.transform(terms)).drop("words", "page")
+
+
+def telling_terms(train: DataFrame, p: CoTraining) -> list[str]:
+    """The word terms that tell most about a label, by chi-square over (words, low, toxic); at most p.terms for each label."""
+    found: set[str] = set()
+    for goal in ("low", "toxic"):
+        rows = train.where(F.col(goal).isNotNull())
+        n, bad = rows.agg(F.count("*"), F.coalesce(F.sum(goal), F.lit(0.0))).first()
+        if not 0 < bad < n:
+            continue
+        each = rows.select(F.explode("words").alias("term"), goal).groupBy("term").agg(F.count("*").alias("c"), F.sum(goal).alias("x"))
+        chi = f"{n} * pow(x * {n - bad} - (c - x) * {bad}, 2) / ({bad * (n - bad)} * c * greatest({n} - c, 1))"
+        best = each.where(f"c >= {p.least_docs}").withColumn("chi", F.expr(chi)).where(f"chi >= {p.evidence}")
+        found.update(r[0] for r in best.orderBy(F.desc("chi"), "term").limit(p.terms).collect())
+    return sorted(found) or ["none"]
 
 
-def _fit(rows: DataFrame, features: str, p: CoTraining) -> LogisticRegressionModel:
+def _fit(rows: DataFrame, features: str, goal: str, p: CoTraining) -> LogisticRegressionModel:
     return LogisticRegression(
-        featuresCol=features, labelCol="bad", maxIter=p.iterations, regParam=p.penalty, elasticNetParam=1.0, standardization=False
-    ).fit(rows.select(features, "bad"))
+        featuresCol=features, labelCol=goal, maxIter=p.iterations, regParam=p.penalty, standardization=False
+    ).fit(rows.select(features, goal))
 
 
 def _logit(df: DataFrame, model: LogisticRegressionModel, features: str, name: str) -> DataFrame:
@@ -116,78 +142,91 @@ def _platt(rows: list[tuple[float, float]]) -> tuple[float, float]:
 
 @dataclass(frozen=True)
 class CoTrained:
-    """The two fitted views with their calibrations (slope, intercept); None: there was nothing to learn from."""
+    """Fitted heads by name: (features, model, calibration slope, intercept). A head without rows of both kinds is missing."""
 
     p: CoTraining
-    words: LogisticRegressionModel | None = None
-    page: LogisticRegressionModel | None = None
-    word_scale: tuple[float, float] = (0.0, 0.0)
-    page_scale: tuple[float, float] = (0.0, 0.0)
+    vocabulary: list[str]
+    heads: dict[str, tuple[str, LogisticRegressionModel, float, float]]
 
-    def scored(self, docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-        """row (all columns of docs), word_score, page_score, score, kept for every document.
+    def scored(self, docs: DataFrame, text: str = "text") -> DataFrame:
+        """row (all columns of docs), toxic_score, word_score, page_score, score, kept for every document.
 
-        A score is the probability that the document is bad; the two calibrated views are combined as independent reasons to
-        reject: 1 - (1 - word_score) * (1 - page_score). Null or empty texts are scored by their metadata; null metadata is
-        a value of its own. Without training rows of both kinds every score is 0 and every document is kept.
+        word_score and page_score are the calibrated probabilities of low quality by the two views, toxic_score that of toxic
+        words. The views are averaged, and a document is bad for either reason: 1 - (1 - toxic) * (1 - (word + page) / 2).
+        Null or empty texts are scored by their metadata; null metadata is a value of its own. A missing head scores 0, so
+        without labels every document is kept. There is no shuffle; repeated rows and null keys are rows like any other.
         """
         row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-        if self.words is None:
-            zero = F.lit(0.0)
-            return docs.select(row.alias("row"), zero.alias("word_score"), zero.alias("page_score"), zero.alias("score"), F.lit(True).alias("kept"))
-        out = _logit(_featured(docs, row, key, text, self.p), self.words, "word_vector", "x")
-        out = _logit(out, self.page, "page_vector", "y")
-        out = out.select(
-            "row", _scaled("x", self.word_scale).alias("word_score"), _scaled("y", self.page_scale).alias("page_score")
-        ).withColumn("score", F.expr("1 - (1 - word_score) * (1 - page_score)"))
+        out = _vectored(_termed(docs, row, text), self.vocabulary, self.p)
+        for name in ("toxic", "word", "page"):
+            if name in self.heads:
+                features, model, slope, shift = self.heads[name]
+                out = _logit(out, model, features, "x").withColumn(f"{name}_score", _scaled("x", slope, shift)).drop("x")
+            else:
+                out = out.withColumn(f"{name}_score", F.lit(0.0))
+        out = out.select("row", "toxic_score", "word_score", "page_score")
+        out = out.withColumn("score", F.expr("1 - (1 - toxic_score) * (1 - (word_score + page_score) / 2)"))
         return out.withColumn("kept", F.col("score") < self.p.reject)
 
 
-def _scaled(name: str, scale: tuple[float, float]) -> Column:
-    return 1 / (1 + F.exp(-F.lit(scale[0]) * F.col(name) - F.lit(scale[1])))
+def _scaled(name: str, slope: float, shift: float) -> Column:
+    return 1 / (1 + F.exp(-F.lit(slope) * F.col(name) - F.lit(shift)))
 
 
 def co_train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", p: CoTraining = CoTraining()) -> CoTrained:
-    """Fit both views. labels: (key, quality, toxic); bad is quality 0 or toxic 1, a repeated key is bad if any row says so,
-    rows with a null key or two null labels are left out.
+    """Fit the views. labels: (key, quality, toxic). Low quality is quality 0; a repeated key is low or toxic if any row says so;
+    rows with a null key are left out, and a null label trains nothing.
 
     Labelled rows are drawn by a hash of the key up to the bound, and split: four fifths train, one fifth calibrates. In each
-    round each view scores the unlabelled pool, and what it is sure of trains the other view in the next round.
+    round the classifier of words and the classifier of metadata score the unlabelled pool, and what each is sure of, high or
+    low, trains the other in the next round, if its precision on the calibration fold bears that out. Toxic words leave no mark
+    on the metadata, so their classifier belongs to the words alone.
     """
     spread = F.pmod(F.xxhash64("key", F.lit(41)), F.lit(1 << 30)) / (1 << 30)
-    said = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1.0).when(F.coalesce("quality", "toxic").isNotNull(), 0.0)
-    known = labels.select(F.col(key).alias("key"), said.alias("bad")).where("key is not null and bad is not null")
-    known = stored(known.groupBy("key").agg(F.max("bad").alias("bad")), "labels")
+    said = [F.max((F.col("quality") == 0).cast("double")).alias("low"), F.max((F.col("toxic") == 1).cast("double")).alias("toxic")]
+    known = stored(labels.select(F.col(key).alias("key"), "quality", "toxic").where("key is not null").groupBy("key").agg(*said), "labels")
     free = docs.select(F.col(key).alias("key")).where("key is not null").join(known, "key", "left_anti").distinct()
-    free = stored(free.select("key", F.lit(None).cast("double").alias("bad")), "unlabelled")
+    free = stored(free.select("key", F.lit(None).cast("double").alias("low"), F.lit(None).cast("double").alias("toxic")), "unlabelled")
 
     def drawn(rows: DataFrame, bound: int) -> DataFrame:
         return rows.where(spread < min(1.0, bound / max(1, rows.count())))
 
-    chosen = stored(drawn(known, p.labelled_rows).unionByName(drawn(free, p.pool_rows)), "chosen")
-    ids = F.broadcast(chosen.withColumnRenamed("key", "chosen"))  # at most labelled_rows + pool_rows, but for chance
-    picked = docs.join(ids, F.col(key) == F.col("chosen"))
-    sample = _featured(picked.drop("chosen"), F.col("bad"), key, text, p).withColumnRenamed("row", "bad")
-    sample = stored(sample.withColumn("calibrates", F.pmod(F.xxhash64("key", F.lit(7)), F.lit(5)) == 0).repartition(6), "sample")
-    train, pool = sample.where("bad is not null and not calibrates"), sample.where("bad is null")
-    if train.select("bad").distinct().count() < 2:
-        return CoTrained(p)
-
-    def scale(model: LogisticRegressionModel, features: str) -> tuple[float, float]:
-        fold = _logit(sample.where("bad is not null and calibrates"), model, features, "x").select("x", "bad")
-        return _platt([(r[0], r[1]) for r in fold.collect()])  # a fifth of labelled_rows
-
-    views = ("word_vector", "page_vector")
-    extra: dict[str, DataFrame | None] = dict.fromkeys(views)
+    known = drawn(known, p.labelled_rows).withColumn("part", F.when(F.pmod(F.xxhash64("key", F.lit(7)), F.lit(5)) == 0, "fold").otherwise("train"))
+    chosen = stored(known.unionByName(drawn(free, p.pool_rows).withColumn("part", F.lit("pool"))), "chosen")
+    ids = F.broadcast(chosen.withColumnRenamed("key", "_chosen"))  # labelled_rows + pool_rows at most, but for chance
+    have = [c for c in (text, "lang", "source", "n_chars") if c in docs.columns]
+    picked = docs.select(F.col(key).alias("_key"), *have).join(ids, F.col("_key") == F.col("_chosen"))
+    terms = stored(_termed(picked, F.struct("low", "toxic", "part"), text).select("row.*", "words", "page").repartition(6), "sample")
+    vocabulary = telling_terms(terms.where("part = 'train'"), p)
+    sample = stored(_vectored(terms, vocabulary, p), "sample")
+    train, fold, pool = (sample.where(F.col("part") == part) for part in ("train", "fold", "pool"))
+
+    def head(features: str, goal: str, extra: DataFrame | None) -> tuple[str, LogisticRegressionModel, float, float, list] | None:
+        rows = train.select(features, goal).where(F.col(goal).isNotNull())
+        rows = rows if extra is None else rows.unionByName(extra)
+        if rows.select(goal).distinct().count() < 2:
+            return None
+        model = _fit(rows, features, goal, p)
+        marks = _logit(fold.where(F.col(goal).isNotNull()), model, features, "x").select("x", goal)
+        marks = [(r[0], r[1]) for r in marks.collect()]  # a fifth of labelled_rows
+        return (features, model, *(_platt(marks) if marks else (1.0, 0.0)), marks)
+
+    def sure(found: tuple, other: str) -> DataFrame | None:
+        features, model, slope, shift, marks = found
+        told = None
+        for says in (0.0, 1.0):
+            strength = (lambda q: q) if says else (lambda q: 1 - q)
+            right = [y == says for x, y in marks if strength(1 / (1 + np.exp(-slope * x - shift))) >= p.sure]
+            if len(right) >= p.proof and sum(right) >= p.sure * len(right):
+                passed = _logit(pool, model, features, "x").withColumn("q", _scaled("x", slope, shift))
+                passed = passed.where(strength(F.col("q")) >= p.sure).select(other, F.lit(says).alias("low"))
+                told = passed if told is None else told.unionByName(passed)
+        return told
+
+    toxic = head("word_vector", "toxic", None)
+    to_word = to_page = None
     for turn in range(p.rounds + 1):
-        fitted = {}
-        for v in views:
-            rows = train.select(v, "bad")
-            fitted[v] = _fit(rows if extra[v] is None else rows.unionByName(extra[v]), v, p)
-        scales = {v: scale(fitted[v], v) for v in views}
-        if turn < p.rounds:
-            for v, other in (views, views[::-1]):
-                sure = _logit(pool, fitted[v], v, "x").withColumn("q", _scaled("x", scales[v]))
-                sure = sure.where((F.col("q") >= p.sure) | (F.col("q") <= 1 - p.sure))
-                extra[other] = sure.select(other, F.when(F.col("q") > 0.5, 1.0).otherwise(0.0).alias("bad"))
-    return CoTrained(p, fitted[views[0]], fitted[views[1]], scales[views[0]], scales[views[1]])
+        word, page = head("word_vector", "low", to_word), head("page_vector", "low", to_page)
+        if turn < p.rounds and word and page:
+            to_word, to_page = sure(page, "word_vector"), sure(word, "page_vector")
+    return CoTrained(p, vocabulary, {name: h[:4] for name, h in (("toxic", toxic), ("word", word), ("page", page)) if h})

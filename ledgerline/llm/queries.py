@@ -4,6 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ledgerline.llm.cotraining import co_train
+from ledgerline.llm.latent import contaminated
 from ledgerline.llm.neardup import near_duplicates
 from ledgerline.llm.pieces import decode_pieces, encode_sampled
 from ledgerline.llm.repair import read_shards, write_shards
@@ -11,6 +12,7 @@ from ledgerline.llm.repeats import quality_rules
 from ledgerline.llm.store import scratch
 from ledgerline.llm.suite import query, table
 from ledgerline.llm.tokens import TokenCache, count_tokens
+from ledgerline.llm.toolcalls import blocks, linked_calls
 from ledgerline.llm.urls import TRACKERS, UrlRule, judged_urls
 from ledgerline.llm.warc import archived
 
@@ -135,4 +137,57 @@ def op2(spark, sf):
 def op4(spark, sf):
     docs = table(spark, sf, "documents")
     scored = co_train(docs, table(spark, sf, "labels")).scored(docs)
-    return scored.select("row.doc_id", "word_score", "page_score", "score", "kept")
+    return scored.select("row.doc_id", "toxic_score", "word_score", "page_score", "score", "kept")
+
+
+@query("op9_decontamination")
+def op9(spark, sf):
+    return contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+# The conversations hold no tool blocks: each user turn is a call of `reply`, the assistant's next turn its result, and a call
+# depends on the user turn before.
+REPLY = {
+    "type": "object",
+    "required": ["prompt", "turn"],
+    "additionalProperties": False,
+    "properties": {"prompt": {"type": "string", "minLength": 1, "maxLength": 2000}, "turn": {"type": "integer", "minimum": 0}},
+}
+
+OP3 = """WITH calls AS (
+  SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id, turn ORDER BY to_json(text)) AS k
+  FROM conversations WHERE role = 'user' AND conv_id IS NOT NULL AND turn IS NOT NULL),
+results AS (
+  SELECT conv_id, turn - 1 AS turn, min(to_json(text)) AS content FROM conversations
+  WHERE role = 'assistant' AND conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY ALL),
+judged AS (
+  SELECT c.conv_id, c.turn, c.text, r.content, concat(c.conv_id, '-', c.turn) AS call_id,
+    CASE WHEN c.text IS NULL THEN 'invalid: $.prompt: missing'
+         WHEN NOT length(c.text) BETWEEN 1 AND 2000 THEN 'invalid: $.prompt: length ' || length(c.text)
+         WHEN r.content IS NULL THEN 'no result' ELSE 'ok' END AS status
+  FROM calls c LEFT JOIN results r USING (conv_id, turn) WHERE c.k = 1)
+SELECT conv_id, call_id, turn AS position, turn AS order_at, CAST(0 AS INTEGER) AS order_step, status,
+  '{"arguments":{' || CASE WHEN text IS NULL THEN '' ELSE '"prompt":' || to_json(text) || ',' END || '"turn":' || turn || '},"id":"' || call_id ||
+  '","name":"reply"' || coalesce(',"result":' || content, '') || ',"status":"' || status || '"}' AS record
+FROM judged"""
+
+
+@query("op3_tool_calls", OP3)
+def op3(spark, sf):
+    said = table(spark, sf, "conversations").select("conv_id", F.col("turn").alias("position"), "role", "text")
+    written = blocks(table(spark, sf, "conversations")).withColumn("position", F.expr("position div 1048576"))
+    call_id, before = F.concat_ws("-", "conv_id", "position"), F.concat_ws("-", "conv_id", F.col("position") - 2)
+    calls = said.where("role = 'user'").select(
+        "conv_id",
+        call_id.alias("call_id"),
+        "position",
+        F.lit("reply").alias("name"),
+        F.to_json(F.struct(F.col("text").alias("prompt"), F.col("position").alias("turn"))).alias("arguments"),
+        F.when(F.col("position") >= 2, F.array(before)).otherwise(F.array().cast("array<string>")).alias("depends_on"),
+    )
+    asked = F.concat_ws("-", "conv_id", F.col("position") - 1)
+    quoted = F.regexp_replace(F.to_json(F.struct("text")), r"^\{\"text\":|\}$", "")
+    results = said.where("role = 'assistant' and text is not null").select("conv_id", asked.alias("call_id"), "position", quoted.alias("content"))
+    calls = calls.unionByName(written.where("kind = 'call'").select(calls.columns))
+    results = results.unionByName(written.where("kind = 'result'").select(results.columns))
+    return linked_calls(calls, results, {"reply": REPLY})

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.arrays import SPACE, flat, hash64, mapped, of_windows, words
+from ledgerline.llm.arrays import SPACE, flat, hash64, mapped, of_windows, slices, words
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -152,3 +152,17 @@ def quality_rules(docs: DataFrame, key: str = "doc_id", text: str = "text", rule
     failed = F.expr(f"n_words < {rules.min_words} or 100 * n_repeat_words > {rules.max_repeat_words} * n_words")
     fine = F.expr(f"100 * covered_words <= {rules.max_covered} * n_words and longest_repeat <= {rules.max_longest}")
     return found.withColumnRenamed("key", key).withColumn("base_failed", failed).withColumn("kept", ~failed & fine)
+
+
+def passing(docs: DataFrame, text: str = "text", rules: RepeatRules = RepeatRules()) -> DataFrame:
+    """The rows of docs that quality_rules keeps, with all their columns."""
+
+    def run(batches):
+        for part in slices(batches, text):
+            m = measures(part.column(text).cast(pa.string()), rules)
+            n = m["n_words"]
+            keep = (n >= rules.min_words) & (100 * m["n_repeat_words"] <= rules.max_repeat_words * n)
+            keep &= (100 * m["covered_words"] <= rules.max_covered * n) & (m["longest_repeat"] <= rules.max_longest)
+            yield part.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
