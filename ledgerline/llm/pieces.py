@@ -184,7 +184,8 @@ def sample(texts: pa.Array, seeds: np.ndarray, model: Lattice) -> tuple[np.ndarr
     steps = []
     turn = 0
     while len(live):
-        u = (mix(key[live] + np.uint64(turn + 1) * np.uint64(0xD1B54A32D192ED03)) >> np.uint64(11)) * (1.0 / (1 << 53))
+        draw = mix(key[live] + np.uint64((turn + 1) * 0xD1B54A32D192ED03 & 0xFFFFFFFFFFFFFFFF))
+        u = (draw >> np.uint64(11)) * (1.0 / (1 << 53))
         width = np.ones(len(live), np.int64)
         for w in range(model.width - 1):
             width += u >= into[w, where]

@@ -57,6 +57,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache: TokenCache, key: s
         return {"digest": part.column("digest"), "n_tokens": np.diff(bounds)}
 
     fresh = mapped(texts, ["digest", "text"], counted, "digest binary, n_tokens long", limit=ENCODE_BYTES)
+    fresh = fresh.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))  # rows that repeat key and text
     cache.append(fresh.withColumn("tokenizer", F.lit(version)))
     known = cache.counts(version).join(one, "digest", "left_semi")
     known = stored(known.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")), "counts")
