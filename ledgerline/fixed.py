@@ -363,7 +363,6 @@ AUC_GATE = 0.80
 RECALL_GATE = 0.85
 FORECAST_HORIZON = 5
 FORECAST_WINDOW = 20
-FORECAST_HISTORY = 750
 AR_ORDER = 5
 ROLLING_WINDOWS = (60, 250)
 MAPE_EPSILON = 1e-8

@@ -71,19 +71,20 @@ def train_forecaster(
     models: Mapping[str, Sequence[str]],
     horizon: int = fixed.FORECAST_HORIZON,
     window: int = fixed.FORECAST_WINDOW,
-    history: int = fixed.FORECAST_HISTORY,
+    history: int | None = None,
     ratio: float = fixed.TRAIN_SHARE,
     ridge: float = 1e-4,
 ) -> dict[str, DataFrame]:
     """Linear models of the next `horizon` values on the last `window` rows of each feature, over all series.
 
-    All models and horizons share one training pass: their normal equations are blocks of the same joint
+    Whole series are used unless `history` keeps the last rows only. All models and horizons share one training pass: their normal equations are blocks of the same joint
     moments. Returns `metrics` (key, model, horizon, n, rmse, mae, mape), `pooled` (over horizons), `best`
     (lower pooled RMSE per series) and `predictions` (base, key, horizon label, predicted, model).
     """
     features = list(dict.fromkeys([target, *[f for fs in models.values() for f in fs]]))
     order = s.order[0]
-    recent = last_n_rows(df.select(*s.keys, *s.order, *features), s.keys, s.order, history)
+    recent = df.select(*s.keys, *s.order, *features)
+    recent = recent if history is None else last_n_rows(recent, s.keys, s.order, history)
     scaled = _scaled_by_train(recent, s, features, ratio).persist()
     bounds = scaled.select(*s.keys, f"{target}_lo", f"{target}_hi").distinct()
     cols = [f"{f}_s" for f in features]
@@ -232,7 +233,8 @@ def ar_diff_baseline(
     numbered = test.withColumn("step", F.row_number().over(s.window).cast("bigint"))
     lengths = test.groupBy(*s.keys).agg(F.count(F.lit(1)).alias("steps"))
     path = ar_forecast(ar_fit(train, s, "v", p).join(lengths, list(s.keys)), s, "steps")
-    return numbered.join(path, [*s.keys, "step"]).select(
+    # A series without training rows keeps its rows, with no prediction.
+    return join_on(numbered, path, [*s.keys, "step"], "left").select(
         *s.keys, *s.order, "step", F.col("v").alias("actual"), "predicted"
     )
 

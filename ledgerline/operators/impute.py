@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.operators.aggregates import group_median
-from ledgerline.operators.ordered import constants, percentile_method
+from ledgerline.operators.ordered import constants
 from ledgerline.operators.series import join_on
 from ledgerline.storage import checkpointed
 
@@ -31,16 +31,14 @@ def impute_median(
     cols = list(cols)
     df = df.withColumn(flag, F.expr(" or ".join(f"`{c}` is null" for c in cols)))
 
-    sizes = df.groupBy(entity).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"), F.sum("n")).first()
-    per_entity, overall = (percentile_method(n or 0) for n in sizes)
     later = df.filter(F.col(year) >= cutoff)
-    global_later = constants(group_median(later, [], cols, overall))
-    global_all = constants(group_median(df, [], cols, overall))
+    global_later = constants(group_median(later, [], cols))
+    global_all = constants(group_median(df, [], cols))
     fallback = {c: F.coalesce(global_later[c], global_all[c]) for c in cols}
     early = F.col(year) < cutoff
 
     def filled(frame: DataFrame, source: DataFrame, names: Sequence[str], fill) -> DataFrame:
-        own = group_median(source, [entity], names, per_entity).withColumnsRenamed({c: f"__m_{c}" for c in names})
+        own = group_median(source, [entity], names).withColumnsRenamed({c: f"__m_{c}" for c in names})
         joined = join_on(frame, own, [entity])
         return joined.withColumns({c: F.coalesce(F.col(c), fill(c)) for c in names}).drop(
             *[f"__m_{c}" for c in names]
@@ -54,7 +52,7 @@ def impute_median(
     open_cols = [c for c in cols if left[c]]
     if not open_cols:
         return first
-    overall_now = constants(group_median(first, [], open_cols, overall))
+    overall_now = constants(group_median(first, [], open_cols))
     no_value = lambda c: F.raise_error(F.lit(f"no median for {c}")).cast("double")
     return filled(
         first,

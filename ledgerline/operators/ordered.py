@@ -10,12 +10,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerline.operators.series import join_on
+from ledgerline.storage import checkpointed
 
-# Up to this many rows per group the exact percentile aggregate holds its value counts in one task.
-DIRECT_ROWS = 2_000_000
-# Rank error of the sketch that brackets an order statistic in larger groups is 1/accuracy.
+# Rank error of the sketch that brackets an order statistic is 1/accuracy.
 BRACKET_ACCURACY = 100_000
-SEGMENTS = 512
+# Rows that one ordered piece of a running total should hold; the number of pieces follows the rows.
+SEGMENT_ROWS = 500_000
 
 
 def constants(df: DataFrame) -> dict[str, Column]:
@@ -35,28 +35,14 @@ def _literal(value, kind) -> Column:
     return F.lit(value).cast(kind)
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
-
-
-def percentile_method(rows: int) -> str:
-    return "direct" if rows <= DIRECT_ROWS else "bracket"
-
-
 def exact_percentiles(
-    df: DataFrame,
-    cols: Sequence[str],
-    probs: Sequence[float],
-    keys: Sequence[str] = (),
-    method: str = "auto",
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float], keys: Sequence[str] = ()
 ) -> DataFrame:
-    """Linearly interpolated percentiles per group: one row per key, one array column per input column."""
-    if method == "auto":
-        method = percentile_method(largest_group(df, keys))
-    if method == "direct":
-        wanted = F.array(*[F.lit(float(p)) for p in probs])
-        return df.groupBy(*keys).agg(*[F.percentile(F.col(c).cast("double"), wanted).alias(c) for c in cols])
+    """Linearly interpolated percentiles per group: one row per key, one array column per input column.
+
+    One method at every size: a sketch brackets each order statistic, rows below the bracket are counted and only the
+    bracket is ranked. A statistic outside its bracket fails the query instead of giving a wrong value.
+    """
     return _bracketed_percentiles(df, list(cols), list(probs), list(keys))
 
 
@@ -124,7 +110,9 @@ def _bracketed_percentiles(df, cols, probs, keys) -> DataFrame:
         F.max(F.when(holds("want.hi_rank"), F.col("v"))).alias("hi"),
         F.max("want.part").alias("part"),
     )
-    value = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part")
+    missed = F.raise_error(F.lit("an order statistic lies outside its bracket")).cast("double")
+    lo, hi = (F.coalesce(F.col(c), missed) for c in ("lo", "hi"))
+    value = lo + (hi - lo) * F.col("part")
     wide = picked.groupBy(*kept).agg(
         *[
             F.array(
@@ -133,28 +121,31 @@ def _bracketed_percentiles(df, cols, probs, keys) -> DataFrame:
             for c in cols
         ]
     )
-    return wide.withColumnsRenamed(dict(zip(kept, keys)))
+    wide = wide.withColumnsRenamed(dict(zip(kept, keys)))
+    # Groups without any value have no statistic but keep their row.
+    return join_on(df.select(*keys).distinct(), wide, keys, "left") if keys else wide
 
 
 def kth_value(df: DataFrame, col: str, k: int):
-    """(value, rows before it, rows up to it) of the k-th smallest row by `col`; ties share a value."""
+    """(value, rows before it, rows up to it) of the k-th smallest row by `col`; ties share a value, NULLs come first.
+
+    The value counts are dealt by range, each range is summed, and only the range that holds the row is ranked. Any type
+    that can be ordered will do.
+    """
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    total, distinct = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
-    if not total or k < 1 or k > total:
-        return None
+    # Stored: a second run would sample other range bounds.
+    dealt = checkpointed(counts.repartitionByRange(col).withColumn("__part", F.spark_partition_id()))
     below = 0
-    if distinct > BRACKET_ACCURACY:
-        p, slack = k / total, 2.0 / BRACKET_ACCURACY
-        edges = [min(max(p + d, 0.0), 1.0) for d in (-slack, slack)]
-        lo, hi = df.agg(F.percentile_approx(col, edges, BRACKET_ACCURACY)).first()[0]
-        if edges[0] > 0.0:
-            below = counts.filter(F.col(col) < F.lit(lo)).agg(F.sum("n")).first()[0] or 0
-            counts = counts.filter(F.col(col) >= F.lit(lo))
-        if edges[1] < 1.0:
-            counts = counts.filter(F.col(col) <= F.lit(hi))
+    for part, n in sorted(dealt.groupBy("__part").agg(F.sum("n")).collect()):  # one row a partition
+        if below < k <= below + n:
+            break
+        below += n
+    else:
+        return None
     upto = W.orderBy(col).rowsBetween(W.unboundedPreceding, 0)
     row = (
-        counts.withColumn("upto", F.sum("n").over(upto) + F.lit(below))
+        dealt.filter(F.col("__part") == part)
+        .withColumn("upto", F.sum("n").over(upto) + F.lit(below))
         .filter(F.col("upto") >= k)
         .orderBy(col)
         .first()
@@ -162,19 +153,23 @@ def kth_value(df: DataFrame, col: str, k: int):
     return row[col], row["upto"] - row["n"], row["upto"]
 
 
-def value_segments(df: DataFrame, col: str, out: str, parts: int = SEGMENTS) -> DataFrame:
-    """Add a segment number, non-decreasing in `col`, with rows spread evenly by sketched quantiles."""
+def value_segments(df: DataFrame, col: str, out: str, parts: int | None = None) -> DataFrame:
+    """Add a segment number, non-decreasing in `col`, with rows spread evenly by sketched quantiles; without `parts` their
+    number follows the rows."""
+    parts = parts or -(-df.count() // SEGMENT_ROWS)
     probs = [i / parts for i in range(1, parts)]
-    cuts = sorted(set(df.stat.approxQuantile(col, probs, 0.25 / parts)))
+    cuts = sorted(set(df.stat.approxQuantile(col, probs, 0.25 / parts))) if probs else []
+    if not cuts:
+        return df.withColumn(out, F.lit(0))
     splits = [float("-inf"), *cuts, float("inf")]
     numbered = Bucketizer(splits=splits, inputCol=col, outputCol=out, handleInvalid="keep").transform(df)
     return numbered.withColumn(out, F.col(out).cast("int"))
 
 
-def running_totals(df: DataFrame, col: str, sums: Sequence[str], parts: int = SEGMENTS) -> DataFrame:
+def running_totals(df: DataFrame, col: str, sums: Sequence[str], parts: int | None = None) -> DataFrame:
     """Cumulative sums in ascending `col` (distinct values); adds `cum_<c>`, the total up to each row."""
     seg = value_segments(df, col, "__seg", parts)
-    earlier = W.orderBy("__seg").rowsBetween(W.unboundedPreceding, -1)  # at most `parts` rows
+    earlier = W.orderBy("__seg").rowsBetween(W.unboundedPreceding, -1)  # a row a segment
     starts = (
         seg.groupBy("__seg")
         .agg(*[F.sum(c).alias(c) for c in sums])
@@ -182,7 +177,7 @@ def running_totals(df: DataFrame, col: str, sums: Sequence[str], parts: int = SE
     )
     inside = W.partitionBy("__seg").orderBy(col).rowsBetween(W.unboundedPreceding, 0)
     return (
-        seg.join(F.broadcast(starts), "__seg")  # one row per segment, at most `parts`
+        seg.join(starts, "__seg")
         .withColumns({f"cum_{c}": F.col(f"__s_{c}") + F.sum(c).over(inside) for c in sums})
         .drop("__seg", *[f"__s_{c}" for c in sums])
     )

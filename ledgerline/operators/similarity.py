@@ -47,20 +47,16 @@ def dtw_matrix(
     value: str,
     names: Sequence,
     band: int | None = None,
-    max_points: int = 50_000,
 ) -> DataFrame:
     """(a, b, distance) between the named series, z-scored on the dates all of them have.
 
     Each pair is one row and pairs spread over tasks. Series are meant to be daily (9,131 days in 25 years);
-    the cost grows with the square of the length, or with length times `band`, so longer ones are refused.
+    the cost grows with the square of the length, or with length times `band`.
     """
     names = list(names)
     held = df.filter(F.col(key).isin(*names)).select(key, order, F.col(value).cast("double").alias("v"))
-    # Stored once: the length check and both sides of the pairs read it.
+    # Stored once: both sides of the pairs read it.
     aligned = checkpointed(zscore(align_common(held, key, order, "v"), ["v"], [key], ddof=1))
-    longest = aligned.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-    if longest > max_points:
-        raise ValueError(f"series of {longest} points exceed {max_points}: aggregate them to a coarser period")
     arrays = aligned.groupBy(key).agg(
         F.transform(F.array_sort(F.collect_list(F.struct(order, "v_z"))), lambda p: p["v_z"]).alias("z")
     )

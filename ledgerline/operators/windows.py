@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.moments import correlation
 from ledgerline.operators.ordered import kth_value
-from ledgerline.operators.series import Series, carried, framed, position
+from ledgerline.operators.series import Series, carried, framed, join_on, position
 
 
 def _names(cols: Mapping[str, str] | Sequence[str] | str, suffix: str) -> dict[str, str]:
@@ -125,8 +125,15 @@ def latest_row(df: DataFrame, keys: Sequence[str], order: str | Sequence[str]) -
     return _ranked(df, keys, _latest_first(order), 1)
 
 
-def last_n_rows(df: DataFrame, keys: Sequence[str], order: str | Sequence[str], n: int) -> DataFrame:
-    return _ranked(df, keys, _latest_first(order), n)
+def last_n_rows(df: DataFrame, keys: Sequence[str], order: str | Sequence[str], n: int, spread: int = 32) -> DataFrame:
+    """The last n rows per key. Beyond the n that Spark prunes inside map tasks, a key's rows are first ranked in `spread`
+    parts, so no task gathers a hot key."""
+    latest = _latest_first(order)
+    if n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        by = [order] if isinstance(order, str) else list(order)
+        part = F.pmod(F.xxhash64(*by), F.lit(spread))
+        df = _ranked(df.withColumn("__part", part), [*keys, "__part"], latest, n).drop("__part")
+    return _ranked(df, keys, latest, n)
 
 
 def _ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
@@ -141,7 +148,7 @@ def latest_non_null(
     """Per key and per column the last non-null value, which may come from different rows."""
     order = [order] if isinstance(order, str) else list(order)
     cols = [c for c in (cols or df.columns) if c not in keys]
-    at = F.struct(*order)
+    at = F.col(order[0]) if len(order) == 1 else F.struct(*order)  # a struct would need a sorted aggregate
     return df.groupBy(*keys).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(c) for c in cols])
 
 
@@ -162,7 +169,7 @@ def time_split(df: DataFrame, order: str, ties: Sequence[str], ratio: float = 0.
     """Mark the first floor(n * ratio) rows by (order, *ties) as training rows.
 
     The cut row is found by counting, so the result is a plain comparison with constants: no sort, no
-    numbering, and a time value holding a large share of the rows is split by the tie columns.
+    numbering, and a time value holding a large share of the rows is split by the tie columns. NULLs come first.
     """
     need = int(df.count() * ratio)
     train = F.lit(False)
@@ -170,9 +177,11 @@ def time_split(df: DataFrame, order: str, ties: Sequence[str], ratio: float = 0.
         rows, equal, branches = df, F.lit(True), []
         for c in (order, *ties):
             value, before, upto = kth_value(rows, c, need)
-            branches.append(equal & (F.col(c) < F.lit(value)))
-            equal = equal & (F.col(c) == F.lit(value))
-            rows, need = rows.filter(F.col(c) == F.lit(value)), need - before
+            less = F.lit(False) if value is None else F.col(c).isNull() | (F.col(c) < F.lit(value))
+            same = F.col(c).isNull() if value is None else F.col(c).eqNullSafe(F.lit(value))
+            branches.append(equal & less)
+            equal = equal & same
+            rows, need = rows.filter(same), need - before
             if upto - before == need:
                 branches.append(equal)
                 break
@@ -189,7 +198,7 @@ def series_split(df: DataFrame, s: Series, ratio: float = 0.8) -> DataFrame:
     if not s.keys:
         return numbered.withColumn("is_train", F.col("__pos") <= int(df.count() * ratio)).drop("__pos")
     sizes = df.groupBy(*s.keys).agg(F.floor(F.count(F.lit(1)) * F.lit(ratio)).alias("__train"))
-    joined = numbered.join(sizes, list(s.keys))
+    joined = join_on(numbered, sizes, s.keys)
     return joined.withColumn("is_train", F.col("__pos") <= F.col("__train")).drop("__pos", "__train")
 
 

@@ -93,17 +93,20 @@ def clean_fact(
 ) -> DataFrame:
     """Headers, types, gaps, date key, one row per (date, key), optional audit columns.
 
+    Rows without a date that parses, or without a value that the rules require (after typing), are rejected.
+
     `order` decides which duplicate survives; without it the value columns do.
     """
     df = rename_aliases(df, rules.aliases, rules.required)
     have = set(df.columns)
-    df = require_not_null(df, rules.not_null) if rules.not_null else df
     typed = {c: clean_numeric(c) if c in have else F.lit(None).cast("double") for c in rules.real}
     typed |= {c: to_whole(c) if c in have else F.lit(None).cast("bigint") for c in rules.whole}
     df = df.withColumns(typed)
     # A net column is derived only where the source lacks it altogether.
     df = df.withColumns({n: net_flow(b, s) for n, (b, s) in rules.net.items() if n not in have})
     df = df.withColumn("date_key", date_key(F.col("date").try_cast("date")))
+    # Rejected only now: text that is no number, and a date that does not parse, are as missing as a gap.
+    df = require_not_null(df, [*rules.not_null, "date_key"])
     df = dedupe_first(df, ["date_key", key], [*order, *rules.values])
     if rules.fill:
         # One row per day by now, so the calendar bounds each key's window.
@@ -164,7 +167,7 @@ def bars_from_ticks(
     ticks: DataFrame, key: str, ts: str, price: str, volume: Column | str, sequence: Sequence[str]
 ) -> DataFrame:
     """Daily open/high/low/close/volume per key; map-side combined, so a hot key shuffles one row per day."""
-    at = F.struct(*sequence)
+    at = F.col(sequence[0]) if len(sequence) == 1 else F.struct(*sequence)  # a struct would need a sorted aggregate
     amount = F.sum(volume) if isinstance(volume, str) else volume
     return ticks.groupBy(F.col(key), date_key(ts).alias("date_key")).agg(
         F.min_by(price, at).alias("open_price"),

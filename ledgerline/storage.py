@@ -2,19 +2,31 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_own: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared scratch folder; only a local session without one gets a temporary folder."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The shared scratch folder that the session names in spark.checkpoint.dir.
+
+    A local session that names none gets one folder, removed when the process ends; on a cluster that is an error.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="ledgerline-")
+    if context.applicationId not in _own:
+        _own[context.applicationId] = tempfile.mkdtemp(prefix="ledgerline-")
+        atexit.register(shutil.rmtree, _own[context.applicationId], ignore_errors=True)
+    return _own[context.applicationId]
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -211,7 +211,8 @@ def json_report(spark, sf):
     return spark.read.schema("n_nationkey int, n_name string, n_regionkey int").json(path)
 
 
-STATUS_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
+STATUS_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+                 "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 @query(

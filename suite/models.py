@@ -48,7 +48,7 @@ def pca_variance(spark, sf):
 
 @query("cluster_search")
 def cluster_search(spark, sf):
-    return CL.kmeans_search(_standardised(spark, sf), FEATURES, range(2, 6), n_init=2)
+    return CL.kmeans_search(_standardised(spark, sf), FEATURES)
 
 
 DIST = "sqrt(list_sum(list_transform(list_zip(a.v, b.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))))"
@@ -141,7 +141,7 @@ def _risk_rows(spark, sf):
 
 def _evaluated(spark, sf):
     return reports.risk_evaluation(
-        _risk_rows(spark, sf), RISK_FEATURES, "year", ["entity"], "risk_label", trees=20, depth=6
+        _risk_rows(spark, sf), RISK_FEATURES, "year", ["entity"], "risk_label"
     )
 
 
@@ -156,10 +156,10 @@ def risk_gates(spark, sf):
     return _evaluated(spark, sf)["gates"]
 
 
-def _forest(spark, sf, trees=20):
+def _forest(spark, sf):
     rows = checkpointed(_risk_rows(spark, sf))
     train = time_split(rows, "year", ["entity"]).filter("is_train")
-    return RK.fit_risk_forest(train, RISK_FEATURES, "risk_label", trees, 6)
+    return RK.fit_risk_forest(train, RISK_FEATURES, "risk_label")
 
 
 @query("feature_importance")
@@ -215,10 +215,11 @@ def auc_of_large_table(spark, sf):
     f"""WITH {SCORED}, t AS (SELECT DISTINCT prob AS threshold FROM scored)
     SELECT round(threshold, 6) AS threshold, round(count(*) FILTER (label = 0 AND prob >= threshold) / max(nn), 6) AS fpr,
     round(count(*) FILTER (label = 1 AND prob >= threshold) / max(np), 6) AS tpr FROM t, scored,
-    (SELECT count(*) FILTER (label = 1) AS np, count(*) FILTER (label = 0) AS nn FROM scored) GROUP BY t.threshold""",
+    (SELECT count(*) FILTER (label = 1) AS np, count(*) FILTER (label = 0) AS nn FROM scored) GROUP BY t.threshold
+    UNION ALL SELECT 'inf'::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE""",
 )
 def roc_points(spark, sf):
-    return rounded(RK.roc_points(scored(spark, sf), "label", "prob").filter("threshold < 2"))
+    return rounded(RK.roc_points(scored(spark, sf), "label", "prob"))
 
 
 @query(

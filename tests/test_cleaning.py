@@ -148,6 +148,12 @@ def test_order_stats_reject_nulls(spark):
     assert as_set(facts.clean_fact(raw, facts.ORDER_STATS_RULES), "date_key") == {(20240101,)}
 
 
+def test_price_cleaning_rejects_what_does_not_parse(spark):
+    rows = [(d, "1", "1", "1", c, "1") for d, c in (("2024-01-02", "nan"), ("2024-01-03", "abc"), ("2024-01-04", "5"), ("bad", "6"), ("worse", "7"))]
+    raw = spark.createDataFrame(rows, ["Date", "Open", "High", "Low", "Close", "Volume"]).withColumn("stock_key", F.lit(1))
+    assert as_set(facts.clean_fact(raw, facts.PRICE_RULES), "date_key", "close_price") == {(20240104, 5.0)}
+
+
 def test_daily_metrics_by_hand(spark):
     rows = [(20240102, 1, 10.0, 12.0, 9.0, 11.0, 0), (20240103, 1, 0.0, 12.0, 9.0, 22.0, 50), (20240102, 1, 10.0, 12.0, 9.0, 11.0, 0)]
     cols = "date_key bigint, stock_key bigint, open_price double, high_price double, low_price double, close_price double, trading_volume bigint"

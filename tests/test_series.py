@@ -114,15 +114,35 @@ def test_time_split_needs_a_total_order(spark):
         windows.time_split(df, "day", ["a"], 0.5)
 
 
-def test_kth_value_uses_the_bracket(spark, monkeypatch):
-    monkeypatch.setattr(ordered, "BRACKET_ACCURACY", 50)
+def test_kth_value(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1009).alias("v"))
     values = sorted(r["v"] for r in df.collect())
     for k in (1, 2, 333, 800, 999, 1000):
         value, before, upto = ordered.kth_value(df, "v", k)
         assert value == values[k - 1]
         assert before == sum(v < value for v in values) and upto == sum(v <= value for v in values)
-    assert ordered.kth_value(df, "v", 0) is None
+    assert ordered.kth_value(df, "v", 0) is None and ordered.kth_value(df, "v", 1001) is None
+    text = df.select(F.when(F.col("v") > 9, F.col("v").cast("string")).alias("t"))
+    ranked = sorted((r["t"] for r in text.collect()), key=lambda t: (t is not None, t or ""))
+    assert [ordered.kth_value(text, "t", k)[0] for k in (1, 10, 500, 1000)] == [ranked[k - 1] for k in (1, 10, 500, 1000)]
+
+
+def test_splits_keep_null_rows(spark):
+    rows = [(None if i % 5 == 0 else i, f"k{i:03d}") for i in range(20)]
+    df = spark.createDataFrame(rows, "day int, name string")
+    split = windows.time_split(df, "day", ["name"], 0.5)
+    got = {r["name"] for r in split.filter("is_train").collect()}
+    assert got == {n for _, n in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))[:10]}
+    assert split.filter("is_train IS NULL").count() == 0
+    keyed = spark.createDataFrame([(None if i % 2 else "a", i) for i in range(10)], "k string, at int")
+    parts = windows.series_split(keyed, Series.of("k", "at"), 0.6)
+    assert parts.count() == 10 and parts.filter("is_train").count() == 6
+
+
+def test_last_rows_of_a_hot_key(spark):
+    df = spark.range(5000).select((F.col("id") % 2).alias("k"), F.col("id").alias("at"))
+    got = windows.last_n_rows(df, ["k"], "at", 1500)
+    assert {r["at"] for r in got.collect()} == set(range(2000, 5000))
 
 
 def test_bracketed_percentiles_match_direct(spark, monkeypatch):
@@ -132,8 +152,9 @@ def test_bracketed_percentiles_match_direct(spark, monkeypatch):
     df = spark.createDataFrame(rows, "k string, a double, b double")
     probs = [0.0, 0.25, 0.5, 0.9, 1.0]
     for keys in ((), ("k",)):
-        direct = ordered.exact_percentiles(df, ["a", "b"], probs, keys, "direct").collect()
-        bracket = ordered.exact_percentiles(df, ["a", "b"], probs, keys, "bracket").collect()
+        wanted = F.array(*[F.lit(p) for p in probs])
+        direct = df.groupBy(*keys).agg(*[F.percentile(c, wanted).alias(c) for c in ("a", "b")]).collect()
+        bracket = ordered.exact_percentiles(df, ["a", "b"], probs, keys).collect()
         order = lambda rows: sorted(rows, key=lambda r: str(r[0]))
         assert len(direct) == len(bracket)
         for d, b in zip(order(direct), order(bracket)):
@@ -143,7 +164,7 @@ def test_bracketed_percentiles_match_direct(spark, monkeypatch):
 
 def test_percentiles_of_small_groups_in_bracket_mode(spark):
     df = spark.createDataFrame([("a", 1.0), ("b", 1.0), ("b", 2.0), ("b", 4.0)], "k string, v double")
-    got = ordered.exact_percentiles(df, ["v"], [0.5, 0.75], ["k"], "bracket")
+    got = ordered.exact_percentiles(df, ["v"], [0.5, 0.75], ["k"])
     assert {r["k"]: r["v"] for r in got.collect()} == {"a": [1.0, 1.0], "b": [2.0, 3.0]}
 
 
@@ -152,7 +173,9 @@ def test_running_totals(spark):
         (F.col("id") * F.col("id") / 7.0).alias("score"), (F.col("id") % 3).alias("n")
     )
     plain = df.withColumn("cum_n", F.sum("n").over(W.orderBy("score").rowsBetween(W.unboundedPreceding, 0)))
-    assert as_set(ordered.running_totals(df, "score", ["n"], 16), "score", "cum_n") == as_set(plain, "score", "cum_n")
+    for parts in (None, 16):
+        assert as_set(ordered.running_totals(df, "score", ["n"], parts), "score", "cum_n") == as_set(plain, "score", "cum_n")
+    assert ordered.running_totals(df.limit(0), "score", ["n"]).count() == 0
 
 
 def test_results_do_not_depend_on_partitioning(hot):
