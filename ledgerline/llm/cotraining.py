@@ -31,7 +31,7 @@ class CoTraining:
     evidence: float = 20.0
     terms: int = 2000
     page_features: int = 1 << 12
-    iterations: int = 60
+    iterations: int = 30
     penalty: float = 1e-4
     reject: float = 0.5
 
@@ -196,7 +196,7 @@ def co_train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     ids = F.broadcast(chosen.withColumnRenamed("key", "_chosen"))  # labelled_rows + pool_rows at most, but for chance
     have = [c for c in (text, "lang", "source", "n_chars") if c in docs.columns]
     picked = docs.select(F.col(key).alias("_key"), *have).join(ids, F.col("_key") == F.col("_chosen"))
-    terms = stored(_termed(picked, F.struct("low", "toxic", "part"), text).select("row.*", "words", "page").repartition(6), "sample")
+    terms = stored(_termed(picked, F.struct("low", "toxic", "part"), text).select("row.*", "words", "page").repartition(3), "sample")
     vocabulary = telling_terms(terms.where("part = 'train'"), p)
     sample = stored(_vectored(terms, vocabulary, p), "sample")
     train, fold, pool = (sample.where(F.col("part") == part) for part in ("train", "fold", "pool"))
