@@ -17,7 +17,8 @@ from ledgerline.llm.store import stored
 @dataclass(frozen=True)
 class Latent:
     """features: hashed words. rank and extra: latent dimensions and oversampling; seed: of the random projection. whole: words in
-    a passage of the matrix, passages side by side. passage and stride: words in a searched passage and between the beginnings
+    a passage of the matrix, passages side by side. fit_passages: about how many passages, of documents drawn by a hash of their
+    words, the projection is fitted on; word statistics come from all documents, and all passages are searched. passage and stride: words in a searched passage and between the beginnings
     of two. step: words between an item's query passages; these begin at its first `stride` words, since any longer copy holds
     a searched passage that begins there. nearest: cosine from which a passage is a candidate. shared: share of a candidate
     passage's words that must be the item's, in any order. overlap: share of an item's words that a common subsequence must
@@ -25,13 +26,14 @@ class Latent:
     with fewer words must be there in full. block: items that one pass over the documents searches for."""
 
     features: int = 1 << 14
-    rank: int = 128
+    rank: int = 80
     extra: int = 8
     seed: int = 5
     whole: int = 24
+    fit_passages: int = 200_000
     passage: int = 16
     stride: int = 8
-    step: int = 2
+    step: int = 4
     nearest: float = 0.55
     shared: float = 0.6
     overlap: float = 0.8
@@ -115,7 +117,7 @@ def _vectors(code: np.ndarray, begin: np.ndarray, end: np.ndarray, table: np.nda
 
 
 def right_factors(codes: DataFrame, weight: np.ndarray, p: Latent) -> np.ndarray:
-    """The leading right singular vectors (features x rank) of the TF-IDF matrix A of all passages, by a randomised SVD, each
+    """The leading right singular vectors (features x rank) of the TF-IDF matrix A of the passages, by a randomised SVD, each
     divided by its singular value, so that no direction of common words outweighs the others.
 
     One pass gives A'(A G) for a random G, whose orthonormal basis Q holds the leading directions; a second pass gives the
@@ -259,7 +261,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     count, n = document_frequencies(codes, p)
     if n and known.where("text is not null").head(1):
         weight = np.log((1 + n) / (1 + count)).astype(np.float32)
-        latent = (weight[:, None] * right_factors(codes, weight, p)).astype(np.float32)
+        drawn = F.pmod(F.xxhash64("codes"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, p.fit_passages / n))
+        latent = (weight[:, None] * right_factors(codes.where(drawn), weight, p)).astype(np.float32)
         parts = max(1, -(-known.count() // p.block))
         for k in range(parts):
             mine = known.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == k)
@@ -285,7 +288,8 @@ def _aligned(found: DataFrame, docs: DataFrame, known: DataFrame, key: str, text
     """(key, item, overlap) of the candidates that pass the alignment and answer checks."""
     texts = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     asked = stored(found.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("item", "begin", "end"))).alias("asked")), "asked")
-    rows = texts.join(asked, "key")
+    # Always by shuffle: the documents asked for grow with the input, so a broadcast would only hold for small ones.
+    rows = texts.join(asked.hint("merge"), "key")
     goals = known.select("item", F.col("text").alias("goal"))
     each = rows.select("key", "text", F.explode("asked").alias("a")).select("key", "text", "a.*").join(goals, "item")
     kind = dict(docs.dtypes)[key]
