@@ -19,8 +19,8 @@ class Latent:
     """features: hashed words. rank and extra: latent dimensions and oversampling; seed: of the random projection. whole: words in
     a passage of the matrix, passages side by side. fit_passages: about how many passages, of documents drawn by a hash of their
     words, the projection is fitted on; word statistics come from all documents, and all passages are searched. passage and stride: words in a searched passage and between the beginnings
-    of two. step: words between an item's query passages; these begin at its first `stride` words, since any longer copy holds
-    a searched passage that begins there. nearest: cosine from which a passage is a candidate. shared: share of a candidate
+    of two. step: words between an item's query passages, which reach from its first word to its last, since a copy may lack
+    any part of the item. nearest: cosine from which a passage is a candidate. shared: share of a candidate
     passage's words that must be the item's, in any order. overlap: share of an item's words that a common subsequence must
     have; overlap_with_answer: the same where the answer, the item's last answer_words words, is there as well. short: items
     with fewer words must be there in full. block: items that one pass over the documents searches for."""
@@ -105,14 +105,18 @@ def document_frequencies(codes: DataFrame, p: Latent) -> tuple[np.ndarray, int]:
 
 
 def _vectors(code: np.ndarray, begin: np.ndarray, end: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Sums of table rows over ranges of codes."""
-    out = np.zeros((len(begin), table.shape[1]), np.float32)
-    for lo in range(0, len(begin), 4096):
-        a, b = begin[lo : lo + 4096], end[lo : lo + 4096]
-        first = int(a[0])
-        run = np.zeros((int(b.max()) - first + 1, table.shape[1]), np.float32)
-        np.cumsum(table[code[first : int(b.max())]], axis=0, out=run[1:])
-        out[lo : lo + 4096] = run[b - first] - run[a - first]
+    """Sums of table rows over short ranges of codes."""
+    out = np.zeros((len(begin), table.shape[1]), table.dtype)
+    for lo in range(0, len(begin), 512):
+        a, b, total = begin[lo : lo + 512], end[lo : lo + 512], out[lo : lo + 512]
+        rows = np.empty_like(total)
+        for k in range(int((b - a).max())):
+            live = a + k < b
+            if live.all():
+                np.take(table, code[a + k], axis=0, out=rows, mode="clip")
+                total += rows
+            else:
+                total[live] += table[code[a[live] + k]]
     return out
 
 
@@ -177,53 +181,55 @@ def _gathered(codes: DataFrame, table: np.ndarray, weight: np.ndarray | None, p:
 def candidates(codes: DataFrame, items: list[tuple[int, np.ndarray]], latent: np.ndarray, p: Latent) -> DataFrame:
     """(key, item, begin, end) of passages with a cosine of at least p.nearest to a passage of an item; neighbouring passages of
     one document that are near the same item are one stretch."""
-    goal, which, owns = [], [], np.zeros((len(items), p.features), bool)
+    items = [(i, c) for i, c in items if len(c)]
+    goal, first = [], np.zeros(len(items), np.int64)
+    owns = np.zeros((p.features, len(items)), np.min_scalar_type(p.passage))
     for k, (_, c) in enumerate(items):
-        begin = np.arange(0, max(1, min(p.stride, len(c) - p.passage + 1)), p.step)
-        owns[k, c] = True
-        if len(c):
-            goal.append(_vectors(c, begin, np.minimum(begin + p.passage, len(c)), latent))
-            which += [k] * len(begin)
+        last = max(0, len(c) - p.passage)
+        begin = np.append(np.arange(0, last, p.step), last)
+        owns[c, k] = 1
+        first[k] = sum(map(len, goal))
+        goal.append(_vectors(c, begin, np.minimum(begin + p.passage, len(c)), latent))
     goal = np.concatenate(goal) if goal else np.zeros((0, latent.shape[1]), np.float32)
     goal /= np.maximum(np.linalg.norm(goal, axis=1, keepdims=True), 1e-9)
-    number, which = np.array([i for i, _ in items], np.int64), np.array(which, np.int64)
-    shared = codes.sparkSession.sparkContext.broadcast((latent, goal, which, number, owns))  # one block of items
+    number = np.array([i for i, _ in items], np.int64)
+    shared = codes.sparkSession.sparkContext.broadcast((latent, goal, first, number, owns))  # one block of items
     kind = dict(codes.dtypes)["key"]
     schema = f"key {kind}, item long, begin long, end long"
     kinds = arrow_schema(schema)
 
     def run(batches):
-        latent, goal, which, number, owns = shared.value
-        for part in slices(batches, "codes", 1 << 20):
+        latent, goal, first, number, owns = shared.value
+        for part in slices(batches, "codes", 1 << 20) if len(number) else ():
             code, of = _read(part.column("codes"))
             begin, end, doc = passages(of, p.passage, p.stride)
             hits = [np.zeros(0, np.int64)]
             for lo in range(0, len(begin), 2048):
                 a, b = begin[lo : lo + 2048], end[lo : lo + 2048]
-                own = _vectors(code, a, b, latent)
-                own /= np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-9)
-                r, c = np.nonzero(own @ goal.T >= p.nearest)
-                c = which[c]
-                same = np.zeros(len(r), np.int64)
-                for k in range(p.passage):
-                    at = a[r] + k
-                    same += (at < b[r]) & owns[c, code[np.minimum(at, len(code) - 1)]]
-                keep = same >= p.shared * (b - a)[r]
-                hits.append((r[keep] + lo) * max(1, len(number)) + c[keep])
+                # words in common first: few passages have enough, and only these are projected
+                held = _vectors(code, a, b, owns) >= np.ceil(p.shared * (b - a)).astype(owns.dtype)[:, None]
+                some = np.flatnonzero(held.any(1))
+                for at in range(0, len(some), 256):
+                    r = some[at : at + 256]
+                    own = _vectors(code, a[r], b[r], latent)
+                    own /= np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-9)
+                    near = np.maximum.reduceat(own @ goal.T, first, axis=1) >= p.nearest
+                    x, c = np.nonzero(held[r] & near)
+                    hits.append((r[x] + lo) * max(1, len(number)) + c)
             hit = np.unique(np.concatenate(hits))
             r, c = hit // max(1, len(number)), hit % max(1, len(number))
             order = np.lexsort((r, c))
             r, c = r[order], c[order]
             head = np.ones(len(r), bool)
             head[1:] = (c[1:] != c[:-1]) | (doc[r[1:]] != doc[r[:-1]]) | (begin[r[1:]] > end[r[:-1]])
-            first = np.flatnonzero(head)
-            last = np.append(first[1:], len(r)) - 1 if len(first) else first
+            opens = np.flatnonzero(head)
+            last = np.append(opens[1:], len(r)) - 1 if len(opens) else opens
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("key").take(pa.array(doc[r[first]])),
-                    pa.array(number[c[first]], pa.int64()),
-                    pa.array(begin[r[first]] - of[:-1][doc[r[first]]]),
-                    pa.array(end[r[last]] - of[:-1][doc[r[first]]]),
+                    part.column("key").take(pa.array(doc[r[opens]])),
+                    pa.array(number[c[opens]], pa.int64()),
+                    pa.array(begin[r[opens]] - of[:-1][doc[r[opens]]]),
+                    pa.array(end[r[last]] - of[:-1][doc[r[opens]]]),
                 ],
                 schema=kinds,
             )
