@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -23,7 +24,8 @@ class Latent:
     any part of the item. nearest: cosine from which a passage is a candidate. shared: share of a candidate
     passage's words that must be the item's, in any order. overlap: share of an item's words that a common subsequence must
     have; overlap_with_answer: the same where the answer, the item's last answer_words words, is there as well. short: items
-    with fewer words must be there in full. block: items that one pass over the documents searches for."""
+    with fewer words must be there in full. Items of fewer than passage + stride - 1 words need not hold a whole searched passage, and are looked up
+    by words that no copy can lack. block: items that one pass over the documents searches for."""
 
     features: int = 1 << 14
     rank: int = 80
@@ -178,10 +180,64 @@ def _gathered(codes: DataFrame, table: np.ndarray, weight: np.ndarray | None, p:
     return out if weight is None else weight[:, None] * out
 
 
-def candidates(codes: DataFrame, items: list[tuple[int, np.ndarray]], latent: np.ndarray, p: Latent) -> DataFrame:
-    """(key, item, begin, end) of passages with a cosine of at least p.nearest to a passage of an item; neighbouring passages of
-    one document that are near the same item are one stretch."""
+@dataclass(frozen=True)
+class Anchors:
+    """Words of short items, one of which any copy must have: (code, item, need) by code, with the number of the item's words
+    that must then stand around it. width and owns: words and features of each item."""
+
+    code: np.ndarray
+    item: np.ndarray
+    need: np.ndarray
+    width: np.ndarray
+    owns: np.ndarray
+
+    @staticmethod
+    def of(items: list[np.ndarray], count: np.ndarray, p: Latent) -> Anchors:
+        """A copy that has `need` of m words lacks m - need at most, so it has one of the m - need + 1 rarest; a copy that needs
+        fewer words has the whole answer."""
+        found, owns = [], np.zeros((len(items), p.features), bool)
+        for k, c in enumerate(items):
+            owns[k, c] = True
+            need = len(c) if len(c) < p.short else math.ceil(p.overlap * len(c))
+            least = {int(x): need for x in c[np.argsort(count[c], kind="stable")][: len(c) - need + 1]}
+            with_answer = math.ceil(p.overlap_with_answer * len(c))
+            if len(c) >= p.short and with_answer < need:
+                answer = c[-p.answer_words :]
+                least[int(answer[np.argmin(count[answer])])] = with_answer
+            found += [(x, k, n) for x, n in least.items()]
+        code, item, need = np.array(sorted(found), np.int64).reshape(-1, 3).T
+        return Anchors(code, item, need, np.array([len(c) for c in items], np.int64), owns)
+
+    def stretches(self, code: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(item, document, begin, end) around each anchor that has enough words of its item within twice the item's length."""
+        features = self.owns.shape[1]
+        first = np.searchsorted(self.code, np.arange(features + 1))
+        place = np.flatnonzero((np.diff(first) > 0)[code])
+        out = [np.zeros((4, 0), np.int64)]
+        for lo in range(0, len(place), 1 << 14):
+            at = place[lo : lo + (1 << 14)]
+            n = first[code[at] + 1] - first[code[at]]
+            pick = np.repeat(first[code[at]] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            at, item, need = np.repeat(at, n), self.item[pick], self.need[pick]
+            doc, room = np.searchsorted(of, at, side="right") - 1, self.width[item]
+            a, b = np.maximum(at - 2 * room + 1, of[doc]), np.minimum(at + 2 * room, of[doc + 1])
+            same = np.zeros(len(at), np.int64)
+            for k in range(int((b - a).max())):
+                same += (a + k < b) & self.owns[item, code[np.minimum(a + k, len(code) - 1)]]
+            keep = same >= need
+            a, b = np.maximum(at - room + 1, of[doc]), np.minimum(at + room, of[doc + 1])
+            out.append(np.stack([item, doc, a, b])[:, keep])
+        return tuple(np.concatenate(out, axis=1))
+
+
+def candidates(codes: DataFrame, items: list[tuple[int, np.ndarray]], latent: np.ndarray, count: np.ndarray, p: Latent) -> DataFrame:
+    """(key, item, begin, end) of passages with a cosine of at least p.nearest to a passage of an item, and of the surroundings
+    of short items' anchors; neighbouring passages of one document that are near the same item are one stretch. count: passages
+    that have each feature."""
     items = [(i, c) for i, c in items if len(c)]
+    short = [(i, c) for i, c in items if len(c) < p.passage + p.stride - 1]
+    items = [(i, c) for i, c in items if len(c) >= p.passage + p.stride - 1]
+    anchors = Anchors.of([c for _, c in short], count, p)
     goal, first = [], np.zeros(len(items), np.int64)
     owns = np.zeros((p.features, len(items)), np.min_scalar_type(p.passage))
     for k, (_, c) in enumerate(items):
@@ -192,19 +248,20 @@ def candidates(codes: DataFrame, items: list[tuple[int, np.ndarray]], latent: np
         goal.append(_vectors(c, begin, np.minimum(begin + p.passage, len(c)), latent))
     goal = np.concatenate(goal) if goal else np.zeros((0, latent.shape[1]), np.float32)
     goal /= np.maximum(np.linalg.norm(goal, axis=1, keepdims=True), 1e-9)
-    number = np.array([i for i, _ in items], np.int64)
-    shared = codes.sparkSession.sparkContext.broadcast((latent, goal, first, number, owns))  # one block of items
+    number = np.array([i for i, _ in items + short], np.int64)
+    shared = codes.sparkSession.sparkContext.broadcast((latent, goal, first, number, owns, anchors))  # one block of items
     kind = dict(codes.dtypes)["key"]
     schema = f"key {kind}, item long, begin long, end long"
     kinds = arrow_schema(schema)
 
     def run(batches):
-        latent, goal, first, number, owns = shared.value
+        latent, goal, first, number, owns, anchors = shared.value
         for part in slices(batches, "codes", 1 << 20) if len(number) else ():
             code, of = _read(part.column("codes"))
             begin, end, doc = passages(of, p.passage, p.stride)
-            hits = [np.zeros(0, np.int64)]
-            for lo in range(0, len(begin), 2048):
+            item, of_item, from_, to = anchors.stretches(code, of)
+            hits = [np.stack([item + len(first), of_item, from_, to])]
+            for lo in range(0, len(begin) if len(first) else 0, 2048):
                 a, b = begin[lo : lo + 2048], end[lo : lo + 2048]
                 # words in common first: few passages have enough, and only these are projected
                 held = _vectors(code, a, b, owns) >= np.ceil(p.shared * (b - a)).astype(owns.dtype)[:, None]
@@ -215,21 +272,21 @@ def candidates(codes: DataFrame, items: list[tuple[int, np.ndarray]], latent: np
                     own /= np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-9)
                     near = np.maximum.reduceat(own @ goal.T, first, axis=1) >= p.nearest
                     x, c = np.nonzero(held[r] & near)
-                    hits.append((r[x] + lo) * max(1, len(number)) + c)
-            hit = np.unique(np.concatenate(hits))
-            r, c = hit // max(1, len(number)), hit % max(1, len(number))
-            order = np.lexsort((r, c))
-            r, c = r[order], c[order]
-            head = np.ones(len(r), bool)
-            head[1:] = (c[1:] != c[:-1]) | (doc[r[1:]] != doc[r[:-1]]) | (begin[r[1:]] > end[r[:-1]])
+                    r = r[x] + lo
+                    hits.append(np.stack([c, doc[r], begin[r], end[r]]))
+            hit = np.concatenate(hits, axis=1)
+            c, owner, a, b = hit[:, np.lexsort((hit[2], hit[1], hit[0]))]
+            head = np.ones(len(c), bool)
+            head[1:] = (c[1:] != c[:-1]) | (owner[1:] != owner[:-1]) | (a[1:] > b[:-1])
             opens = np.flatnonzero(head)
-            last = np.append(opens[1:], len(r)) - 1 if len(opens) else opens
+            last = np.append(opens[1:], len(c)) - 1 if len(opens) else opens
+            c, owner, a, b = c[opens], owner[opens], a[opens], b[last]
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("key").take(pa.array(doc[r[opens]])),
-                    pa.array(number[c[opens]], pa.int64()),
-                    pa.array(begin[r[opens]] - of[:-1][doc[r[opens]]]),
-                    pa.array(end[r[last]] - of[:-1][doc[r[opens]]]),
+                    part.column("key").take(pa.array(owner)),
+                    pa.array(number[c], pa.int64()),
+                    pa.array(a - of[:-1][owner]),
+                    pa.array(b - of[:-1][owner]),
                 ],
                 schema=kinds,
             )
@@ -254,8 +311,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     """One row (key, items, overlap, contaminated) per input row: the benchmark items found in it, in order, and the largest share
     of an item's words in a common subsequence.
 
-    Passages of all documents are compared with passages of the items in latent space; a stretch that is near an item is
-    aligned with the item's words (A-Z lower-cased), with room around it. An item is found if the common subsequence, within
+    Passages of all documents are compared with passages of the items in latent space, and short items are looked up by their
+    words; a stretch that is near an item is aligned with the item's words (A-Z lower-cased), with room around it. An item is found if the common subsequence, within
     any stretch of twice the item's length, has p.overlap of its words, or p.overlap_with_answer and the answer as well. Every
     passage of every whole text is searched. Null or empty texts and items have no words and find nothing; a null key is never
     found; rows that repeat a key share their findings. Items are searched in blocks of p.block, a pass over the documents each,
@@ -273,7 +330,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
         for k in range(parts):
             mine = known.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == k)
             block = [(r[0], np.frombuffer(r[1], "<u2").astype(np.int64)) for r in coded(mine, "item", "text", p).collect()]
-            near = candidates(codes.where("key is not null"), block, latent, p)
+            near = candidates(codes.where("key is not null"), block, latent, count, p)
             found = near if found is None else found.unionByName(near)
     if found is None:
         none = docs.select(F.col(key).alias("key"))

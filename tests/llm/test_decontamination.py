@@ -63,3 +63,16 @@ def test_changed_copies_are_found(spark, change):
     want = {k: [i for i, item in items if holds(w, item)] for k, w in rows}
     assert [k for k in want if want[k]] == [1000 + i for i, _ in items]
     assert got == {k: v for k, v in want.items() if v}
+
+
+def test_short_items_at_every_offset(spark):
+    rng = random.Random(3)
+    words = vocabulary(rng, 300)
+    items = [(n, [f"q{n}x{k}" if k % 3 == 0 else words[20 * n + k - 20] for k in range(n)]) for n in range(1, 16)]
+    plain = [w for w in vocabulary(rng, 200) if w not in words]
+    rows = [(100 * n + at, [rng.choice(plain) for _ in range(at)] + item + [rng.choice(plain) for _ in range(40 - at)]) for n, item in items for at in range(25)]
+    rows += [(9000, [rng.choice(plain) for _ in range(60)]), (9001, items[6][1][:-1] + plain[:20]), (9002, items[11][1][2:] + plain[:20])]
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in rows], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    got = {r["doc_id"]: r["items"] for r in contaminated(docs, bench, p=P).where("contaminated").collect()}
+    assert got == {**{100 * n + at: [n] for n, _ in items for at in range(25)}, 9002: [12]}
