@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 from ledgerline.llm.arrays import LOWER, arrow_schema, flat, hash64, mapped, slices, words
 from ledgerline.llm.store import stored
 
+#: Vectors of one word that are added at a time.
+PIECE = 8
+
 
 @dataclass(frozen=True)
 class Latent:
     """features: hashed words. rank and extra: latent dimensions and oversampling; seed: of the random projection. whole: words in
-    a passage of the matrix, passages side by side. fit_passages: about how many passages, of documents drawn by a hash of their
-    words, the projection is fitted on; word statistics come from all documents, and all passages are searched. passage and stride: words in a searched passage and between the beginnings
+    a passage of the matrix, passages side by side. passage and stride: words in a searched passage and between the beginnings
     of two. step: words between an item's query passages, which reach from its first word to its last, since a copy may lack
     any part of the item. nearest: cosine from which a passage is a candidate. shared: share of a candidate
     passage's words that must be the item's, in any order. overlap: share of an item's words that a common subsequence must
@@ -28,14 +30,13 @@ class Latent:
     by words that no copy can lack. block: items that one pass over the documents searches for."""
 
     features: int = 1 << 14
-    rank: int = 80
+    rank: int = 128
     extra: int = 8
     seed: int = 5
     whole: int = 24
-    fit_passages: int = 200_000
     passage: int = 16
     stride: int = 8
-    step: int = 4
+    step: int = 2
     nearest: float = 0.55
     shared: float = 0.6
     overlap: float = 0.8
@@ -123,7 +124,7 @@ def _vectors(code: np.ndarray, begin: np.ndarray, end: np.ndarray, table: np.nda
 
 
 def right_factors(codes: DataFrame, weight: np.ndarray, p: Latent) -> np.ndarray:
-    """The leading right singular vectors (features x rank) of the TF-IDF matrix A of the passages, by a randomised SVD, each
+    """The leading right singular vectors (features x rank) of the TF-IDF matrix A of all passages, by a randomised SVD, each
     divided by its singular value, so that no direction of common words outweighs the others.
 
     One pass gives A'(A G) for a random G, whose orthonormal basis Q holds the leading directions; a second pass gives the
@@ -162,12 +163,15 @@ def _gathered(codes: DataFrame, table: np.ndarray, weight: np.ndarray | None, p:
             size = end - begin
             word = code[np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())]
             owner = np.repeat(np.arange(len(begin)), size)
-            order = np.argsort(word, kind="stable")
-            cut = np.flatnonzero(np.concatenate(([True], np.diff(word[order]) > 0)))
-            for lo in range(0, len(cut), 2048):
-                stop = cut[lo + 2048] if lo + 2048 < len(cut) else len(order)
-                own = order[cut[lo] : stop]
-                total[word[order[cut[lo : lo + 2048]]]] += np.add.reduceat(mapped_to[owner[own]], cut[lo : lo + 2048] - cut[lo], axis=0)
+            order = np.argsort(word.astype(np.uint16), kind="stable")
+            word, owner = word[order], owner[order]
+            cut = np.flatnonzero(np.concatenate(([True], np.diff(word) > 0)))
+            run = np.diff(np.append(cut, len(word)))
+            pieces = -(-run // PIECE)
+            first = np.cumsum(pieces) - pieces
+            a = np.repeat(cut, pieces) + PIECE * (np.arange(pieces.sum()) - np.repeat(first, pieces))
+            sums = _vectors(owner, a, np.minimum(a + PIECE, np.repeat(cut + run, pieces)), mapped_to)
+            total[word[cut]] += np.add.reduceat(sums, first, axis=0)
         used = np.flatnonzero(total.any(1))
         values = pa.FixedSizeListArray.from_arrays(pa.array(total[used].reshape(-1)), total.shape[1]).cast(pa.list_(pa.float32()))
         yield pa.RecordBatch.from_arrays([pa.array(used), values], names=["line", "numbers"])
@@ -324,8 +328,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     count, n = document_frequencies(codes, p)
     if n and known.where("text is not null").head(1):
         weight = np.log((1 + n) / (1 + count)).astype(np.float32)
-        drawn = F.pmod(F.xxhash64("codes"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, p.fit_passages / n))
-        latent = (weight[:, None] * right_factors(codes.where(drawn), weight, p)).astype(np.float32)
+        latent = (weight[:, None] * right_factors(codes, weight, p)).astype(np.float32)
         parts = max(1, -(-known.count() // p.block))
         for k in range(parts):
             mine = known.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == k)

@@ -3,9 +3,11 @@
 import random
 import string
 
+import numpy as np
 import pytest
 
-from ledgerline.llm.latent import Latent, common_subsequence, contaminated
+from ledgerline.llm import latent
+from ledgerline.llm.latent import Latent, coded, common_subsequence, contaminated, document_frequencies, passages, right_factors
 
 P = Latent(features=4096, rank=64)
 
@@ -76,3 +78,32 @@ def test_short_items_at_every_offset(spark):
     bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
     got = {r["doc_id"]: r["items"] for r in contaminated(docs, bench, p=P).where("contaminated").collect()}
     assert got == {**{100 * n + at: [n] for n, _ in items for at in range(25)}, 9002: [12]}
+
+
+def test_projection_is_fitted_on_all_passages(spark, monkeypatch):
+    docs = spark.range(250_000).selectExpr("id as doc_id", "concat('w', id % 700, ' v', id % 313) as text")
+    bench = spark.createDataFrame([(1, "w5 v5")], "item_id long, text string")
+    seen = []
+    monkeypatch.setattr(latent, "right_factors", lambda codes, weight, p: seen.append(codes.count()) or np.zeros((p.features, 1), np.float32))
+    contaminated(docs, bench)
+    assert seen == [250_000]
+
+
+def test_projection_holds_the_leading_directions(spark):
+    rng = random.Random(8)
+    words = vocabulary(rng, 400)
+    texts = [" ".join(rng.choice(words[k % 7 * 50 : k % 7 * 50 + 90]) for _ in range(rng.randint(20, 90))) for k in range(240)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    p = Latent(features=1024, rank=7, extra=60)
+    codes = coded(docs, "doc_id", "text", p)
+    count, n = document_frequencies(codes, p)
+    weight = np.log((1 + n) / (1 + count)).astype(np.float32)
+    rows = []
+    for r in codes.collect():
+        code = np.frombuffer(r[1], "<u2").astype(np.int64)
+        for a, b in zip(*passages(np.array([0, len(code)]), p.whole, p.whole)[:2]):
+            rows.append(np.bincount(code[a:b], minlength=p.features) * weight)
+    _, value, right = np.linalg.svd(np.array(rows), full_matrices=False)
+    got = right_factors(codes, weight, p)
+    assert np.allclose(1 / np.linalg.norm(got, axis=0)[:3], value[:3], rtol=0.02)
+    assert len(rows) == n and got.shape == (1024, 7)
