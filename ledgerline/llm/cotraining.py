@@ -37,8 +37,8 @@ class CoTraining:
 
 
 def word_terms(text: Column) -> Column:
-    """The text view: beginnings of the words (3 to 5 letters, shared by inflected forms), the runs of marks between words, and
-    how often words are new, in steps."""
+    """The text view: whole words, beginnings of the words (3 to 8 letters, shared by inflected forms), the runs of marks between
+    words, and how often words are new, in steps."""
     words = F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: w != "")
     found = F.array_distinct(words)
 
@@ -47,7 +47,8 @@ def word_terms(text: Column) -> Column:
 
     marks = F.array_distinct(F.transform(F.split(text, r"[\p{L}\p{N}\s]+"), lambda m: F.concat(F.lit("~"), F.substring(m, 1, 3))))
     fresh = F.concat(F.lit("fresh="), F.coalesce(F.floor(10 * F.size(found) / F.size(words)).cast("string"), F.lit("none")))
-    return F.concat(stems(3), stems(4), stems(5), marks, F.array(fresh))
+    whole = F.transform(found, lambda w: F.concat(F.lit("="), w))
+    return F.concat(whole, stems(3), stems(4), stems(5), stems(6), stems(8), marks, F.array(fresh))
 
 
 def page_terms(text: Column, lang: Column, source: Column, n_chars: Column) -> Column:
