@@ -9,6 +9,7 @@ from ledgerline.llm.neardup import near_duplicates
 from ledgerline.llm.pieces import decode_pieces, encode_sampled
 from ledgerline.llm.repair import read_shards, write_shards
 from ledgerline.llm.repeats import quality_rules
+from ledgerline.llm.ring import Ring, ring_shards
 from ledgerline.llm.store import scratch
 from ledgerline.llm.suite import query, table
 from ledgerline.llm.tokens import TokenCache, count_tokens
@@ -191,3 +192,55 @@ def op3(spark, sf):
     calls = calls.unionByName(written.where("kind = 'call'").select(calls.columns))
     results = results.unionByName(written.where("kind = 'result'").select(results.columns))
     return linked_calls(calls, results, {"reply": REPLY})
+
+
+RING = Ring(shards=24, points=128, load=1.0)
+
+# CRC-32 byte by byte over a table of 256 remainders, and rounds of askers as a recursion over all keys.
+CRC_TABLE = "list_transform(range(256), lambda n: list_reduce([n,0,0,0,0,0,0,0,0], lambda a, z: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END))"
+
+
+def crc32_sql(hexed: str, crcs: str) -> str:
+    """The unsigned CRC-32 of the bytes whose upper-case hex digits are given; crcs names the table of remainders."""
+    each = f"list_transform(string_split(rtrim(regexp_replace({hexed}, '(..)', '\\1,', 'g'), ','), ','), lambda b: CAST(('0x' || b) AS BIGINT))"
+    walk = f"list_reduce(list_prepend(4294967295, {each}), lambda a, b: xor(a >> 8, {crcs}[(xor(a, b) & 255) + 1]))"
+    return f"CASE WHEN {hexed} = '' THEN 0 ELSE xor({walk}, 4294967295) END"
+
+
+def _place(name: str) -> str:
+    return f"CAST('0x' || substr(md5({name}), 1, 15) AS BIGINT)"
+
+
+OP13 = f"""WITH RECURSIVE crcs AS (SELECT {CRC_TABLE} AS t),
+d AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 8 AS size, hex(encode(coalesce(text, ''))) AS x,
+    {_place("'key:' || doc_id")} AS here, {_place("'order:' || doc_id")} AS turn FROM documents),
+points AS (
+  SELECT s AS shard, {_place("'shard:' || s || ':' || p")} AS at_ FROM range({RING.shards}) a(s), range({RING.points}) b(p)),
+caps AS (
+  SELECT s AS shard, n // {RING.shards} + CASE WHEN s < n % {RING.shards} THEN 1 ELSE 0 END AS cap
+  FROM range({RING.shards}) a(s), (SELECT count(*) AS n FROM d)),
+state(round, doc_id, here, turn, shard) AS (
+  SELECT 0, doc_id, here, turn, CAST(NULL AS BIGINT) FROM d
+  UNION ALL (
+  WITH held AS (SELECT shard, count(*) AS n FROM state WHERE shard IS NOT NULL GROUP BY shard),
+  free AS (SELECT c.shard, c.cap - coalesce(h.n, 0) AS free FROM caps c LEFT JOIN held h ON h.shard = c.shard),
+  nodes AS (SELECT p.at_, p.shard FROM points p JOIN free f ON f.shard = p.shard WHERE f.free > 0),
+  next AS (SELECT s.doc_id, arg_min(n.shard, n.at_) AS shard FROM state s JOIN nodes n ON s.here <= n.at_ WHERE s.shard IS NULL GROUP BY s.doc_id),
+  asked AS (
+    SELECT s.*, coalesce(s.shard, n.shard, (SELECT arg_min(shard, at_) FROM nodes)) AS asks
+    FROM state s LEFT JOIN next n ON n.doc_id = s.doc_id),
+  ranked AS (SELECT *, row_number() OVER (PARTITION BY asks, shard IS NULL ORDER BY turn) AS k FROM asked)
+  SELECT r.round + 1, r.doc_id, r.here, r.turn, CASE WHEN r.shard IS NOT NULL OR r.k <= f.free THEN r.asks END
+  FROM ranked r JOIN free f ON f.shard = r.asks WHERE EXISTS (SELECT 1 FROM state WHERE shard IS NULL))),
+final AS (SELECT doc_id, turn, shard FROM state WHERE round = (SELECT max(round) FROM state))
+SELECT f.doc_id, CAST(d.size AS BIGINT) AS size, {crc32_sql("d.x", "crcs.t")} AS text_crc32, 'rows' AS law,
+  CAST(f.shard AS INTEGER) AS shard, row_number() OVER (PARTITION BY f.shard ORDER BY f.turn) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM final f JOIN d ON d.doc_id = f.doc_id, crcs"""
+
+
+@query("op13_ring_shards", OP13)
+def op13(spark, sf):
+    placed = ring_shards(table(spark, sf, "documents"), RING)
+    law = [F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard")]
+    return placed.select(F.col("key").alias("doc_id"), "size", "text_crc32", *law, "slot", F.lit(None).cast("int").alias("grown_shard"))
