@@ -9,6 +9,7 @@ from ledgerline.llm.neardup import near_duplicates
 from ledgerline.llm.pieces import decode_pieces, encode_sampled
 from ledgerline.llm.repair import read_shards, write_shards
 from ledgerline.llm.repeats import quality_rules
+from ledgerline.llm.resampling import Resampling, resampled
 from ledgerline.llm.ring import Ring, ring_shards
 from ledgerline.llm.store import scratch
 from ledgerline.llm.suite import query, table
@@ -244,3 +245,37 @@ def op13(spark, sf):
     placed = ring_shards(table(spark, sf, "documents"), RING)
     law = [F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard")]
     return placed.select(F.col("key").alias("doc_id"), "size", "text_crc32", *law, "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+RESAMPLING = Resampling(width=3, buckets=10_000, least_words=20, percent=5, seed=42)
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP11 = f"""WITH crcs AS (SELECT {CRC_TABLE} AS t),
+texts AS (
+  SELECT kind, id, list_filter(string_split_regex(body, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+  FROM (SELECT 'd' AS kind, doc_id AS id, {LOWERED} AS body FROM documents UNION ALL SELECT 'b', item_id, {LOWERED} FROM benchmark)),
+runs AS (
+  SELECT kind, id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: array_to_string(w[i:i+1], ' ')),
+    list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i+2], ' ')))) AS f FROM texts),
+counts AS (SELECT kind, id, f, count(*) AS n FROM runs GROUP BY ALL),
+hexed AS (SELECT f, hex(encode(f)) AS x FROM (SELECT DISTINCT f FROM counts)),
+hashed AS (SELECT f, {crc32_sql("x", "crcs.t")} % 10000 AS bucket FROM hexed, crcs),
+found AS (SELECT kind, id, bucket, sum(n) AS n FROM counts JOIN hashed USING (f) GROUP BY ALL),
+sizes AS (SELECT coalesce(sum(n) FILTER (kind = 'd'), 0) AS s, coalesce(sum(n) FILTER (kind = 'b'), 0) AS t FROM found),
+each AS (SELECT bucket, sum(n) FILTER (kind = 'd') AS s, coalesce(sum(n) FILTER (kind = 'b'), 0) AS t FROM found GROUP BY bucket),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(CAST((e.t + 1) * (z.s + 10000) AS DOUBLE) / CAST((e.s + 1) * (z.t + 10000) AS DOUBLE))) AS BIGINT) AS gain
+  FROM each e, sizes z WHERE e.s IS NOT NULL),
+sums AS (SELECT id, sum(n) AS n_features, sum(n * gain) AS weight FROM found JOIN gains USING (bucket) WHERE kind = 'd' GROUP BY id),
+scored AS (
+  SELECT id AS doc_id, len(w) AS n_words, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+    CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('42:' || id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM texts LEFT JOIN sums USING (id) WHERE kind = 'd'),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS k, count(*) OVER (PARTITION BY n_words >= 20) AS n FROM scored)
+SELECT doc_id, n_words, n_features, weight, score, CASE WHEN n_words >= 20 AND k <= 5 * n // 100 THEN k END AS rank FROM ranked"""
+
+
+@query("op11_resampling", OP11)
+def op11(spark, sf):
+    return resampled(table(spark, sf, "documents"), table(spark, sf, "benchmark"), p=RESAMPLING).withColumnRenamed("key", "doc_id")
