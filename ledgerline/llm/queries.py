@@ -15,6 +15,7 @@ from ledgerline.llm.store import scratch
 from ledgerline.llm.suite import query, table
 from ledgerline.llm.tokens import TokenCache, count_tokens
 from ledgerline.llm.toolcalls import blocks, linked_calls
+from ledgerline.llm.turns import damaged, digests, repaired
 from ledgerline.llm.urls import TRACKERS, UrlRule, judged_urls
 from ledgerline.llm.warc import archived
 
@@ -279,3 +280,9 @@ SELECT doc_id, n_words, n_features, weight, score, CASE WHEN n_words >= 20 AND k
 @query("op11_resampling", OP11)
 def op11(spark, sf):
     return resampled(table(spark, sf, "documents"), table(spark, sf, "benchmark"), p=RESAMPLING).withColumnRenamed("key", "doc_id")
+
+
+@query("op12_conversation_repair")
+def op12(spark, sf):
+    rows = damaged(table(spark, sf, "conversations"))
+    return digests(repaired(rows, names_only=F.col("dropped"))).withColumnRenamed("key", "conv_id")
