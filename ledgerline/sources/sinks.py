@@ -8,41 +8,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import fixed
-from ledgerline.functions.scalars import key_to_year
 from ledgerline.operators.joins import require_unique
 from ledgerline.operators.reshape import union_all
-from ledgerline.sources.tables import coerce_types, conform
+from ledgerline.sources.versions import StoredTable
 from ledgerline.spec import RunContext, TableSpec
-from ledgerline.storage import checkpointed
-
-
-def _with_partitions(df: DataFrame, spec: TableSpec) -> DataFrame:
-    if "year" in spec.partition_by and "year" not in df.columns:
-        df = df.withColumn("year", key_to_year("date_key"))
-    return df
-
-
-def _laid_out(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Range-partition by (partition, cluster) columns: few files per year, a heavy year spread over tasks,
-    and tight row-group bounds on the cluster key."""
-    df = _with_partitions(df, spec)
-    by = [*spec.partition_by, *spec.cluster_by]
-    return df.repartitionByRange(*by).sortWithinPartitions(*by) if by else df
 
 
 def write_overwrite(df: DataFrame, spec: TableSpec, path: str) -> None:
-    _laid_out(df, spec).write.mode("overwrite").partitionBy(*spec.partition_by).parquet(path)
+    StoredTable(df.sparkSession, spec, path).overwrite(df)
 
 
 def write_append(df: DataFrame, spec: TableSpec, path: str, run: RunContext) -> None:
     """Append under the run's own partition; repeating a run replaces its rows instead of doubling them."""
-    (
-        df.withColumn("run_key", F.lit(run.audit_key).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_key")
-        .parquet(path)
-    )
+    StoredTable(df.sparkSession, spec, path).append(df, run)
+
+
+def read_stored(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
+    """The live version of a table that write_overwrite, write_append or merge_table stored."""
+    return StoredTable(spark, spec, path).read()
 
 
 def merge_upsert(
@@ -77,23 +60,7 @@ def merge_upsert(
 
 def merge_table(spark: SparkSession, spec: TableSpec, path: str, staging: DataFrame) -> None:
     """Upsert into a stored table, reading and rewriting only the partitions the staging rows touch."""
-    staging = _with_partitions(coerce_types(conform(staging, spec), spec), spec)
-    if not spec.partition_by:
-        merged = merge_upsert(spark.read.parquet(path).select(*spec.columns), staging, spec.keys)
-        write_overwrite(checkpointed(merged), spec, path)
-        return
-    part = spec.partition_by[0]
-    touched = [r[0] for r in staging.select(part).distinct().collect()]  # years of one load
-    target = spark.read.parquet(path).filter(F.col(part).isin(touched)).select(*spec.columns, part)
-    target = target.withColumn(part, F.col(part).cast(staging.schema[part].dataType))
-    merged = checkpointed(merge_upsert(target, staging, spec.keys))
-    (
-        _laid_out(merged, spec)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*spec.partition_by)
-        .parquet(path)
-    )
+    StoredTable(spark, spec, path).merge(staging)
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "json") -> None:

@@ -11,6 +11,7 @@ from ledgerline.operators.joins import map_codes, session_of
 from ledgerline.operators.scaling import normalize_percent, scale_by
 from ledgerline.plans import facts
 from ledgerline.sources import sinks, tables
+from ledgerline.sources.versions import StoredTable, load_once, pointers_status
 from ledgerline.spec import TableSpec, with_audit
 from suite.registry import query
 from suite.views import BARS, METRICS, PANEL, RUN, bars, panel, rounded, scratch, table
@@ -146,7 +147,7 @@ def overwrite_partitioned(spark, sf):
     """Reload a table laid out by year and read a date range back through partition pruning."""
     path = scratch(spark)
     sinks.write_overwrite(_stored(bars(spark, sf), "2024-01-01"), BAR_SPEC, path)
-    back = FL.between_dates(spark.read.parquet(path), 19970301, 19990630)
+    back = FL.between_dates(sinks.read_stored(spark, BAR_SPEC, path), 19970301, 19990630)
     return rounded(
         back.groupBy(F.col("year").cast("bigint").alias("year"), "ticker").agg(
             F.count(F.lit(1)).alias("n"), F.sum("close_price").alias("total")
@@ -167,7 +168,7 @@ def append_by_run(spark, sf):
     later = type(RUN)(20240103000000, RUN.created_at, RUN.source_file, "run-2")
     for run in (RUN, later, RUN):
         sinks.write_append(rows, spec, path, run)
-    return spark.read.parquet(path)
+    return sinks.read_stored(spark, spec, path)
 
 
 MERGE_SQL = f"""WITH {BARS}, t AS (SELECT date_key, ticker, close_price, trading_volume, DATE '2024-01-01' AS _created_at
@@ -201,7 +202,78 @@ def merge_into_stored_table(spark, sf):
     target, staging = _target_and_staging(spark, sf)
     sinks.write_overwrite(target, BAR_SPEC, path)
     sinks.merge_table(spark, BAR_SPEC, path, staging)
-    return spark.read.parquet(path).select(*BAR_SPEC.columns)
+    return sinks.read_stored(spark, BAR_SPEC, path).select(*BAR_SPEC.columns)
+
+
+@query(
+    "merge_then_read",
+    f"""{MERGE_SQL.replace("FROM t FULL JOIN", ", 1 AS versions FROM t FULL JOIN")}
+    UNION ALL SELECT NULL, o_orderpriority, o_totalprice, NULL, DATE '2024-01-01', 1 FROM orders WHERE o_orderstatus = 'P'""",
+)
+def merge_then_read(spark, sf):
+    """A stored table whose rows without a date survive a merge; a load that breaks while it writes leaves no trace."""
+    stored = StoredTable(spark, BAR_SPEC, scratch(spark))
+    target, staging = _target_and_staging(spark, sf)
+    undated = table(spark, sf, "orders").filter("o_orderstatus = 'P'").select(
+        F.lit(None).cast("bigint").alias("date_key"), F.col("o_orderpriority").alias("ticker"),
+        F.col("o_totalprice").alias("close_price"), F.lit(None).cast("bigint").alias("trading_volume"),
+        F.lit("2024-01-01").cast("date").alias("_created_at"),
+    )
+    stored.overwrite(target.unionByName(undated))
+    broken = staging.withColumn("close_price", F.when(F.col("trading_volume") > 0, F.raise_error(F.lit("broken off"))).cast("double"))
+    for load in (stored.overwrite, stored.merge):
+        try:
+            load(broken)
+        except Exception as e:
+            if "broken off" not in str(e):
+                raise
+    stored.merge(staging)
+    versions = len(stored.versions()) - 1  # of the merge; the broken loads published none
+    return stored.read().select(*BAR_SPEC.columns, F.lit(versions).alias("versions"))
+
+
+RUN_SPEC = TableSpec("loads", {"o_orderkey": "bigint", "o_totalprice": "double"}, ("o_orderkey",))
+AUDIT_SPEC = TableSpec("dim_audit", fixed.DIM_AUDIT, ("audit_key", "script_name"))
+
+
+@query(
+    "audited_load_once",
+    """SELECT CAST(20240102030405 AS BIGINT) AS audit_key, 'run-1' AS run_id, 'load' AS script_name, 'orders.parquet' AS source_file,
+    count(*) AS rows_processed, 'SUCCESS' AS status, count(*) AS stored_rows, round(sum(o_totalprice), 2) AS stored_total FROM orders""",
+)
+def audited_load_once(spark, sf):
+    """A run that breaks while it writes, then runs, then is repeated: one SUCCESS row and one copy of the data."""
+    path = scratch(spark)
+    target, audit = StoredTable(spark, RUN_SPEC, f"{path}/orders"), StoredTable(spark, AUDIT_SPEC, f"{path}/audit")
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    broken = rows.withColumn("o_totalprice", F.when(F.col("o_orderkey") > 0, F.raise_error(F.lit("broken off"))).cast("double"))
+    try:
+        load_once(broken, RUN, target, audit, "load")
+    except Exception as e:
+        if "broken off" not in str(e):
+            raise
+    for _ in range(2):
+        load_once(rows, RUN, target, audit, "load")
+    held = target.read().agg(F.count(F.lit(1)).alias("stored_rows"), F.round(F.sum("o_totalprice"), 2).alias("stored_total"))
+    return audit.read().drop("run_timestamp").withColumn("_one", F.lit(1)).join(held.withColumn("_one", F.lit(1)), "_one").drop("_one")
+
+
+@query(
+    "stored_table_status",
+    """SELECT 'lineitem' AS "table", count(*) AS row_count, true AS has_size FROM lineitem
+    UNION ALL SELECT 'orders', count(*), true FROM orders""",
+)
+def stored_table_status(spark, sf):
+    """Rows and bytes of stored tables from their pointers, after a reload and an append."""
+    path = scratch(spark)
+    orders = StoredTable(spark, RUN_SPEC, f"{path}/orders")
+    orders.overwrite(table(spark, sf, "orders"))
+    lines = StoredTable(spark, TableSpec("lines", {"l_orderkey": "bigint", "l_linenumber": "int"}), f"{path}/lineitem")
+    source = table(spark, sf, "lineitem")
+    for key, rows in enumerate((source.filter("l_returnflag = 'N'"), source.filter("l_returnflag <> 'N'"))):
+        lines.append(rows, type(RUN)(key, RUN.created_at, RUN.source_file, f"run-{key}"))
+    status = pointers_status({"orders": orders, "lineitem": lines})
+    return status.select("table", "row_count", (F.col("size_bytes") > 0).alias("has_size"))
 
 
 @query("json_report", "SELECT n_nationkey, n_name, n_regionkey FROM nation")

@@ -178,12 +178,12 @@ def test_partitioned_table_and_merge(spark, tmp_path):
     day = dt.date(2024, 1, 1)
     ddl = "date_key bigint, k string, v double, _created_at date"
     sinks.write_overwrite(spark.createDataFrame([(20230101, "a", 1.0, day), (20240101, "a", 2.0, day)], ddl), spec, path)
-    untouched = {f for f in spark.read.parquet(path).inputFiles() if "year=2023" in f}
+    untouched = {f for f in sinks.read_stored(spark, spec, path).inputFiles() if "year=2023" in f}
     later = dt.date(2024, 2, 1)
     staging = spark.createDataFrame([(20240101, "a", 5.0, later), (20250101, "b", 7.0, later)], ddl)
     for _ in range(2):  # repeating a load changes nothing
         sinks.merge_table(spark, spec, path, staging)
-        back = spark.read.parquet(path)
+        back = sinks.read_stored(spark, spec, path)
         assert as_set(back, "date_key", "k", "v", "_created_at") == {
             (20230101, "a", 1.0, day),
             (20240101, "a", 5.0, day),
@@ -198,7 +198,7 @@ def test_partition_filter_prunes(spark, tmp_path, capsys):
     spec = TableSpec("t", {"date_key": "bigint"}, ("date_key",), ("year",), ("date_key",))
     path = str(tmp_path / "p")
     sinks.write_overwrite(spark.range(2020, 2025).select((F.col("id") * 10000 + 101).alias("date_key")), spec, path)
-    ranged = filters.between_dates(spark.read.parquet(path), 20210101, 20221231)
+    ranged = filters.between_dates(sinks.read_stored(spark, spec, path), 20210101, 20221231)
     assert ranged.count() == 2
     ranged.explain()
     assert "PartitionFilters: [isnotnull(year" in capsys.readouterr().out
@@ -228,4 +228,4 @@ def test_append_by_run_is_repeatable(spark, tmp_path):
     spec = TableSpec("r", {"id": "bigint"})
     for _ in range(2):
         sinks.write_append(spark.range(3), spec, str(tmp_path / "r"), RUN)
-    assert spark.read.parquet(str(tmp_path / "r")).count() == 3
+    assert sinks.read_stored(spark, spec, str(tmp_path / "r")).count() == 3
