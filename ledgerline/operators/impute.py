@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerline.operators.aggregates import group_median
 from ledgerline.operators.ordered import constants
 from ledgerline.operators.series import join_on
-from ledgerline.storage import checkpointed
+from ledgerline.storage import stored
 
 
 def impute_median(
@@ -29,12 +29,12 @@ def impute_median(
     value raises when the result is computed.
     """
     cols = list(cols)
-    df = df.withColumn(flag, F.expr(" or ".join(f"`{c}` is null" for c in cols)))
+    df = stored(df.withColumn(flag, F.expr(" or ".join(f"`{c}` is null" for c in cols))))  # read for each level of the medians
 
     later = df.filter(F.col(year) >= cutoff)
-    global_later = constants(group_median(later, [], cols))
-    global_all = constants(group_median(df, [], cols))
-    fallback = {c: F.coalesce(global_later[c], global_all[c]) for c in cols}
+    late = {f"__late_{c}": F.when(F.col(year) >= cutoff, F.col(c)) for c in cols}
+    overall = constants(group_median(df.withColumns(late), [], [*cols, *late]))
+    fallback = {c: F.coalesce(overall[f"__late_{c}"], overall[c]) for c in cols}
     early = F.col(year) < cutoff
 
     def filled(frame: DataFrame, source: DataFrame, names: Sequence[str], fill) -> DataFrame:
@@ -45,7 +45,7 @@ def impute_median(
         )
 
     # Stage 2 reads the stage-1 result several times, so it is stored once.
-    first = checkpointed(
+    first = stored(
         filled(df, later, cols, lambda c: F.when(early, F.coalesce(F.col(f"__m_{c}"), fallback[c])))
     )
     left = first.agg(*[F.expr(f"count_if(`{c}` is null)").alias(c) for c in cols]).first()

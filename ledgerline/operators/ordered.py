@@ -8,12 +8,11 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.operators.series import join_on
-from ledgerline.storage import checkpointed
+from ledgerline.storage import checkpointed, stored
 
-# Rank error of the sketch that brackets an order statistic is 1/accuracy.
-BRACKET_ACCURACY = 100_000
 # Rows that one ordered piece of a running total should hold; the number of pieces follows the rows.
 SEGMENT_ROWS = 500_000
 
@@ -40,90 +39,155 @@ def exact_percentiles(
 ) -> DataFrame:
     """Linearly interpolated percentiles per group: one row per key, one array column per input column.
 
-    One method at every size: a sketch brackets each order statistic, rows below the bracket are counted and only the
-    bracket is ranked. A statistic outside its bracket fails the query instead of giving a wrong value.
+    Radix selection, the same at every size. A first aggregation counts, for all columns and keys at once, the values in
+    128 steps a power of two, with the least and greatest value of each step. The running counts tell which step holds
+    each wanted rank. A rank at either end of its step is that value; the steps of the others are read again, cut into 65,536
+    parts, until no rank is left. Each cut puts the least and greatest value of a step into different parts, so it ends.
+    Counts are combined in the map tasks, rows are never ranked, and no bracket is guessed, so none can miss. A frame that is
+    costly to make should be stored first: it is read once a level, as a rule two or three times. NaN is the greatest value.
     """
-    return _bracketed_percentiles(df, list(cols), list(probs), list(keys))
-
-
-def _bracketed_percentiles(df, cols, probs, keys) -> DataFrame:
-    """Sketch a narrow value bracket around each order statistic, count below it, rank only inside it."""
+    cols, probs, keys = list(cols), list(probs), list(keys)
+    if not cols or not probs:
+        raise ValueError("percentiles need columns and probabilities")
     kept = [f"__k{i}" for i in range(len(keys))]
-    group = [*kept, "__c"]
-    long = (
-        df.select(
-            *[F.col(k).alias(n) for k, n in zip(keys, kept)],
-            F.explode(
-                F.array(
-                    *[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in cols]
-                )
-            ).alias("x"),
-        )
-        .select(*kept, F.col("x.c").alias("__c"), F.col("x.v").alias("__v"))
-        .filter(F.col("__v").isNotNull())
+    base = df.select(
+        *[F.col(k).alias(n) for k, n in zip(keys, kept)],
+        *[(F.col(c).cast("double") + F.lit(0.0)).alias(f"__v{j}") for j, c in enumerate(cols)],
     )
-    slack = 2.0 / BRACKET_ACCURACY
-    edges = [min(max(p + d, 0.0), 1.0) for p in probs for d in (-slack, slack)]
-    sketch = long.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.min("__v").alias("__min"),
-        F.max("__v").alias("__max"),
-        F.percentile_approx("__v", [*edges], BRACKET_ACCURACY).alias("__e"),
-    )
-    small = F.col("__n") <= BRACKET_ACCURACY  # the whole group is its own bracket
-    brackets = []
+    left = _first_ranks(base, kept, len(cols), probs)
+    if not keys:
+        return _overall(base, cols, probs, left)
+    found = []
+    while True:
+        left = stored(left)
+        found.append(left)
+        left = left.filter(_OPEN)
+        if left.isEmpty():
+            break
+        left = _next_ranks(base, kept, len(cols), len(probs), left)
+    done = union_of([f.filter(f"not ({_OPEN})") for f in found])
+    at = (F.col("c") * len(probs) + F.col("i")) * 2 + F.col("high")
+    value = F.when(F.col("off") == 0, F.col("mn")).otherwise(F.col("mx"))
+    # A null key of the map would fail: groups without any value have a row with i = -1.
+    entries = F.collect_list(F.when(F.col("i") >= 0, F.struct(at.alias("at"), F.struct(value.alias("v"), "part").alias("x"))))
+    wide = done.groupBy(*kept).agg(F.map_from_entries(entries).alias("m"))
+
+    def percentile(j: int, i: int) -> Column:
+        low, high = (F.try_element_at("m", F.lit((j * len(probs) + i) * 2 + side).cast("int")) for side in (0, 1))
+        return low["v"] + (high["v"] - low["v"]) * low["part"]
+
+    def listed(j: int, c: str) -> Column:
+        every = F.array(*[percentile(j, i) for i in range(len(probs))])
+        return F.when(every[0].isNotNull(), every).alias(c)
+
+    return wide.select(*[F.col(n).alias(k) for k, n in zip(keys, kept)], *[listed(j, c) for j, c in enumerate(cols)])
+
+
+_OPEN = "i >= 0 and mn < mx and off > 0 and off < n - 1"
+# Steps a power of two of the first level, and parts of a step of the further ones.
+_STEPS, _PARTS = 128, 65_535
+
+
+def union_of(frames: Sequence[DataFrame]) -> DataFrame:
+    whole = frames[0]
+    for more in frames[1:]:
+        whole = whole.unionByName(more)
+    return whole
+
+
+def _overall(base: DataFrame, cols: Sequence[str], probs: Sequence[float], left: DataFrame) -> DataFrame:
+    """Without keys there are two ranks a column and probability, so the driver holds them between the levels."""
+    values: dict[tuple, tuple] = {}
+    while True:
+        further: dict[tuple, list] = {}
+        for r in left.collect():
+            if r["i"] < 0:
+                continue
+            if r["mn"] < r["mx"] and 0 < r["off"] < r["n"] - 1:
+                further.setdefault((r["c"], r["mn"], r["mx"]), []).append((r["i"], r["high"], r["off"], r["part"]))
+            else:
+                values[r["c"], r["i"], r["high"]] = (r["mn"] if r["off"] == 0 else r["mx"], r["part"])
+        if not further:
+            break
+        rows = [(*at, asks) for at, asks in further.items()]
+        left = _next_ranks(base, [], len(cols), len(probs), base.sparkSession.createDataFrame(rows, _RANGES), rows)
+
+    def percentile(j: int, i: int) -> float | None:
+        if (j, i, 0) not in values:
+            return None
+        (low, part), (high, _) = values[j, i, 0], values[j, i, 1]
+        return low + (high - low) * part
+
+    row = tuple([percentile(j, i) for i in range(len(probs))] for j in range(len(cols)))
+    return base.sparkSession.createDataFrame([row], T.StructType([T.StructField(c, T.ArrayType(T.DoubleType())) for c in cols]))
+
+
+_RANGES = "c int, mn double, mx double, asks array<struct<i:int,high:int,off:bigint,part:double>>"
+
+
+def _asked(begun: DataFrame, order: str) -> DataFrame:
+    """The steps that hold a wanted rank, one row a rank: `asks` lists (i, high, off, part), off counted from the group's first,
+    as is `begin`. The step of the nulls holds none; it gives a row with i = -1, so that its group is not lost."""
+    here = F.filter("asks", lambda a: (a["off"] >= F.col("begin")) & (a["off"] < F.col("begin") + F.col("n")))
+    no_rank = F.array(F.struct(F.lit(-1).alias("i"), F.lit(0).alias("high"), F.lit(0).cast("bigint").alias("off"), F.lit(0.0).alias("part")))
+    return begun.withColumn("ask", F.explode(F.when(F.col(order).isNull(), no_rank).otherwise(here)))
+
+
+def _first_ranks(base: DataFrame, kept: Sequence[str], n_cols: int, probs: Sequence[float]) -> DataFrame:
+    v, group = F.col("v"), [*kept, "c"]
+    size = F.floor(F.log2(F.abs(v)) * _STEPS) + 1_100 * _STEPS  # over 0 for any finite number but 0
+    step = F.when(v == 0, F.lit(0)).when(F.isnan(v), 3_001 * _STEPS).when(F.abs(v) == float("inf"), F.signum(v) * 3_000 * _STEPS).otherwise(F.signum(v) * size)
+    long = base.select(*kept, F.posexplode(F.array(*[f"__v{j}" for j in range(n_cols)])).alias("c", "v"))
+    rows = F.count(F.lit(1)) if kept else F.count("v")
+    counts = long.groupBy(*group, step.cast("int").alias("step")).agg(rows.alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"))
+    counts = counts.withColumn("n", F.when(F.col("step").isNull(), F.lit(0)).otherwise(F.col("n")))
+    total = F.sum("n").over(W.partitionBy(*group).orderBy("step").rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
+    asks = []
     for i, p in enumerate(probs):
-        rank = F.lit(float(p)) * (F.col("__n") - 1)
-        brackets.append(
-            F.struct(
-                F.lit(i).alias("i"),
-                F.floor(rank).alias("lo_rank"),
-                F.ceil(rank).alias("hi_rank"),
-                (rank - F.floor(rank)).alias("part"),
-                F.when(small | F.lit(edges[2 * i] <= 0.0), F.col("__min"))
-                .otherwise(F.col("__e")[2 * i])
-                .alias("lo"),
-                F.when(small | F.lit(edges[2 * i + 1] >= 1.0), F.col("__max"))
-                .otherwise(F.col("__e")[2 * i + 1])
-                .alias("hi"),
-            )
-        )
-    bounds = sketch.select(*group, F.array(*brackets).alias("__b"))
-    near = F.filter(F.col("__b"), lambda b: F.col("__v") <= b["hi"])
-    hits = (
-        join_on(long, bounds, group, "inner")
-        .select(*group, "__v", F.explode(near).alias("b"))
-        .select(
-            *group,
-            F.col("b.i").alias("i"),
-            F.struct("b.lo_rank", "b.hi_rank", "b.part").alias("want"),
-            F.when(F.col("__v") >= F.col("b.lo"), F.col("__v")).alias("v"),
-        )
-    )
-    # Rows below the bracket collapse into one NULL-valued count per map task.
-    counted = hits.groupBy(*group, "i", "want", "v").agg(F.count(F.lit(1)).alias("n"))
-    upto = W.partitionBy(*group, "i").orderBy(F.col("v").asc_nulls_first())
-    ranked = counted.withColumn("end", F.sum("n").over(upto.rowsBetween(W.unboundedPreceding, 0)))
-    holds = lambda rank: (F.col(rank) < F.col("end")) & (F.col(rank) >= F.col("end") - F.col("n"))
-    picked = ranked.groupBy(*group, "i").agg(
-        F.max(F.when(holds("want.lo_rank"), F.col("v"))).alias("lo"),
-        F.max(F.when(holds("want.hi_rank"), F.col("v"))).alias("hi"),
-        F.max("want.part").alias("part"),
-    )
-    missed = F.raise_error(F.lit("an order statistic lies outside its bracket")).cast("double")
-    lo, hi = (F.coalesce(F.col(c), missed) for c in ("lo", "hi"))
-    value = lo + (hi - lo) * F.col("part")
-    wide = picked.groupBy(*kept).agg(
-        *[
-            F.array(
-                *[F.max(F.when((F.col("__c") == c) & (F.col("i") == i), value)) for i in range(len(probs))]
-            ).alias(c)
-            for c in cols
-        ]
+        at = F.lit(float(p)) * (F.col("total") - 1)
+        for high, rank in enumerate((F.floor(at), F.ceil(at))):
+            asks.append(F.struct(F.lit(i).alias("i"), F.lit(high).alias("high"), rank.alias("off"), (at - F.floor(at)).alias("part")))
+    upto = F.sum("n").over(W.partitionBy(*group).orderBy("step").rowsBetween(W.unboundedPreceding, 0))
+    begun = counts.withColumn("total", total).withColumn("begin", upto - F.col("n"))
+    holds = F.col("step").isNull()
+    for ask in asks:  # plain comparisons first: most steps hold no rank
+        holds |= (ask["off"] >= F.col("begin")) & (ask["off"] < F.col("begin") + F.col("n"))
+    ranks = _asked(begun.filter(holds).withColumn("asks", F.array(*asks)), "step")
+    return ranks.select(*kept, "c", "ask.i", "ask.high", (F.col("ask.off") - F.col("begin")).alias("off"), "ask.part", "n", "mn", "mx")
+
+
+def _next_ranks(base: DataFrame, kept: Sequence[str], n_cols: int, n_probs: int, left: DataFrame, known: Sequence[tuple] = ()) -> DataFrame:
+    """The open ranks one level further: only values of their steps are counted. Without keys `left` is of ranges, `known`."""
+    if kept:
+        ask = F.struct("i", "high", "off", "part")
+        ranges = left.groupBy(*kept, "c", "mn", "mx").agg(F.collect_list(ask).alias("asks"))
+        each = [F.collect_list(F.when(F.col("c") == j, F.struct("mn", "mx"))).alias(f"__r{j}") for j in range(n_cols)]
+        source = join_on(base, ranges.groupBy(*kept).agg(*each), kept, "inner")
+        steps = [[F.get(f"__r{j}", F.lit(k)) for k in range(2 * n_probs)] for j in range(n_cols)]  # two ranks a probability
+        bounds = [[(r["mn"], r["mx"]) for r in of] for of in steps]
+    else:
+        ranges, source = left, base
+        bounds = [[(F.lit(mn), F.lit(mx)) for c, mn, mx, _ in known if c == j] for j in range(n_cols)]
+    hits = []
+    for j, of in enumerate(bounds):
+        v, within = F.col(f"__v{j}"), None
+        for mn, mx in of:
+            inside, step = (v >= mn) & (v <= mx), F.struct(F.lit(j).alias("c"), mn.alias("mn"), mx.alias("mx"), v.alias("v"))
+            within = F.when(inside, step) if within is None else within.when(inside, step)
+        hits += [] if within is None else [within]
+    hit = source.select(*kept, F.explode(F.array(*hits)).alias("x")).filter("x is not null").select(*kept, "x.*")
+    part = F.floor((F.col("v") - F.col("mn")) / (F.col("mx") - F.col("mn")) * _PARTS).cast("int")
+    counts = hit.groupBy(*kept, "c", F.col("mn").alias("from"), "mx", part.alias("step")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("least"), F.max("v").alias("most")
     )
-    wide = wide.withColumnsRenamed(dict(zip(kept, keys)))
-    # Groups without any value have no statistic but keep their row.
-    return join_on(df.select(*keys).distinct(), wide, keys, "left") if keys else wide
+    group = [*kept, "c", "from"]
+    asked = join_on(counts.drop("mx"), ranges.withColumnRenamed("mn", "from").drop("mx"), group, "inner")
+    upto = F.sum("n").over(W.partitionBy(*group).orderBy("step").rowsBetween(W.unboundedPreceding, 0))
+    ranks = _asked(asked.withColumn("begin", upto - F.col("n")), "step")
+    return ranks.select(
+        *kept, "c", "ask.i", "ask.high", (F.col("ask.off") - F.col("begin")).alias("off"), "ask.part", "n",
+        F.col("least").alias("mn"), F.col("most").alias("mx"),
+    )
 
 
 def kth_value(df: DataFrame, col: str, k: int):

@@ -145,24 +145,48 @@ def test_last_rows_of_a_hot_key(spark):
     assert {r["at"] for r in got.collect()} == set(range(2000, 5000))
 
 
-def test_bracketed_percentiles_match_direct(spark, monkeypatch):
-    monkeypatch.setattr(ordered, "BRACKET_ACCURACY", 40)
+@pytest.mark.parametrize("parts", [2, 65_535])
+def test_percentiles_match_direct(spark, monkeypatch, parts):
+    monkeypatch.setattr(ordered, "_PARTS", parts)  # with 2, many levels are needed
     rng = random.Random(3)
-    rows = [("hot" if i % 4 else None, rng.gauss(0, 1), rng.choice([1.0, 2.0, None, 50.0])) for i in range(2000)]
-    df = spark.createDataFrame(rows, "k string, a double, b double")
+    rows = [("hot" if i % 4 else None, rng.gauss(0, 1), rng.choice([1.0, 2.0, None, 50.0]), i // 3) for i in range(900)]
+    rows += [("one", 7.5, None, None), ("none", None, None, None)]
+    df = spark.createDataFrame(rows, "k string, a double, b double, c long")
     probs = [0.0, 0.25, 0.5, 0.9, 1.0]
     for keys in ((), ("k",)):
         wanted = F.array(*[F.lit(p) for p in probs])
-        direct = df.groupBy(*keys).agg(*[F.percentile(c, wanted).alias(c) for c in ("a", "b")]).collect()
-        bracket = ordered.exact_percentiles(df, ["a", "b"], probs, keys).collect()
+        direct = df.groupBy(*keys).agg(*[F.percentile(c, wanted).alias(c) for c in ("a", "b", "c")]).collect()
+        radix = ordered.exact_percentiles(df, ["a", "b", "c"], probs, keys).collect()
         order = lambda rows: sorted(rows, key=lambda r: str(r[0]))
-        assert len(direct) == len(bracket)
-        for d, b in zip(order(direct), order(bracket)):
-            for c in ("a", "b"):
-                assert all(close(x, y) for x, y in zip(d[c], b[c]))
-
-
-def test_percentiles_of_small_groups_in_bracket_mode(spark):
+        assert len(direct) == len(radix)
+        for d, b in zip(order(direct), order(radix)):
+            for c in ("a", "b", "c"):
+                assert (d[c] is None) == (b[c] is None)
+                assert d[c] is None or all(close(x, y) for x, y in zip(d[c], b[c]))
+
+
+def test_percentiles_of_odd_numbers(spark):
+    inf, tiny = float("inf"), 5e-324
+    values = [-inf, -1e308, -1e308, -1.0, -tiny, -0.0, 0.0, tiny, 2 * tiny, 3 * tiny, 1.0, 1.0 + 2**-52, 1.0 + 2**-51, 1.0 + 3 * 2**-52, 1.7e308, inf, inf]
+    df = spark.createDataFrame([(v,) for v in values] * 3, "v double").repartition(5)
+    probs = [i / (len(values) * 3 - 1) for i in range(len(values) * 3)]
+    got = ordered.exact_percentiles(df, ["v"], probs).first()["v"]
+    want = sorted(values * 3)
+    for p, a, b in zip(probs, got, want):
+        rank = p * (len(want) - 1)
+        if rank == int(rank) and abs(b) != inf:
+            assert a == b
+    nan = spark.createDataFrame([(float("nan"),), (1.0,), (2.0,)], "v double")
+    assert ordered.exact_percentiles(nan, ["v"], [0.0, 0.5]).first()["v"] == [1.0, 2.0]
+
+
+def test_percentiles_of_nothing(spark):
+    df = spark.createDataFrame([], "k string, v double")
+    assert ordered.exact_percentiles(df, ["v"], [0.5], ["k"]).count() == 0
+    assert ordered.exact_percentiles(df, ["v"], [0.5, 0.9]).first()["v"] == [None, None]
+
+
+def test_percentiles_of_small_groups(spark):
     df = spark.createDataFrame([("a", 1.0), ("b", 1.0), ("b", 2.0), ("b", 4.0)], "k string, v double")
     got = ordered.exact_percentiles(df, ["v"], [0.5, 0.75], ["k"])
     assert {r["k"]: r["v"] for r in got.collect()} == {"a": [1.0, 1.0], "b": [2.0, 3.0]}
