@@ -11,6 +11,7 @@ from collections.abc import Iterator, Mapping, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerline import fixed
@@ -233,9 +234,10 @@ def ar_diff_baseline(
     numbered = test.withColumn("step", F.row_number().over(s.window).cast("bigint"))
     lengths = test.groupBy(*s.keys).agg(F.count(F.lit(1)).alias("steps"))
     path = ar_forecast(ar_fit(train, s, "v", p).join(lengths, list(s.keys)), s, "steps")
-    # A series without training rows keeps its rows, with no prediction.
-    return join_on(numbered, path, [*s.keys, "step"], "left").select(
-        *s.keys, *s.order, "step", F.col("v").alias("actual"), "predicted"
+    # A series without training rows has the mean of its rows.
+    mean = F.avg("v").over(W.partitionBy(*s.keys))
+    return join_on(numbered.withColumn("mean_v", mean), path, [*s.keys, "step"], "left").select(
+        *s.keys, *s.order, "step", F.col("v").alias("actual"), F.coalesce("predicted", "mean_v").alias("predicted")
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.scalars import key_to_date
 from ledgerline.operators import forecast as FC
+from ledgerline.operators import series_forecast as SF
 from ledgerline.operators import similarity as SIM
 from ledgerline.operators import windows as WN
 from ledgerline.operators.aggregates import forecast_metrics
@@ -348,3 +349,96 @@ def forecast_dates(spark, sf):
     return FC.forecast_dates(last, "last_date")
 
 
+
+
+# Two regressors a model, so that SQL can solve the normal equations by hand.
+SMALL_MODELS = {"univariate": SF.SeriesModel(("close_price",), 2), "multivariate": SF.SeriesModel(("close_price", "trading_volume"), 1)}
+FITTED = f"""{BARS}, r AS (SELECT *, row_number() OVER w AS at, lag(close_price) OVER w AS lag1 FROM bars {W}),
+    sz AS (SELECT ticker, count(*) AS n FROM bars GROUP BY 1),
+    sets AS (SELECT r.ticker, r.at - 1 AS m, floor((n - 6) * 0.8) AS t, r.close_price AS x, r.lag1, r.trading_volume AS vol, q.h, y.close_price AS y
+      FROM r JOIN sz USING (ticker) CROSS JOIN range(1, 6) q(h) JOIN r y ON y.ticker = r.ticker AND y.at = r.at + q.h
+      WHERE r.at >= 2 AND r.at <= n - 5),
+    regs AS (SELECT ticker, m, t, h, x, y, 'univariate' AS model, lag1 AS z FROM sets
+      UNION ALL SELECT ticker, m, t, h, x, y, 'multivariate', vol FROM sets),
+    c AS (SELECT ticker, h, model, avg(y) AS my, avg(x) AS mx, avg(z) AS mz, covar_pop(x, x) AS sxx, covar_pop(z, z) AS szz,
+      covar_pop(x, z) AS sxz, covar_pop(x, y) AS sxy, covar_pop(z, y) AS szy FROM regs WHERE m <= t GROUP BY ALL),
+    b AS (SELECT *, (sxy * szz - szy * sxz) / (sxx * szz - sxz * sxz) AS bx, (szy * sxx - sxy * sxz) / (sxx * szz - sxz * sxz) AS bz FROM c),
+    res AS (SELECT ticker, model, 'T+' || h AS horizon, y AS a, y - (my + bx * (x - mx) + bz * (z - mz)) AS e
+      FROM regs JOIN b USING (ticker, h, model) WHERE m > t)"""
+COMPARED = f"""{FITTED}, tr AS (SELECT r.ticker, r.at AS pos, r.close_price AS v, floor(n * 0.8) AS t FROM r JOIN sz USING (ticker)),
+    d AS (SELECT *, v - lag(v) OVER (PARTITION BY ticker ORDER BY pos) AS d FROM tr WHERE pos <= t),
+    l AS (SELECT *, lag(d) OVER (PARTITION BY ticker ORDER BY pos) AS dl FROM d),
+    phi AS (SELECT ticker, sum(d * dl) / sum(dl * dl) AS phi, arg_max(d, pos) AS ld, arg_max(v, pos) AS lv FROM l GROUP BY 1),
+    every AS (SELECT ticker, model, a, e FROM res
+      UNION ALL SELECT ticker, 'ar_difference', v, v - (lv + ld * phi * (1 - pow(phi, pos - t)) / (1 - phi)) FROM tr JOIN phi USING (ticker) WHERE pos > t
+      UNION ALL SELECT ticker, 'moving_average', close_price, close_price - CASE WHEN count(*) OVER c = 5 THEN avg(close_price) OVER c END
+        FROM bars WINDOW c AS (PARTITION BY ticker ORDER BY date_key ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)),
+    pooled AS (SELECT ticker, model, sqrt(avg(e * e)) AS rmse, avg(abs(e)) AS mae, avg(abs(e / (a + 1e-8::DOUBLE))) * 100 AS mape FROM every GROUP BY 1, 2)"""
+
+
+def _small_forecasts(spark, sf):
+    return SF.forecast_series(bars(spark, sf), BY_TICKER, "close_price", SMALL_MODELS, ridge=0.0)
+
+
+def _with_baselines(spark, sf):
+    """Pooled errors of both fitted models and both baselines."""
+    daily = bars(spark, sf)
+    ma = FC.ma_baseline(daily, BY_TICKER, "close_price").withColumn("model", F.lit("moving_average"))
+    ar = forecast_metrics(FC.ar_diff_baseline(daily, BY_TICKER, "close_price", 1), ["ticker"], "actual", "predicted")
+    pooled = _small_forecasts(spark, sf)["pooled"]
+    return pooled.unionByName(ma).unionByName(ar.withColumn("model", F.lit("ar_difference")))
+
+
+@query("forecast_metrics_by_horizon", f"WITH {FITTED} SELECT ticker, model, horizon, {METRIC_SQL} FROM res GROUP BY 1, 2, 3")
+def forecast_metrics_by_horizon(spark, sf):
+    """Errors of each series' own models on the rows after the training rows, by horizon."""
+    return rounded(_small_forecasts(spark, sf)["metrics"], 3, mape=4)
+
+
+@query(
+    "best_forecast_model",
+    f"""WITH {FITTED}, p AS (SELECT ticker, model, sqrt(avg(e * e)) AS rmse FROM res GROUP BY 1, 2)
+    SELECT ticker, arg_min(model, rmse) AS model, round(min(rmse), 3) AS rmse FROM p GROUP BY 1""",
+)
+def best_forecast_model(spark, sf):
+    return rounded(_small_forecasts(spark, sf)["best"], 3)
+
+
+COMPARED_MODELS = ["univariate", "multivariate", "ar_difference", "moving_average"]
+
+
+@query(
+    "model_comparison",
+    f"WITH {COMPARED} SELECT ticker, "
+    + ", ".join(f"round(max({c}) FILTER (model = '{m}'), 3) AS {m}_{c}" for m in COMPARED_MODELS for c in ("rmse", "mae"))
+    + ", arg_min(model, rmse) AS best_model FROM pooled GROUP BY 1",
+)
+def model_comparison(spark, sf):
+    """The two fitted models of each series next to the autoregressive and the moving-average baseline."""
+    return rounded(FC.compare_models(_with_baselines(spark, sf), ["ticker"], COMPARED_MODELS), 3)
+
+
+@query(
+    "forecast_gate",
+    f"""WITH {COMPARED}, best AS (SELECT ticker, arg_min(model, rmse) AS model, min(rmse) AS rmse, arg_min(mape, rmse) AS mape FROM pooled
+      WHERE model IN ('univariate', 'multivariate') GROUP BY 1),
+    lim AS (SELECT ticker, min(rmse) AS rmse, min(mape) AS mape FROM pooled WHERE model IN ('ar_difference', 'moving_average') GROUP BY 1)
+    SELECT ticker, 'rmse' AS metric, model, round(best.rmse, 3) AS value, round(lim.rmse, 3) AS threshold, best.rmse < lim.rmse AS passed
+    FROM best JOIN lim USING (ticker)
+    UNION ALL SELECT ticker, 'mape', model, round(best.mape, 3), round(lim.mape, 3), best.mape < lim.mape FROM best JOIN lim USING (ticker)""",
+)
+def forecast_gate(spark, sf):
+    """Whether the best model of each series beats both baselines."""
+    gate = SF.forecast_gate(_with_baselines(spark, sf), ["ticker"], ["univariate", "multivariate"], ["ar_difference", "moving_average"])
+    return rounded(gate, 3)
+
+
+@query("price_forecast_by_series")
+def price_forecast_by_series(spark, sf):
+    """The next five closes of every series by its own models of 20 days, judged over four parts of the last fifth."""
+    features = facts.stock_features(bars(spark, sf), "ticker")
+    every = ("close_price", "open_price", "high_price", "low_price", "trading_volume", "price_change_pct", "volume_change_pct")
+    models = {"univariate": SF.SeriesModel(("close_price",)), "multivariate": SF.SeriesModel(every)}
+    out = SF.forecast_series(features, BY_TICKER, "close_price", models, folds=4)
+    errors = out["metrics"].select("ticker", "model", "horizon", "n", "rmse", "mae", "mape")
+    return out["predictions"].join(errors, ["ticker", "model", "horizon"])

@@ -145,10 +145,10 @@ def test_auc_of_no_rows(spark):
     assert risk.auc(spark.createDataFrame([], "y int, p double"), "y", "p").first()["auc"] == 0.0
 
 
-def test_one_row_series_stays_in_the_baseline(spark):
+def test_one_row_series_has_its_mean_as_baseline(spark):
     rows = [("a", t, float(t % 7)) for t in range(60)] + [("b", 0, 1.0)]
     got = forecast.ar_diff_baseline(spark.createDataFrame(rows, "k string, t int, v double"), Series.of("k", "t"), "v")
-    assert [tuple(r) for r in got.filter("k = 'b'").select("actual", "predicted").collect()] == [(1.0, None)]
+    assert [tuple(r) for r in got.filter("k = 'b'").select("actual", "predicted").collect()] == [(1.0, 1.0)]
 
 
 def test_constant_series_have_no_correlation(spark):
