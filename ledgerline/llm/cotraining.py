@@ -2,28 +2,34 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import CountVectorizerModel, HashingTF
-from pyspark.ml.functions import vector_to_array
+import pyarrow as pa
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.store import stored
+from ledgerline.llm.arrays import arrow_schema, slices
+from ledgerline.llm.store import scratch, stored
+from ledgerline.llm.views import Vocabulary, distinct_pairs, page_terms, word_terms
+
+#: Rows of a fit that one task holds, about.
+FIT_ROWS = 20_000
 
 
 @dataclass(frozen=True)
 class CoTraining:
-    """labelled_rows and pool_rows: labelled and unlabelled documents that the fit may use, drawn by a hash of the key; all
-    documents are scored. rounds: exchanges of pseudo-labels. sure: calibrated probability from which a view passes one on, and
-    the precision that it must have on the calibration fold; proof: rows there that prove it. least_docs and evidence:
-    documents of the sample that a word feature needs, and its chi-square against either label; terms: features kept for each
-    label. page_features: hashed features. penalty: L2. reject: probability from which a document is rejected."""
+    """labelled_rows: labelled documents that the fit may use, drawn by a hash of the key; all unlabelled documents may get
+    pseudo-labels, and all documents are scored. rounds: exchanges of pseudo-labels. sure: calibrated probability from which a
+    view passes one on, and the precision that it must have on the calibration fold; proof: rows there that prove it.
+    least_docs and evidence: labelled documents that a word feature needs, and its chi-square against either label; terms:
+    features kept for each label. page_features: hashed features. penalty: L2. reject: probability from which a document is
+    rejected."""
 
     labelled_rows: int = 20_000
-    pool_rows: int = 10_000
     rounds: int = 2
     sure: float = 0.97
     proof: int = 20
@@ -31,88 +37,116 @@ class CoTraining:
     evidence: float = 20.0
     terms: int = 2000
     page_features: int = 1 << 12
-    iterations: int = 30
+    iterations: int = 60
     penalty: float = 1e-4
     reject: float = 0.5
 
 
-def word_terms(text: Column) -> Column:
-    """The text view: whole words, beginnings of the words (3 to 8 letters, shared by inflected forms), the runs of marks between
-    words, and how often words are new, in steps."""
-    words = F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: w != "")
-    found = F.array_distinct(words)
-
-    def stems(n: int) -> Column:
-        return F.array_distinct(F.transform(found, lambda w: F.concat(F.lit(f"{n}^"), F.substring(w, 1, n))))
-
-    marks = F.array_distinct(F.transform(F.split(text, r"[\p{L}\p{N}\s]+"), lambda m: F.concat(F.lit("~"), F.substring(m, 1, 3))))
-    fresh = F.concat(F.lit("fresh="), F.coalesce(F.floor(10 * F.size(found) / F.size(words)).cast("string"), F.lit("none")))
-    whole = F.transform(found, lambda w: F.concat(F.lit("="), w))
-    return F.concat(whole, stems(3), stems(4), stems(5), stems(6), stems(8), marks, F.array(fresh))
-
-
-def page_terms(text: Column, lang: Column, source: Column, n_chars: Column) -> Column:
-    """The metadata view: source, language, length and layout in steps; no words."""
-
-    def step(name: str, value: Column) -> Column:
-        return F.concat(F.lit(name + "="), F.coalesce(F.floor(value).cast("string"), F.lit("none")))
-
-    size = F.greatest(F.length(text), F.lit(1))
-    spaces = F.length(text) - F.length(F.translate(text, " ", ""))
-    marks = F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))
-    digits = F.length(text) - F.length(F.translate(text, "0123456789", ""))
-    lines = F.length(text) - F.length(F.translate(text, "\n", "")) + 1
-    words = F.split(text, r"[\x20\x09-\x0D]+")
-    return F.array(
-        F.concat(F.lit("source="), F.coalesce(source.cast("string"), F.lit("none"))),
-        F.concat(F.lit("lang="), F.coalesce(lang.cast("string"), F.lit("none"))),
-        step("size", F.log2(F.greatest(F.coalesce(n_chars.cast("double"), F.lit(0.0)), F.lit(1.0)))),
-        step("line", F.log2(size / lines) * 2),
-        step("marks", F.log2(1 + 1000 * marks / size) * 2),
-        step("digits", F.log2(1 + 1000 * digits / size)),
-        step("word", 2 * size / (spaces + 1)),
-        step("fresh", 10 * F.size(F.array_distinct(words)) / F.size(words)),
-    )
+@dataclass(frozen=True)
+class Head:
+    """A fitted classifier: weights of the features of one view, then its calibration."""
+
+    view: str
+    weights: np.ndarray
+    shift: float
+    slope: float = 1.0
+    base: float = 0.0
+
+    def logits(self, numbers: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
+        return np.bincount(of, self.weights[numbers], minlength=n) + self.shift
+
+    def scaled(self, logits: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.slope * logits + self.base, -500, 500)))
 
 
-def _termed(docs: DataFrame, row: Column, text: str) -> DataFrame:
-    """row and the terms of both views; columns of docs cannot clash with these."""
+def _inputs(docs: DataFrame, text: str) -> list[Column]:
+    """Text and metadata of a document; columns that docs lacks are null."""
     have = set(docs.columns)
-    meta = [F.col(c) if c in have else F.lit(None) for c in ("lang", "source", "n_chars")]
-    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    return docs.select(row.alias("row"), word_terms(body).alias("words"), page_terms(body, *meta).alias("page"))
+    lang, source = (F.col(c).cast("string") if c in have else F.lit(None).cast("string") for c in ("lang", "source"))
+    n_chars = F.col("n_chars").cast("double") if "n_chars" in have else F.lit(None).cast("double")
+    return [F.coalesce(F.col(text).cast("string"), F.lit("")), lang, source, n_chars]
+
+
+def _viewed(columns: list[pa.Array], vocabulary: Vocabulary, page_features: int) -> Iterator[tuple]:
+    """(rows, word numbers and their rows, page numbers and their rows) of bounded slices."""
+    batch = pa.RecordBatch.from_arrays(columns, ["text", "lang", "source", "n_chars"])
+    for part in slices(iter([batch]), "text"):
+        n = part.num_rows
+        terms, of, fresh = word_terms(part.column(0))
+        page = page_terms(part.column(0), fresh, *(part.column(i) for i in (1, 2, 3)), page_features)
+        yield n, vocabulary.found(terms, of), (page.ravel(), np.repeat(np.arange(n), page.shape[1]))
+
+
+def _lists(numbers: np.ndarray, of: np.ndarray, n: int) -> pa.Array:
+    ends = np.concatenate(([0], np.cumsum(np.bincount(of, minlength=n)))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(numbers.astype(np.int32)))
+
 
+def numbered(docs: DataFrame, text: str, vocabulary: Vocabulary, page_features: int) -> Column:
+    """(words, page): the numbers of a document's features in both views."""
 
-def _vectored(terms: DataFrame, vocabulary: list[str], p: CoTraining) -> DataFrame:
-    words = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="words", outputCol="word_vector", binary=True)
-    page = HashingTF(inputCol="page", outputCol="page_vector", numFeatures=p.page_features, binary=True)
-    return page.transform(words.transform(terms)).drop("words", "page")
+    @F.arrow_udf("words array<int>, page array<int>")
+    def run(a: pa.Array, b: pa.Array, c: pa.Array, d: pa.Array) -> pa.Array:
+        parts = [[_lists(*words, n), _lists(*page, n)] for n, words, page in _viewed([a, b, c, d], vocabulary, page_features)]
+        both = [pa.concat_arrays(of) if of else pa.array([], pa.list_(pa.int32())) for of in zip(*parts, strict=True)] if parts else [pa.array([], pa.list_(pa.int32()))] * 2
+        return pa.StructArray.from_arrays(both, ["words", "page"])
 
+    return run(*_inputs(docs, text))
 
-def telling_terms(train: DataFrame, p: CoTraining) -> list[str]:
-    """The word terms that tell most about a label, by chi-square over (words, low, toxic); at most p.terms for each label."""
-    found: set[str] = set()
+
+def telling_terms(rows: DataFrame, p: CoTraining) -> np.ndarray:
+    """The word terms that tell most about a label of rows (text, low, toxic), by chi-square; at most p.terms for each label.
+
+    Tasks count how many texts of each label have a term, slice by slice, as 64-bit numbers; only these counts are shuffled.
+    """
+    ddl = "term long, n_low double, low double, n_toxic double, toxic double"
+    kinds = arrow_schema(ddl)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            terms, of = distinct_pairs(*word_terms(part.column("text"))[:2])
+            known, at = np.unique(terms, return_inverse=True)
+            out = [pa.array(known.view(np.int64))]
+            for goal in ("low", "toxic"):
+                value = part.column(goal).to_numpy(zero_copy_only=False).astype(float)  # null: NaN
+                there = ~np.isnan(value)
+                out += [pa.array(np.bincount(at, v[of], minlength=len(known))) for v in (there.astype(float), np.where(there, value, 0.0))]
+            yield pa.RecordBatch.from_arrays(out, schema=kinds)
+
+    sums = [F.sum(c).alias(c) for c in ("n_low", "low", "n_toxic", "toxic")]
+    counts = rows.select("text", "low", "toxic").mapInArrow(count, ddl).groupBy("term").agg(*sums)
+    counts = stored(counts.where(f"n_low >= {p.least_docs} or n_toxic >= {p.least_docs}"), "terms")
+    found: set[int] = set()
     for goal in ("low", "toxic"):
-        rows = train.where(F.col(goal).isNotNull())
-        n, bad = rows.agg(F.count("*"), F.coalesce(F.sum(goal), F.lit(0.0))).first()
+        n, bad = rows.where(F.col(goal).isNotNull()).agg(F.count("*"), F.coalesce(F.sum(goal), F.lit(0.0))).first()
         if not 0 < bad < n:
             continue
-        each = rows.select(F.explode("words").alias("term"), goal).groupBy("term").agg(F.count("*").alias("c"), F.sum(goal).alias("x"))
-        chi = f"{n} * pow(x * {n - bad} - (c - x) * {bad}, 2) / ({bad * (n - bad)} * c * greatest({n} - c, 1))"
-        best = each.where(f"c >= {p.least_docs}").withColumn("chi", F.expr(chi)).where(f"chi >= {p.evidence}")
+        chi = f"{n} * pow({goal} * {n - bad} - (n_{goal} - {goal}) * {bad}, 2) / ({bad * (n - bad)} * n_{goal} * greatest({n} - n_{goal}, 1))"
+        best = counts.where(f"n_{goal} >= {p.least_docs}").withColumn("chi", F.expr(chi)).where(f"chi >= {p.evidence}")
         found.update(r[0] for r in best.orderBy(F.desc("chi"), "term").limit(p.terms).collect())
-    return sorted(found) or ["none"]
+    return np.array(sorted(found), np.int64).view(np.uint64)
+
+
+def _fit(rows: DataFrame, view: str, size: int, p: CoTraining) -> Head:
+    """rows: (view, goal, weight)."""
+    count = rows.count()
+    whole = rows.coalesce(count // FIT_ROWS + 1).withColumn("names", F.transform(view, lambda k: k.cast("string")))
+    vectors = CountVectorizerModel.from_vocabulary([str(k) for k in range(size)], inputCol="names", outputCol="features", binary=True)
+    model = LogisticRegression(labelCol="goal", weightCol="weight", maxIter=p.iterations, regParam=p.penalty, standardization=False).fit(
+        vectors.transform(whole).select("features", "goal", "weight")
+    )
+    return Head(view, model.coefficients.toArray(), float(model.intercept))
 
 
-def _fit(rows: DataFrame, features: str, goal: str, p: CoTraining) -> LogisticRegressionModel:
-    return LogisticRegression(
-        featuresCol=features, labelCol=goal, maxIter=p.iterations, regParam=p.penalty, standardization=False
-    ).fit(rows.select(features, goal))
+def _logits(head: Head) -> Column:
+    """The head's logits of stored numbers."""
 
+    @F.arrow_udf("double")
+    def run(numbers: pa.Array) -> pa.Array:
+        of = np.repeat(np.arange(len(numbers)), np.diff(numbers.offsets.to_numpy()))
+        return pa.array(head.logits(numbers.flatten().to_numpy(), of, len(numbers)))
 
-def _logit(df: DataFrame, model: LogisticRegressionModel, features: str, name: str) -> DataFrame:
-    model.setFeaturesCol(features).setRawPredictionCol("_raw").setProbabilityCol("").setPredictionCol("")
-    return model.transform(df).withColumn(name, vector_to_array("_raw")[1]).drop("_raw")
+    return run(head.view)
 
 
 def _platt(rows: list[tuple[float, float]]) -> tuple[float, float]:
@@ -143,11 +177,11 @@ def _platt(rows: list[tuple[float, float]]) -> tuple[float, float]:
 
 @dataclass(frozen=True)
 class CoTrained:
-    """Fitted heads by name: (features, model, calibration slope, intercept). A head without rows of both kinds is missing."""
+    """Fitted heads by name. A head without rows of both kinds is missing."""
 
     p: CoTraining
-    vocabulary: list[str]
-    heads: dict[str, tuple[str, LogisticRegressionModel, float, float]]
+    vocabulary: Vocabulary
+    heads: dict[str, Head]
 
     def scored(self, docs: DataFrame, text: str = "text") -> DataFrame:
         """row (all columns of docs), toxic_score, word_score, page_score, score, kept for every document.
@@ -157,77 +191,88 @@ class CoTrained:
         Null or empty texts are scored by their metadata; null metadata is a value of its own. A missing head scores 0, so
         without labels every document is kept. There is no shuffle; repeated rows and null keys are rows like any other.
         """
-        row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-        out = _vectored(_termed(docs, row, text), self.vocabulary, self.p)
-        for name in ("toxic", "word", "page"):
-            if name in self.heads:
-                features, model, slope, shift = self.heads[name]
-                out = _logit(out, model, features, "x").withColumn(f"{name}_score", _scaled("x", slope, shift)).drop("x")
-            else:
-                out = out.withColumn(f"{name}_score", F.lit(0.0))
-        out = out.select("row", "toxic_score", "word_score", "page_score")
-        out = out.withColumn("score", F.expr("1 - (1 - toxic_score) * (1 - (word_score + page_score) / 2)"))
-        return out.withColumn("kept", F.col("score") < self.p.reject)
-
+        vocabulary, heads, p = self.vocabulary, self.heads, self.p
+        names = ["toxic_score", "word_score", "page_score", "score"]
+
+        @F.arrow_udf(", ".join(f"{c} double" for c in names))
+        def run(a: pa.Array, b: pa.Array, c: pa.Array, d: pa.Array) -> pa.Array:
+            found: list[list[np.ndarray]] = [[], [], []]
+            for n, words, page in _viewed([a, b, c, d], vocabulary, p.page_features):
+                for out, name in zip(found, ("toxic", "word", "page"), strict=True):
+                    head = heads.get(name)
+                    out.append(head.scaled(head.logits(*(page if head.view == "page" else words), n)) if head else np.zeros(n))
+            toxic, word, page = (np.concatenate(f) if f else np.zeros(0) for f in found)
+            score = 1 - (1 - toxic) * (1 - (word + page) / 2)
+            return pa.StructArray.from_arrays([pa.array(x) for x in (toxic, word, page, score)], names)
 
-def _scaled(name: str, slope: float, shift: float) -> Column:
-    return 1 / (1 + F.exp(-F.lit(slope) * F.col(name) - F.lit(shift)))
+        row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+        out = docs.select(row.alias("row"), run(*_inputs(docs, text)).alias("scores"))
+        return out.select("row", "scores.*").withColumn("kept", F.col("score") < p.reject)
 
 
 def co_train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", p: CoTraining = CoTraining()) -> CoTrained:
     """Fit the views. labels: (key, quality, toxic). Low quality is quality 0; a repeated key is low or toxic if any row says so;
-    rows with a null key are left out, and a null label trains nothing.
+    labels with a null key are left out, and a null label trains nothing. Documents with a null key are unlabelled.
 
-    Labelled rows are drawn by a hash of the key up to the bound, and split: four fifths train, one fifth calibrates. In each
-    round the classifier of words and the classifier of metadata score the unlabelled pool, and what each is sure of, high or
-    low, trains the other in the next round, if its precision on the calibration fold bears that out. Toxic words leave no mark
+    Labelled rows are drawn by a hash of the key up to the bound, and split: four fifths train, one fifth calibrates. The features
+    of all other documents are numbered and stored once. In each round the classifier of words and the classifier of metadata
+    score all unlabelled documents, and what each is sure of, high or low, trains the other in the next round, if its precision
+    on the calibration fold bears that out; together these rows weigh no more than the labelled ones. Toxic words leave no mark
     on the metadata, so their classifier belongs to the words alone.
     """
+    spark = docs.sparkSession
     spread = F.pmod(F.xxhash64("key", F.lit(41)), F.lit(1 << 30)) / (1 << 30)
     said = [F.max((F.col("quality") == 0).cast("double")).alias("low"), F.max((F.col("toxic") == 1).cast("double")).alias("toxic")]
     known = stored(labels.select(F.col(key).alias("key"), "quality", "toxic").where("key is not null").groupBy("key").agg(*said), "labels")
-    free = docs.select(F.col(key).alias("key")).where("key is not null").join(known, "key", "left_anti").distinct()
-    free = stored(free.select("key", F.lit(None).cast("double").alias("low"), F.lit(None).cast("double").alias("toxic")), "unlabelled")
-
-    def drawn(rows: DataFrame, bound: int) -> DataFrame:
-        return rows.where(spread < min(1.0, bound / max(1, rows.count())))
-
-    known = drawn(known, p.labelled_rows).withColumn("part", F.when(F.pmod(F.xxhash64("key", F.lit(7)), F.lit(5)) == 0, "fold").otherwise("train"))
-    chosen = stored(known.unionByName(drawn(free, p.pool_rows).withColumn("part", F.lit("pool"))), "chosen")
-    ids = F.broadcast(chosen.withColumnRenamed("key", "_chosen"))  # labelled_rows + pool_rows at most, but for chance
-    have = [c for c in (text, "lang", "source", "n_chars") if c in docs.columns]
-    picked = docs.select(F.col(key).alias("_key"), *have).join(ids, F.col("_key") == F.col("_chosen"))
-    terms = stored(_termed(picked, F.struct("low", "toxic", "part"), text).select("row.*", "words", "page").repartition(3), "sample")
-    vocabulary = telling_terms(terms.where("part = 'train'"), p)
-    sample = stored(_vectored(terms, vocabulary, p), "sample")
-    train, fold, pool = (sample.where(F.col("part") == part) for part in ("train", "fold", "pool"))
-
-    def head(features: str, goal: str, extra: DataFrame | None) -> tuple[str, LogisticRegressionModel, float, float, list] | None:
-        rows = train.select(features, goal).where(F.col(goal).isNotNull())
+    share = min(1.0, p.labelled_rows / max(1, known.count()))
+    fold = F.pmod(F.xxhash64("key", F.lit(7)), F.lit(5)) == 0
+    part = F.when(spread >= share, "spare").when(fold, "fold").otherwise("train")
+    known = stored(known.withColumn("part", part), "known")
+
+    # At most labelled_rows keys, but for chance: small enough to meet the texts without a shuffle.
+    chosen = known.where("part = 'train'").select(F.col("key").alias("_chosen"), "low", "toxic")
+    body = docs.select(F.col(key).alias("_key"), _inputs(docs, text)[0].alias("text"))
+    terms = telling_terms(body.join(chosen, F.col("_key") == F.col("_chosen")), p)
+    vocabulary = Vocabulary(terms)
+
+    views = docs.select(F.col(key).alias("_key"), numbered(docs, text, vocabulary, p.page_features).alias("v")).select("_key", "v.*")
+    joined = views.join(known, F.col("_key") == F.col("key"), "left").withColumn("part", F.coalesce("part", F.lit("pool")))
+    folder = scratch(spark, "views")
+    joined.where("part <> 'spare'").select("words", "page", "low", "toxic", "part").write.partitionBy("part").parquet(folder)
+    sample = spark.read.schema("words array<int>, page array<int>, low double, toxic double, part string").parquet(folder)
+    train, fold, pool = (sample.where(F.col("part") == of) for of in ("train", "fold", "pool"))
+    size = {"words": max(1, len(vocabulary)), "page": p.page_features}
+
+    def head(view: str, goal: str, extra: DataFrame | None) -> tuple[Head, list] | None:
+        rows = train.where(F.col(goal).isNotNull()).select(view, F.col(goal).alias("goal"), F.lit(1.0).alias("weight"))
         rows = rows if extra is None else rows.unionByName(extra)
-        if rows.select(goal).distinct().count() < 2:
+        if rows.select("goal").distinct().count() < 2:
             return None
-        model = _fit(rows, features, goal, p)
-        marks = _logit(fold.where(F.col(goal).isNotNull()), model, features, "x").select("x", goal)
+        fitted = _fit(rows, view, size[view], p)
+        marks = fold.where(F.col(goal).isNotNull()).select(_logits(fitted).alias("x"), goal)
         marks = [(r[0], r[1]) for r in marks.collect()]  # a fifth of labelled_rows
-        return (features, model, *(_platt(marks) if marks else (1.0, 0.0)), marks)
+        slope, base = _platt(marks) if marks else (1.0, 0.0)
+        return Head(view, fitted.weights, fitted.shift, slope, base), marks
 
-    def sure(found: tuple, other: str) -> DataFrame | None:
-        features, model, slope, shift, marks = found
-        told = None
+    def sure(found: tuple[Head, list], other: str) -> DataFrame | None:
+        own, marks = found
+        proven = []
         for says in (0.0, 1.0):
-            strength = (lambda q: q) if says else (lambda q: 1 - q)
-            right = [y == says for x, y in marks if strength(1 / (1 + np.exp(-slope * x - shift))) >= p.sure]
-            if len(right) >= p.proof and sum(right) >= p.sure * len(right):
-                passed = _logit(pool, model, features, "x").withColumn("q", _scaled("x", slope, shift))
-                passed = passed.where(strength(F.col("q")) >= p.sure).select(other, F.lit(says).alias("low"))
-                told = passed if told is None else told.unionByName(passed)
-        return told
-
-    toxic = head("word_vector", "toxic", None)
+            strong = [y == says for x, y in marks if (q := float(own.scaled(np.array(x)))) >= p.sure * says and 1 - q >= p.sure * (1 - says)]
+            if len(strong) >= p.proof and sum(strong) >= p.sure * len(strong):
+                proven.append(says)
+        if not proven:
+            return None
+        q = 1 / (1 + F.exp(-F.lit(own.slope) * _logits(own) - F.lit(own.base)))
+        says = F.when(F.col("q") >= p.sure, 1.0).when(F.col("q") <= 1 - p.sure, 0.0)
+        told = pool.select(other, q.alias("q")).withColumn("goal", says).where(F.col("goal").isin(proven)).select(other, "goal")
+        weight = min(1.0, train.where("low is not null").count() / max(1, told.count()))
+        return told.withColumn("weight", F.lit(weight))
+
+    toxic = head("words", "toxic", None)
     to_word = to_page = None
     for turn in range(p.rounds + 1):
-        word, page = head("word_vector", "low", to_word), head("page_vector", "low", to_page)
+        word, page = head("words", "low", to_word), head("page", "low", to_page)
         if turn < p.rounds and word and page:
-            to_word, to_page = sure(page, "word_vector"), sure(word, "page_vector")
-    return CoTrained(p, vocabulary, {name: h[:4] for name, h in (("toxic", toxic), ("word", word), ("page", page)) if h})
+            to_word, to_page = sure(page, "words"), sure(word, "page")
+    return CoTrained(p, vocabulary, {name: h[0] for name, h in (("toxic", toxic), ("word", word), ("page", page)) if h})
