@@ -16,8 +16,8 @@ from ledgerline.llm.arrays import arrow_schema, slices
 from ledgerline.llm.store import scratch, stored
 from ledgerline.llm.views import Vocabulary, distinct_pairs, page_terms, word_terms
 
-#: Rows of a fit that one task holds, about.
-FIT_ROWS = 20_000
+#: Rows of a fit that one task holds, about; bytes of text, and rows of stored numbers, that a task works on at a time.
+FIT_ROWS, VIEW_BYTES, LOGIT_ROWS = 20_000, 512 << 10, 2_000
 
 
 @dataclass(frozen=True)
@@ -70,7 +70,7 @@ def _inputs(docs: DataFrame, text: str) -> list[Column]:
 def _viewed(columns: list[pa.Array], vocabulary: Vocabulary, page_features: int) -> Iterator[tuple]:
     """(rows, word numbers and their rows, page numbers and their rows) of bounded slices."""
     batch = pa.RecordBatch.from_arrays(columns, ["text", "lang", "source", "n_chars"])
-    for part in slices(iter([batch]), "text"):
+    for part in slices(iter([batch]), "text", VIEW_BYTES):
         n = part.num_rows
         terms, of, fresh = word_terms(part.column(0))
         page = page_terms(part.column(0), fresh, *(part.column(i) for i in (1, 2, 3)), page_features)
@@ -103,7 +103,7 @@ def telling_terms(rows: DataFrame, p: CoTraining) -> np.ndarray:
     kinds = arrow_schema(ddl)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", VIEW_BYTES):
             terms, of = distinct_pairs(*word_terms(part.column("text"))[:2])
             known, at = np.unique(terms, return_inverse=True)
             out = [pa.array(known.view(np.int64))]
@@ -143,8 +143,12 @@ def _logits(head: Head) -> Column:
 
     @F.arrow_udf("double")
     def run(numbers: pa.Array) -> pa.Array:
-        of = np.repeat(np.arange(len(numbers)), np.diff(numbers.offsets.to_numpy()))
-        return pa.array(head.logits(numbers.flatten().to_numpy(), of, len(numbers)))
+        out = []
+        for start in range(0, len(numbers), LOGIT_ROWS):
+            part = numbers.slice(start, LOGIT_ROWS)
+            of = np.repeat(np.arange(len(part)), np.diff(part.offsets.to_numpy()))
+            out.append(head.logits(part.flatten().to_numpy(), of, len(part)))
+        return pa.array(np.concatenate(out) if out else np.zeros(0))
 
     return run(head.view)
 
@@ -229,8 +233,8 @@ def co_train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     part = F.when(spread >= share, "spare").when(fold, "fold").otherwise("train")
     known = stored(known.withColumn("part", part), "known")
 
-    # At most labelled_rows keys, but for chance: small enough to meet the texts without a shuffle.
-    chosen = known.where("part = 'train'").select(F.col("key").alias("_chosen"), "low", "toxic")
+    # At most labelled_rows keys, but for chance, of 24 bytes each: they go to every task, so that no text is shuffled.
+    chosen = F.broadcast(known.where("part = 'train'").select(F.col("key").alias("_chosen"), "low", "toxic"))
     body = docs.select(F.col(key).alias("_key"), _inputs(docs, text)[0].alias("text"))
     terms = telling_terms(body.join(chosen, F.col("_key") == F.col("_chosen")), p)
     vocabulary = Vocabulary(terms)
