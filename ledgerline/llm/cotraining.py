@@ -17,7 +17,7 @@ from ledgerline.llm.store import scratch, stored
 from ledgerline.llm.views import Vocabulary, distinct_pairs, page_terms, word_terms
 
 #: Rows of a fit that one task holds, about; bytes of text, and rows of stored numbers, that a task works on at a time.
-FIT_ROWS, VIEW_BYTES, LOGIT_ROWS = 20_000, 512 << 10, 2_000
+FIT_ROWS, VIEW_BYTES, LOGIT_ROWS = 20_000, 128 << 10, 1_000
 
 
 @dataclass(frozen=True)
@@ -75,6 +75,7 @@ def _viewed(columns: list[pa.Array], vocabulary: Vocabulary, page_features: int)
         terms, of, fresh = word_terms(part.column(0))
         page = page_terms(part.column(0), fresh, *(part.column(i) for i in (1, 2, 3)), page_features)
         yield n, vocabulary.found(terms, of), (page.ravel(), np.repeat(np.arange(n), page.shape[1]))
+    pa.default_memory_pool().release_unused()  # workers live on between stages
 
 
 def _lists(numbers: np.ndarray, of: np.ndarray, n: int) -> pa.Array:
