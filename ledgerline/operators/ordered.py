@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -13,7 +12,7 @@ from pyspark.sql import types as T
 from ledgerline.operators.series import join_on
 from ledgerline.storage import checkpointed, stored
 
-# Rows that one ordered piece of a running total should hold; the number of pieces follows the rows.
+# Rows that one task puts in order at most; the number of pieces follows the rows.
 SEGMENT_ROWS = 500_000
 
 
@@ -133,13 +132,18 @@ def _asked(begun: DataFrame, order: str) -> DataFrame:
     return begun.withColumn("ask", F.explode(F.when(F.col(order).isNull(), no_rank).otherwise(here)))
 
 
+def _step(v: Column) -> Column:
+    """The step of a double: non-decreasing in it, 128 a power of two; NaN last, NULL for NULL."""
+    size = F.floor(F.log2(F.abs(v)) * _STEPS) + 1_100 * _STEPS  # over 0 for any finite number but 0
+    ends = F.when(v == 0, F.lit(0)).when(F.isnan(v), 3_001 * _STEPS).when(F.abs(v) == float("inf"), F.signum(v) * 3_000 * _STEPS)
+    return ends.otherwise(F.signum(v) * size).cast("int")
+
+
 def _first_ranks(base: DataFrame, kept: Sequence[str], n_cols: int, probs: Sequence[float]) -> DataFrame:
     v, group = F.col("v"), [*kept, "c"]
-    size = F.floor(F.log2(F.abs(v)) * _STEPS) + 1_100 * _STEPS  # over 0 for any finite number but 0
-    step = F.when(v == 0, F.lit(0)).when(F.isnan(v), 3_001 * _STEPS).when(F.abs(v) == float("inf"), F.signum(v) * 3_000 * _STEPS).otherwise(F.signum(v) * size)
     long = base.select(*kept, F.posexplode(F.array(*[f"__v{j}" for j in range(n_cols)])).alias("c", "v"))
     rows = F.count(F.lit(1)) if kept else F.count("v")
-    counts = long.groupBy(*group, step.cast("int").alias("step")).agg(rows.alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"))
+    counts = long.groupBy(*group, _step(v).alias("step")).agg(rows.alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"))
     counts = counts.withColumn("n", F.when(F.col("step").isNull(), F.lit(0)).otherwise(F.col("n")))
     total = F.sum("n").over(W.partitionBy(*group).orderBy("step").rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
     asks = []
@@ -190,55 +194,70 @@ def _next_ranks(base: DataFrame, kept: Sequence[str], n_cols: int, n_probs: int,
     )
 
 
-def kth_value(df: DataFrame, col: str, k: int):
+def kth_value(df: DataFrame, col: str, k: int, most: int = SEGMENT_ROWS):
     """(value, rows before it, rows up to it) of the k-th smallest row by `col`; ties share a value, NULLs come first.
 
-    The value counts are dealt by range, each range is summed, and only the range that holds the row is ranked. Any type
-    that can be ordered will do.
+    The value counts are dealt by range and each range is summed; the range that holds the row is dealt again, alone, until
+    it has at most `most` values. Only these are ranked in one task. Any type that can be ordered will do.
     """
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    # Stored: a second run would sample other range bounds.
-    dealt = checkpointed(counts.repartitionByRange(col).withColumn("__part", F.spark_partition_id()))
-    below = 0
-    for part, n in sorted(dealt.groupBy("__part").agg(F.sum("n")).collect()):  # one row a partition
-        if below < k <= below + n:
+    left, below, parts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n")), 0, None
+    while True:
+        dealt = left.repartitionByRange(col) if parts is None else left.repartitionByRange(parts, col)
+        # Stored: a second run would sample other range bounds.
+        dealt = checkpointed(dealt.withColumn("__part", F.spark_partition_id()))
+        sizes = dealt.groupBy("__part").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("values"))
+        for part, n, values in sorted(sizes.collect()):  # one row a partition
+            if below < k <= below + n:
+                break
+            below += n
+        else:
+            return None
+        left = dealt.filter(F.col("__part") == part).drop("__part")
+        if values <= most:
             break
-        below += n
-    else:
-        return None
+        parts = min(2 * (parts or 8), 4096)  # more at each turn, so that it ends whatever bounds were drawn
     upto = W.orderBy(col).rowsBetween(W.unboundedPreceding, 0)
-    row = (
-        dealt.filter(F.col("__part") == part)
-        .withColumn("upto", F.sum("n").over(upto) + F.lit(below))
-        .filter(F.col("upto") >= k)
-        .orderBy(col)
-        .first()
-    )
+    row = left.withColumn("upto", F.sum("n").over(upto) + F.lit(below)).filter(F.col("upto") >= k).orderBy(col).first()
     return row[col], row["upto"] - row["n"], row["upto"]
 
 
-def value_segments(df: DataFrame, col: str, out: str, parts: int | None = None) -> DataFrame:
-    """Add a segment number, non-decreasing in `col`, with rows spread evenly by sketched quantiles; without `parts` their
-    number follows the rows."""
-    parts = parts or -(-df.count() // SEGMENT_ROWS)
-    probs = [i / parts for i in range(1, parts)]
-    cuts = sorted(set(df.stat.approxQuantile(col, probs, 0.25 / parts))) if probs else []
-    if not cuts:
-        return df.withColumn(out, F.lit(0))
-    splits = [float("-inf"), *cuts, float("inf")]
-    numbered = Bucketizer(splits=splits, inputCol=col, outputCol=out, handleInvalid="keep").transform(df)
-    return numbered.withColumn(out, F.col(out).cast("int"))
-
-
-def running_totals(df: DataFrame, col: str, sums: Sequence[str], parts: int | None = None) -> DataFrame:
-    """Cumulative sums in ascending `col` (distinct values); adds `cum_<c>`, the total up to each row."""
-    seg = value_segments(df, col, "__seg", parts)
-    earlier = W.orderBy("__seg").rowsBetween(W.unboundedPreceding, -1)  # a row a segment
-    starts = (
-        seg.groupBy("__seg")
-        .agg(*[F.sum(c).alias(c) for c in sums])
-        .select("__seg", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"__s_{c}") for c in sums])
-    )
+def value_segments(df: DataFrame, col: str, out: str, most: int = SEGMENT_ROWS) -> DataFrame:
+    """Add `out`, an array of ints that is non-decreasing in the number `col` and stands on at most `most` rows.
+
+    Like the percentiles: rows are counted in 128 steps a power of two, and only steps with more rows than `most` are cut, into
+    65,536 parts of their own range, until none is left. Rows of one value cannot be cut. No sketch is drawn and no bound
+    passes through the driver. The frame is read once a level and should be stored if it is costly; NULLs come first.
+    """
+    value = F.col(col).cast("double") + F.lit(0.0)
+    held = df.withColumn(out, F.array(F.coalesce(_step(value), F.lit(-4_000 * _STEPS))))
+    while True:
+        sizes = held.groupBy(out).agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("__mn"), F.max(value).alias("__mx"))
+        heavy = stored(sizes.filter((F.col("n") > most) & (F.col("__mn") < F.col("__mx"))).drop("n"))
+        if heavy.isEmpty():
+            return held
+        part = F.floor((value - F.col("__mn")) / (F.col("__mx") - F.col("__mn")) * _PARTS).cast("int")
+        path = F.when(F.col("__mn").isNull(), F.col(out)).otherwise(F.concat(out, F.array(part)))
+        held = held.join(heavy, out, "left").withColumn(out, path).drop("__mn", "__mx")
+
+
+def running_totals(df: DataFrame, col: str, sums: Sequence[str], most: int = SEGMENT_ROWS) -> DataFrame:
+    """Cumulative sums in ascending `col` (distinct numbers); adds `cum_<c>`, the total up to each row.
+
+    A task adds up one segment of at most `most` rows. What comes before a segment is added up level by level: the steps, some
+    hundred for a power of two, then the parts of each step that was cut, 65,536 at most.
+    """
+    seg = value_segments(df, col, "__seg", most)
+    totals = stored(seg.groupBy("__seg").agg(*[F.sum(c).alias(f"__s_{c}") for c in sums]))
+    depth = totals.agg(F.max(F.size("__seg"))).first()[0] or 0
+    starts = totals.select("__seg", *[(F.col(f"__s_{c}") * 0).alias(f"__s_{c}") for c in sums])
+    for level in range(1, depth + 1):
+        at = F.when(F.size("__seg") >= level, F.slice("__seg", 1, level)).alias("__at")
+        each = totals.groupBy(at).agg(*[F.sum(f"__s_{c}").alias(f"__t_{c}") for c in sums]).filter("__at is not null")
+        earlier = W.partitionBy(F.slice("__at", 1, level - 1)).orderBy("__at").rowsBetween(W.unboundedPreceding, -1)
+        before = each.select("__at", *[F.sum(f"__t_{c}").over(earlier).alias(f"__t_{c}") for c in sums])
+        starts = starts.withColumn("__at", at).join(before, "__at", "left").select(
+            "__seg", *[(F.col(f"__s_{c}") + F.coalesce(f"__t_{c}", F.lit(0))).alias(f"__s_{c}") for c in sums]
+        )
     inside = W.partitionBy("__seg").orderBy(col).rowsBetween(W.unboundedPreceding, 0)
     return (
         seg.join(starts, "__seg")

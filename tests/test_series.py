@@ -197,11 +197,33 @@ def test_running_totals(spark):
         (F.col("id") * F.col("id") / 7.0).alias("score"), (F.col("id") % 3).alias("n")
     )
     plain = df.withColumn("cum_n", F.sum("n").over(W.orderBy("score").rowsBetween(W.unboundedPreceding, 0)))
-    for parts in (None, 16):
-        assert as_set(ordered.running_totals(df, "score", ["n"], parts), "score", "cum_n") == as_set(plain, "score", "cum_n")
+    for most in (ordered.SEGMENT_ROWS, 16):
+        assert as_set(ordered.running_totals(df, "score", ["n"], most), "score", "cum_n") == as_set(plain, "score", "cum_n")
     assert ordered.running_totals(df.limit(0), "score", ["n"]).count() == 0
 
 
+def test_order_statistics_cut_close_values(spark):
+    """Values a hair apart, in one partition: no ordered piece holds more rows than stated."""
+    near = [1.0 + i * 2.0**-50 for i in range(900)] + [3.0 * (1 + i * 2.0**-20) for i in range(700)]
+    far = [-(2.0**i) for i in range(-40, 40)] + [0.0, -1e300, 1e300, 5e-324, float("inf"), float("-inf"), float("nan"), None]
+    df = spark.createDataFrame([(v, i % 7) for i, v in enumerate(near + far)], "score double, n long").coalesce(1)
+    seg = ordered.value_segments(df, "score", "seg", 40)
+    sizes = seg.groupBy("seg").count().collect()
+    assert max(r["count"] for r in sizes) <= 40 and sum(r["count"] for r in sizes) == len(near + far)
+    key = lambda v: (v is not None, v != v, 0 if v is None or v != v else v)
+    rows = sorted(((r["score"], r["seg"]) for r in seg.collect()), key=lambda r: key(r[0]))
+    assert all(a[1] <= b[1] for a, b in zip(rows, rows[1:]))
+    total, want = 0, {}
+    for v, n in sorted(((v, i % 7) for i, v in enumerate(near + far)), key=lambda r: key(r[0])):
+        total += n
+        want[str(v)] = total
+    got = {str(r["score"]): r["cum_n"] for r in ordered.running_totals(df, "score", ["n"], 40).collect()}
+    assert got == want
+    for k in (1, 2, 83, 84, 500, 1500, len(rows)):
+        value, before, upto = ordered.kth_value(df, "score", k, 40)
+        assert str(value) == str(rows[k - 1][0]) and (before, upto) == (k - 1, k)
+
+
 def test_results_do_not_depend_on_partitioning(hot):
     s = Series.of("k", "at", "floor(at / 500000)", 30)
     one = windows.pct_change(hot.coalesce(1), s, "v")
