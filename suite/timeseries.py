@@ -156,9 +156,26 @@ def series_pairs(spark, sf):
     return pair_rows(bars(spark, sf), "ticker", "date_key", "close_price", PRIORITIES)
 
 
-@query("warped_distance")
+# Diagonal by diagonal; a cell outside the matrix is NULL, which least() passes over.
+WARPED = f"""WITH RECURSIVE {BARS}, named AS (SELECT * FROM bars WHERE ticker IN {tuple(PRIORITIES)} AND close_price IS NOT NULL),
+common AS (SELECT date_key FROM named GROUP BY 1 HAVING count(DISTINCT ticker) = (SELECT count(DISTINCT ticker) FROM named)),
+z AS (SELECT ticker, date_key, (close_price - avg(close_price) OVER w) / stddev_samp(close_price) OVER w AS z
+  FROM named SEMI JOIN common USING (date_key) WINDOW w AS (PARTITION BY ticker)),
+s AS (SELECT ticker, list(z ORDER BY date_key) AS v, count(*) AS n FROM z GROUP BY 1),
+walk(a, b, x, y, n, d, last, past) AS (
+  SELECT p.ticker, q.ticker, p.v, q.v, p.n, 2, list_transform(range(1, p.n + 1), lambda i: CASE WHEN i = 1 THEN abs(p.v[1] - q.v[1]) END), CAST([] AS DOUBLE[])
+  FROM s p JOIN s q ON p.ticker < q.ticker
+  UNION ALL
+  SELECT a, b, x, y, n, d + 1, list_transform(range(1, n + 1), lambda i: CASE WHEN d + 1 - i BETWEEN 1 AND n
+    THEN abs(x[i] - y[d + 1 - i]) + least(last[i], CASE WHEN i > 1 THEN last[i - 1] END, CASE WHEN i > 1 THEN past[i - 1] END) END), last
+  FROM walk WHERE d < 2 * n),
+ends AS (SELECT a, b, round(last[n], 6) AS distance FROM walk WHERE d = 2 * n)
+SELECT a, b, distance FROM ends UNION ALL SELECT b, a, distance FROM ends UNION ALL SELECT ticker, ticker, 0.0 FROM s"""
+
+
+@query("warped_distance", WARPED)
 def warped_distance(spark, sf):
-    return SIM.dtw_matrix(bars(spark, sf), "ticker", "date_key", "close_price", PRIORITIES)
+    return rounded(SIM.dtw_matrix(bars(spark, sf), "ticker", "date_key", "close_price", PRIORITIES))
 
 
 @query(

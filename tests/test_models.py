@@ -112,11 +112,13 @@ def test_granger(spark):
         assert r["is_significant"] and r["nobs"] == 80 - p
 
 
-def brute_dtw(a, b):
+def brute_dtw(a, b, band=None):
     table = np.full((len(a) + 1, len(b) + 1), np.inf)
     table[0, 0] = 0
     for i in range(1, len(a) + 1):
         for j in range(1, len(b) + 1):
+            if band is not None and abs(i - j) > band:
+                continue
             table[i, j] = abs(a[i - 1] - b[j - 1]) + min(table[i - 1, j], table[i, j - 1], table[i - 1, j - 1])
     return table[-1, -1]
 
@@ -130,15 +132,21 @@ def test_dtw_distance(n, m):
     assert close(similarity.dtw_distance(a, b), similarity.dtw_distance(b, a))
 
 
-def test_dtw_matrix(spark):
+@pytest.mark.parametrize("tile, band", [(4096, None), (7, None), (7, 0), (7, 8), (11, 3), (40, 2)])
+def test_dtw_matrix(spark, tile, band):
     rows = [(k, t, float(RNG.normal())) for k in "abc" for t in range(40) if not (k == "b" and t % 9 == 0)]
     df = spark.createDataFrame(rows, "k string, t int, v double").repartition(4)
-    got = {(r["a"], r["b"]): r["distance"] for r in similarity.dtw_matrix(df, "k", "t", "v", ["a", "b", "c"]).collect()}
+    got = {(r["a"], r["b"]): r["distance"] for r in similarity.dtw_matrix(df, "k", "t", "v", ["a", "b", "c"], band, tile).collect()}
     wide = pd.DataFrame(rows, columns=["k", "t", "v"]).pivot(index="t", columns="k", values="v").dropna()
     z = (wide - wide.mean()) / wide.std()
     assert len(got) == 9
     for (p, q), d in got.items():
-        assert close(d, 0.0 if p == q else brute_dtw(z[p].to_numpy(), z[q].to_numpy()), 1e-9)
+        assert close(d, 0.0 if p == q else brute_dtw(z[p].to_numpy(), z[q].to_numpy(), band), 1e-9)
+
+
+def test_dtw_matrix_of_no_common_dates(spark):
+    df = spark.createDataFrame([("a", 1, 1.0), ("b", 2, 1.0)], "k string, t int, v double")
+    assert similarity.dtw_matrix(df, "k", "t", "v", ["a", "b"]).count() == 0
 
 
 def test_auc_of_no_rows(spark):
