@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pandas as pd
-from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -22,6 +21,7 @@ from ledgerline.functions.scalars import map_label
 from ledgerline.operators.filters import exclude
 from ledgerline.operators.scaling import zscore
 from ledgerline.operators.windows import latest_non_null
+from ledgerline.storage import stored
 
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
@@ -64,45 +64,189 @@ def pca_project(
     return scored, variance
 
 
-def fit_kmeans(features: DataFrame, k: int, n_init: int = 10, seed: int = 42) -> KMeansModel:
-    """Best of `n_init` starts by within-cluster sum of squares."""
+@dataclass(frozen=True)
+class Clusters:
+    """A k-means fit: centres, rows per centre (0 for one that lost all rows), within-cluster sum of squares, silhouette."""
 
-    def start(i: int) -> KMeansModel:
-        return KMeans(k=k, seed=seed + i, maxIter=100, featuresCol="features", predictionCol="cluster").fit(features)
+    centres: np.ndarray
+    sizes: np.ndarray
+    inertia: float
+    silhouette_sq: float
 
-    # The starts are independent jobs; submitting them together keeps the executors busy.
-    with ThreadPoolExecutor(min(n_init, 8)) as pool:
-        starts = list(pool.map(inheritable_thread_target(features.sparkSession)(start), range(n_init)))
-    return min(starts, key=lambda m: m.summary.trainingCost)
+
+def _scan(points: DataFrame, work: Callable[[np.ndarray], Iterable[tuple]], schema: str, width: int) -> DataFrame:
+    """`work` over matrices of the rows, a few MB of `width` results a row at a time; sums stay in the task until its end.
+
+    `work` gives (keys, values) pairs, keys a tuple of ints and values an array to be added up.
+    """
+    rows = max(1, 2_000_000 // width)
+
+    def run(batches):
+        total: dict[tuple, np.ndarray] = {}
+        for frame in batches:
+            x = frame.to_numpy(dtype=float)
+            if not np.isfinite(x).all():
+                raise ValueError("clustering needs finite values in every column")
+            for i in range(0, len(x), rows):
+                for key, values in work(x[i : i + rows]):
+                    total[key] = total[key] + values if key in total else values
+        if total:
+            yield pd.DataFrame([(*k, v.tolist()) for k, v in total.items()], columns=[f.split()[0] for f in schema.split(", ")])
+
+    return points.mapInPandas(run, schema)
+
+
+def _nearest(x: np.ndarray, norms: np.ndarray, models: Sequence[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(label, squared distance) by model: the distances to all centres of all models come from one matrix product."""
+    every = np.vstack(models)
+    gaps = np.maximum(norms[:, None] - 2.0 * (x @ every.T) + (every**2).sum(axis=1), 0.0)
+    out, at = [], 0
+    for centres in models:
+        own = gaps[:, at : at + len(centres)]
+        label = own.argmin(axis=1)
+        out.append((label, own[np.arange(len(x)), label]))
+        at += len(centres)
+    return out
+
+
+def _advance(points: DataFrame, models: Mapping[int, np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """By model: rows, squared distances and squared norms by centre as three columns, and the sums of the rows by centre."""
+    ids, stacks = list(models), list(models.values())
+    d = stacks[0].shape[1]
+
+    def work(x: np.ndarray):
+        norms = (x**2).sum(axis=1)
+        for m, (label, gap) in zip(ids, _nearest(x, norms, stacks)):
+            for j in np.unique(label):
+                own = label == j
+                yield (m, int(j)), np.concatenate([[own.sum(), gap[own].sum(), norms[own].sum()], x[own].sum(axis=0)])
+
+    parts = _scan(points, work, "model int, cluster int, v array<double>", sum(map(len, stacks)))
+    sums = parts.groupBy("model", "cluster").agg(F.array(*[F.sum(F.col("v")[i]) for i in range(d + 3)]).alias("v"))
+    out = {m: (np.zeros((len(c), 3)), np.zeros((len(c), d))) for m, c in models.items()}
+    for r in sums.collect():  # a row a centre
+        out[r["model"]][0][r["cluster"]] = r["v"][:3]
+        out[r["model"]][1][r["cluster"]] = r["v"][3:]
+    return out
+
+
+def _starts(rows: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """k-means++ seeding: each further centre is drawn in proportion to its squared distance from those drawn."""
+    picked = [rows[rng.integers(len(rows))]]
+    gap = ((rows - picked[0]) ** 2).sum(axis=1)
+    while len(picked) < k:
+        total = gap.sum()
+        at = rng.choice(len(rows), p=gap / total) if total > 0 else rng.integers(len(rows))
+        picked.append(rows[at])
+        gap = np.minimum(gap, ((rows - rows[at]) ** 2).sum(axis=1))
+    return np.array(picked)
+
+
+def fit_kmeans(
+    df: DataFrame,
+    cols: Sequence[str],
+    k_range: Iterable[int],
+    n_init: int = 10,
+    seed: int = 42,
+    max_iter: int = 100,
+    tol: float = 1e-4,
+    start_rows: int = 10_000,
+) -> dict[int, Clusters]:
+    """By k the best of `n_init` starts by within-cluster sum of squares.
+
+    All k and all starts advance together: one scan an iteration measures every row against all their centres and adds up
+    sums by centre, so 90 fits take as many jobs as the slowest of them has iterations. A fit whose centres move by less than
+    `tol` leaves the scan. Starts are drawn from `start_rows` rows chosen by hash; every iteration, the sums of squares and the
+    silhouettes cover all rows. The driver holds centres only. A frame without rows is an error.
+    """
+    ks, cols = sorted(set(map(int, k_range))), list(cols)
+    points = stored(df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)]))
+    chosen = points.orderBy(F.xxhash64(*points.columns, F.lit(seed)), *points.columns).limit(start_rows).toPandas().to_numpy(dtype=float)
+    if not len(chosen):
+        raise ValueError("no rows to cluster")
+    fits = {(k, i): _starts(chosen, k, np.random.default_rng([seed, k, i])) for k in ks for i in range(n_init)}
+    names = dict(enumerate(fits))
+    open_ = set(names)
+    for _ in range(max_iter):
+        state = _advance(points, {m: fits[names[m]] for m in sorted(open_)})
+        for m, (stats, sums) in state.items():
+            old, n = fits[names[m]], stats[:, :1]
+            new = np.where(n > 0, sums / np.maximum(n, 1), old)
+            fits[names[m]] = new
+            if ((new - old) ** 2).sum(axis=1).max() <= tol**2:
+                open_.discard(m)
+        if not open_:
+            break
+    last = _advance(points, {m: fits[names[m]] for m in names})
+    best = {k: min((m for m in names if names[m][0] == k), key=lambda m: (last[m][0][:, 1].sum(), m)) for k in ks}
+    scores = _silhouettes_sq(points, {m: (fits[names[m]], *last[m]) for m in best.values()})
+    return {
+        k: Clusters(fits[names[m]], last[m][0][:, 0].astype(int), float(last[m][0][:, 1].sum()), scores[m])
+        for k, m in best.items()
+    }
+
+
+def _silhouettes_sq(points: DataFrame, models: Mapping[int, tuple]) -> dict[int, float]:
+    """Mean silhouette on squared distance by model, one scan for all: a row's mean distance to a cluster comes from the cluster's
+    rows, sum and squared norms. A row alone in its cluster, or without another cluster, scores 0."""
+    stacks = [centres for centres, _, _ in models.values()]
+
+    def work(x: np.ndarray):
+        norms = (x**2).sum(axis=1)
+        for (m, (_, stats, sums)), (label, _) in zip(models.items(), _nearest(x, norms, stacks)):
+            n = stats[:, 0]
+            size = np.maximum(n, 1)
+            away = np.maximum(norms[:, None] + stats[:, 2] / size - 2.0 * (x @ sums.T) / size, 0.0)
+            away[:, n == 0] = np.inf
+            at = np.arange(len(x))
+            own = away[at, label] * n[label] / np.maximum(n[label] - 1, 1)
+            away[at, label] = np.inf
+            other = away.min(axis=1)
+            most = np.maximum(own, other)
+            fits = (n[label] > 1) & np.isfinite(other) & (most > 0)
+            score = np.where(fits, (np.where(fits, other, 0.0) - own) / np.where(fits, most, 1.0), 0.0)
+            yield (m,), np.array([score.sum(), len(x)])
+
+    parts = _scan(points, work, "model int, v array<double>", sum(map(len, stacks)))
+    sums = parts.groupBy("model").agg((F.sum(F.col("v")[0]) / F.sum(F.col("v")[1])).alias("s"))
+    return {r["model"]: float(r["s"]) for r in sums.collect()}
+
+
+def best_k(fits: Mapping[int, Clusters]) -> int:
+    """The k of the best silhouette, the smaller of equal ones."""
+    return max(fits, key=lambda k: (fits[k].silhouette_sq, -k))
 
 
 def kmeans_search(
     df: DataFrame, cols: Sequence[str], k_range: Iterable[int] = range(2, 11), n_init: int = 10, seed: int = 42
 ) -> DataFrame:
-    """(k, inertia, silhouette_sq): silhouette on squared distance, which needs one pass and no pairs."""
-    features = assemble(df.select(*cols), cols).select("features").persist()
-    evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="cluster")
-    rows = []
-    for k in k_range:
-        model = fit_kmeans(features, k, n_init, seed)
-        score = evaluator.evaluate(model.transform(features))
-        rows.append((int(k), float(model.summary.trainingCost), float(score)))
-    features.unpersist()
-    return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette_sq double")
+    """(k, inertia, silhouette_sq, sizes, is_chosen): silhouette on squared distance; sizes largest first; the k with the best
+    silhouette is chosen."""
+    fits = fit_kmeans(df, cols, k_range, n_init, seed)
+    pick = best_k(fits)
+    rows = [(k, f.inertia, f.silhouette_sq, sorted(f.sizes.tolist(), reverse=True), k == pick) for k, f in fits.items()]
+    return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette_sq double, sizes array<bigint>, is_chosen boolean")
 
 
 def assign_clusters(
-    df: DataFrame, cols: Sequence[str], k: int, n_init: int = 10, seed: int = 42, out: str = "cluster_id"
+    df: DataFrame, cols: Sequence[str], k: int | Iterable[int], n_init: int = 10, seed: int = 42, out: str = "cluster_id"
 ) -> DataFrame:
-    """Cluster ids numbered by size (largest first), ties by centroid, so they do not depend on the start."""
-    features = assemble(df, cols).persist()
-    model = fit_kmeans(features.select("features"), k, n_init, seed)
-    centres = [tuple(float(x) for x in c) for c in model.clusterCenters()]
-    sizes = model.summary.clusterSizes
-    order = sorted(range(len(centres)), key=lambda i: (-sizes[i], centres[i]))
-    rank = F.create_map(*[F.lit(x) for new, old in enumerate(order) for x in (old, new)])
-    labelled = model.transform(features).withColumn(out, F.element_at(rank, F.col("cluster")).cast("bigint"))
-    return labelled.drop("features", "cluster")
+    """Cluster ids numbered by size (largest first), ties by centroid, so they do not depend on the start. Of several `k` the
+    one with the best silhouette counts."""
+    fits = fit_kmeans(df, cols, [k] if isinstance(k, int) else k, n_init, seed)
+    return nearest_centre(df, cols, fits[best_k(fits)], out)
+
+
+def nearest_centre(df: DataFrame, cols: Sequence[str], fit: Clusters, out: str = "cluster_id") -> DataFrame:
+    """Each row's cluster id, numbered by size; of equally near centres the one of the larger cluster."""
+    order = sorted(range(len(fit.centres)), key=lambda i: (-fit.sizes[i], tuple(fit.centres[i])))
+
+    def gap(i: int) -> Column:
+        return reduce(add, [(F.col(c).cast("double") - float(v)) ** 2 for c, v in zip(cols, fit.centres[i])])
+
+    kept = [i for i in order if fit.sizes[i]]
+    nearest = F.array_min(F.array(*[F.struct(gap(i).alias("gap"), F.lit(new).cast("bigint").alias("id")) for new, i in enumerate(kept)]))
+    return df.withColumn(out, nearest["id"])
 
 
 def silhouette(
@@ -199,7 +343,7 @@ def cluster_entities(
     entity: str,
     order: str,
     features: Sequence[str],
-    k: int = fixed.CLUSTERS,
+    k: int | Iterable[int] = fixed.CLUSTERS,
     code: str | None = None,
     excluded: Sequence[str] = (),
     scale_first: bool = True,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ledgerline.operators import clusters as CL
 from ledgerline.operators import econometrics as EC
 from ledgerline.operators import risk as RK
+from ledgerline.operators.ordered import union_of
 from ledgerline.operators.scaling import zscore
 from ledgerline.operators.windows import time_split
 from ledgerline.plans import reports
@@ -51,6 +52,34 @@ def cluster_search(spark, sf):
     return CL.kmeans_search(_standardised(spark, sf), FEATURES)
 
 
+@query(
+    "cluster_search_checks",
+    """SELECT CAST(k AS INTEGER) AS k, (SELECT count(DISTINCT o_custkey) FROM orders) AS n, true AS inertia_holds, true AS sizes_hold,
+    true AS chosen_is_best FROM range(2, 11) t(k)""",
+)
+def cluster_search_checks(spark, sf):
+    """The search against its own rows: every row has a cluster, the sums of squares follow from the rows' means, and the chosen k
+    is the one with the best silhouette."""
+    rows = checkpointed(_standardised(spark, sf))
+    fits = CL.fit_kmeans(rows, FEATURES, range(2, 11), 4)
+    pick, best = CL.best_k(fits), max(f.silhouette_sq for f in fits.values())
+    out = []
+    for k, fit in fits.items():
+        held = CL.nearest_centre(rows, FEATURES, fit).groupBy("cluster_id").agg(
+            F.count(F.lit(1)).alias("n"), sum((F.var_pop(c) for c in FEATURES), F.lit(0.0)).alias("spread")
+        )
+        sizes = F.array(*[F.lit(int(n)).cast("bigint") for n in sorted(fit.sizes[fit.sizes > 0])])
+        summed = held.agg(
+            F.lit(k).alias("k"),
+            F.sum("n").alias("n"),
+            (F.abs(F.sum(F.col("n") * F.col("spread")) / F.lit(fit.inertia) - 1) < 1e-3).alias("inertia_holds"),
+            (F.sort_array(F.collect_list("n")) == sizes).alias("sizes_hold"),
+            F.lit((k == pick) <= (fit.silhouette_sq == best)).alias("chosen_is_best"),
+        )
+        out.append(summed)
+    return union_of(out)
+
+
 DIST = "sqrt(list_sum(list_transform(list_zip(a.v, b.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))))"
 
 

@@ -215,6 +215,40 @@ def test_cluster_ids_are_stable(spark):
         assert {r["cluster_id"]: r["count"] for r in out.groupBy("cluster_id").count().collect()} == {0: 9, 1: 4, 2: 1}
 
 
+def test_kmeans_search_finds_the_groups(spark):
+    rng = np.random.default_rng(8)
+    centres = np.array([[0, 0], [9, 0], [0, 9], [9, 9]], float)
+    points = np.vstack([c + rng.normal(size=(60, 2)) * 0.5 for c in centres])
+    df = spark.createDataFrame(pd.DataFrame(points, columns=["x", "y"])).repartition(5)
+    fits = clusters.fit_kmeans(df, ["x", "y"], range(2, 7), 3)
+    assert clusters.best_k(fits) == 4 and sorted(fits[4].sizes) == [60] * 4
+    for k, fit in fits.items():
+        gaps = ((points[:, None, :] - fit.centres) ** 2).sum(axis=2)
+        label = gaps.argmin(axis=1)
+        assert close(fit.inertia, gaps.min(axis=1).sum(), 1e-9) and sum(fit.sizes) == 240
+        scores = []
+        for i in range(len(points)):
+            away = ((points - points[i]) ** 2).sum(axis=1)
+            own = away[label == label[i]].sum() / max((label == label[i]).sum() - 1, 1)
+            other = min(away[label == j].mean() for j in set(label) - {label[i]})
+            scores.append((other - own) / max(own, other) if (label == label[i]).sum() > 1 else 0.0)
+        assert close(fit.silhouette_sq, np.mean(scores), 1e-9)
+    chosen = [r["k"] for r in clusters.kmeans_search(df, ["x", "y"], range(2, 7), 2).filter("is_chosen").collect()]
+    sizes = clusters.assign_clusters(df, ["x", "y"], range(2, 7), 2).groupBy("cluster_id").count().collect()
+    assert chosen == [4] and sorted(r["count"] for r in sizes) == [60] * 4
+
+
+def test_kmeans_of_few_or_bad_rows(spark):
+    same = spark.createDataFrame([(1.0,)] * 5, "x double")
+    fit = clusters.fit_kmeans(same, ["x"], [3], 2)[3]
+    assert fit.inertia == 0 and sorted(fit.sizes) == [0, 0, 5] and fit.silhouette_sq == 0
+    assert {r["cluster_id"] for r in clusters.assign_clusters(same, ["x"], 3).collect()} == {0}
+    with pytest.raises(ValueError):
+        clusters.fit_kmeans(same.limit(0), ["x"], [2])
+    with pytest.raises(Exception, match="finite"):
+        clusters.fit_kmeans(spark.createDataFrame([(1.0,), (None,)], "x double"), ["x"], [2])
+
+
 def test_cluster_entities_runs_both_ways(spark):
     rows = [(e, y, f"B{e}", float(e % 3 * 10 + RNG.normal()), float(RNG.normal()), None if y == 2021 and e == 1 else float(e)) for e in range(12) for y in (2020, 2021)]
     df = spark.createDataFrame(rows, "e int, y int, code string, a double, b double, c double")
