@@ -160,9 +160,17 @@ REPLY = {
 OP3 = """WITH calls AS (
   SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id, turn ORDER BY to_json(text)) AS k
   FROM conversations WHERE role = 'user' AND conv_id IS NOT NULL AND turn IS NOT NULL),
-results AS (
-  SELECT conv_id, turn - 1 AS turn, min(to_json(text)) AS content FROM conversations
-  WHERE role = 'assistant' AND conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY ALL),
+heard AS (
+  SELECT DISTINCT conv_id, turn - 1 AS turn, to_json(text) AS content FROM conversations
+  WHERE role = 'assistant' AND conv_id IS NOT NULL AND turn IS NOT NULL AND text IS NOT NULL),
+results AS (SELECT conv_id, turn, min(content) AS content FROM heard GROUP BY ALL),
+lost AS (
+  SELECT conv_id, turn, turn + 1 AS position, content, 'no call' AS status FROM results r ANTI JOIN calls c USING (conv_id, turn)
+  UNION ALL SELECT h.conv_id, h.turn, h.turn + 1, h.content, 'repeated result' FROM heard h JOIN results r USING (conv_id, turn)
+  WHERE h.content > r.content),
+again AS (
+  SELECT DISTINCT b.conv_id, b.turn, b.text FROM calls a JOIN calls b USING (conv_id, turn)
+  WHERE a.k = 1 AND a.text IS DISTINCT FROM b.text),
 judged AS (
   SELECT c.conv_id, c.turn, c.text, r.content, concat(c.conv_id, '-', c.turn) AS call_id,
     CASE WHEN c.text IS NULL THEN 'invalid: $.prompt: missing'
@@ -172,7 +180,12 @@ judged AS (
 SELECT conv_id, call_id, turn AS position, turn AS order_at, CAST(0 AS INTEGER) AS order_step, status,
   '{"arguments":{' || CASE WHEN text IS NULL THEN '' ELSE '"prompt":' || to_json(text) || ',' END || '"turn":' || turn || '},"id":"' || call_id ||
   '","name":"reply"' || coalesce(',"result":' || content, '') || ',"status":"' || status || '"}' AS record
-FROM judged"""
+FROM judged
+UNION ALL SELECT conv_id, concat(conv_id, '-', turn), position, position, CAST(0 AS INTEGER), status,
+  '{"id":"' || conv_id || '-' || turn || '","result":' || content || ',"status":"' || status || '"}' FROM lost
+UNION ALL SELECT conv_id, concat(conv_id, '-', turn), turn, turn, CAST(0 AS INTEGER), 'repeated call',
+  '{"arguments":{' || CASE WHEN text IS NULL THEN '' ELSE '"prompt":' || to_json(text) || ',' END || '"turn":' || turn || '},"id":"' || conv_id || '-' || turn ||
+  '","name":"reply","status":"repeated call"}' FROM again"""
 
 
 @query("op3_tool_calls", OP3)

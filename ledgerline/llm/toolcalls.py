@@ -29,14 +29,37 @@ def canonical_json(value) -> str:
     return json.dumps(plain(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
 
 
-def fault(value, schema: dict, at: str = "$") -> str | None:
-    """The first place where a value breaks a JSON schema (type, enum, required, properties, additionalProperties, items,
-    minLength, maxLength, minimum, maximum), or None."""
-    kind = schema.get("type")
+def _parsed(text: str | None):
+    """(value, fault) of JSON text: nesting beyond Python's limit, numbers of thousands of digits and lone surrogates are faults."""
+    if text is None:
+        return None, "$: no JSON"
+    try:
+        value = json.loads(text)
+        canonical_json(value).encode()
+    except UnicodeEncodeError:
+        return None, "$: not Unicode"
+    except RecursionError:
+        return None, "$: nested too deeply"
+    except ValueError as error:
+        return None, "$: no JSON" if isinstance(error, json.JSONDecodeError) else "$: not a JSON number"
+    return value, None
+
+
+def _is(kind: str, value) -> bool:
     number = isinstance(value, (int, float)) and not isinstance(value, bool)
-    fits = {"integer": number and float(value).is_integer(), "number": number}.get(kind) if kind in ("integer", "number") else kind is None or isinstance(value, _KINDS[kind])
-    if not fits:
-        return f"{at}: not of type {kind}"
+    if kind == "integer":
+        return number and (isinstance(value, int) or value.is_integer())
+    return number if kind == "number" else isinstance(value, _KINDS[kind])
+
+
+def fault(value, schema: dict, at: str = "$") -> str | None:
+    """The first place where a value breaks a JSON schema (type or list of types, enum, required, properties,
+    additionalProperties, items, minLength, maxLength, minimum, maximum), or None."""
+    kind = schema.get("type", [])
+    kinds = [kind] if isinstance(kind, str) else kind
+    number = _is("number", value)
+    if kinds and not any(_is(k, value) for k in kinds):
+        return f"{at}: not of type {' or '.join(kinds)}"
     if "enum" in schema and value not in schema["enum"]:
         return f"{at}: not in enum"
     size = len(value) if isinstance(value, str) else None
@@ -62,10 +85,28 @@ def fault(value, schema: dict, at: str = "$") -> str | None:
     return None
 
 
+def _text(value) -> str | None:
+    """A string that can be encoded, else None."""
+    try:
+        return value if isinstance(value, str) and value.encode() is not None else None
+    except UnicodeEncodeError:
+        return None
+
+
+def _written(block: dict, name: str) -> str | None:
+    """A member as ASCII JSON; NULL where it is missing or nested beyond what can be written."""
+    try:
+        return json.dumps(block[name]) if name in block else None
+    except (RecursionError, ValueError):
+        return None
+
+
 def blocks(messages: DataFrame) -> DataFrame:
     """Calls and results written in messages (conv_id, turn, text) as <tool_call>{...}</tool_call> and <tool_result>{...}
     </tool_result>: (conv_id, kind, call_id, position, name, arguments, depends_on, content). position is turn * 2**20 and the
-    block's number. A block that is no JSON object with a string id is a row with a null call_id; null texts have none."""
+    block's number. A block that is no JSON object with a string id, or whose id, arguments or content cannot be written as
+    canonical JSON (lone surrogates, NaN, very deep nesting), keeps what can be written: null in the place of the rest. Null
+    texts have no block."""
     schema = "conv_id long, kind string, call_id string, position long, name string, arguments string, depends_on array<string>, content string"
     kinds = arrow_schema(schema)
 
@@ -76,17 +117,17 @@ def blocks(messages: DataFrame) -> DataFrame:
                 for k, m in enumerate(_BLOCK.finditer(text or "")):
                     try:
                         x = json.loads(m[2])
-                    except ValueError:
+                    except (ValueError, RecursionError):
                         x = None
-                    x = x if isinstance(x, dict) and isinstance(x.get("id"), str) else {}
+                    x = x if isinstance(x, dict) and _text(x.get("id")) is not None else {}
                     after = x.get("depends_on")
                     rows.append(
                         {
                             "conv_id": conv, "kind": m[1], "call_id": x.get("id"), "position": (turn or 0) * (1 << 20) + k,
-                            "name": x.get("name") if isinstance(x.get("name"), str) else None,
-                            "arguments": json.dumps(x["arguments"]) if "arguments" in x else None,
-                            "depends_on": [d for d in after if isinstance(d, str)] if isinstance(after, list) else [],
-                            "content": json.dumps(x["content"]) if "content" in x else None,
+                            "name": _text(x.get("name")),
+                            "arguments": _written(x, "arguments"),
+                            "depends_on": [d for d in after if _text(d) is not None] if isinstance(after, list) else [],
+                            "content": _written(x, "content"),
                         }
                     )
             yield pa.RecordBatch.from_pylist(rows, kinds)
@@ -143,44 +184,63 @@ def ordered(calls: DataFrame) -> DataFrame:
 
 
 def linked_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
-    """One row per call identifier: (conv_id, call_id, position, order_at, order_step, status, record).
+    """One row per call identifier, and one per result or call that found no place: (conv_id, call_id, position, order_at,
+    order_step, status, record).
 
     calls: (conv_id, call_id, position, name, arguments JSON, depends_on); results: (conv_id, call_id, position, content JSON).
     Both are joined by conversation and identifier, so a long conversation is spread over tasks. Of calls that repeat an
-    identifier the first by position, then name and arguments, counts, and so for results; rows with a null conversation,
-    identifier or position are left out. status: ok, no result, invalid: place (arguments against schemas[name], or an unknown
-    tool), or cycle. record is the canonical JSON of arguments, id, name, result and status, without values that are missing.
+    identifier the first by position, then name, arguments and dependencies, counts, and so for results by position and content;
+    the others are rows with the status repeated call or repeated result (equal ones once), and a result without a call has the
+    status no call. Rows with a null conversation, identifier or position cannot be linked or ordered and are left out.
+    status of a call: ok, no result, invalid: place (arguments against schemas[name], an unknown tool, or JSON that cannot be
+    read or written), or cycle. record is the canonical JSON of arguments, id, name, result and status, without values that are
+    missing or cannot be written.
     """
-    keys = ["conv_id", "call_id"]
+    keys, no_ids = ["conv_id", "call_id"], F.array().cast("array<string>")
     whole = "conv_id is not null and call_id is not null and position is not null"
-    one = calls.where(whole).groupBy(*keys).agg(F.min(F.struct("position", "name", "arguments", "depends_on")).alias("c"))
-    one = stored(one.select(*keys, "c.position", "c.name", "c.arguments", F.coalesce("c.depends_on", F.array().cast("array<string>")).alias("depends_on")), "calls")
-    first = stored(results.where(whole).groupBy(*keys).agg(F.min(F.struct("position", "content")).alias("r")).select(*keys, F.col("r.content").alias("content")), "results")
-    rows = ordered(one).join(first, keys, "left")
+    said = calls.where(whole).select(*keys, F.struct("position", "name", "arguments", F.coalesce("depends_on", no_ids).alias("depends_on")).alias("c"))
+    heard = results.where(whole).select(*keys, F.struct("position", "content").alias("c"))
+    firsts, others = [], []
+    for rows, name in ((said, "call"), (heard, "result")):
+        found = stored(rows.groupBy(*keys).agg(F.min("c").alias("c"), F.max("c").alias("last")), f"{name}s")
+        firsts.append(found.select(*keys, "c.*"))
+        # Few identifiers repeat, so only their rows are read again; a frequent one is split by the join.
+        again = found.where("c < last").select(*keys, F.col("c").alias("first"))
+        others.append(rows.join(again, keys).where("c <> first").drop("first").distinct().select(*keys, "c.*", F.lit(f"repeated {name}").alias("known")))
+    first = firsts[1].select(*keys, F.col("position").alias("heard_at"), "content")
+    one = firsts[0].withColumn("is_call", F.lit(True))
+    rows = ordered(one).join(first, keys, "full_outer")
+    late = F.coalesce("position", "heard_at")
+    rows = rows.withColumns({"known": F.when(F.col("is_call").isNull(), F.lit("no call")), "position": late, "order_at": F.coalesce("order_at", late)})
+    rows = rows.withColumn("order_step", F.coalesce("order_step", F.lit(0)))
+    for extra in others:
+        rows = rows.unionByName(extra.withColumns({"order_at": F.col("position"), "order_step": F.lit(0)}), allowMissingColumns=True)
     schema = "conv_id long, call_id string, position long, order_at long, order_step int, status string, record string"
     kinds = arrow_schema(schema)
 
-    def load(text: str | None):
-        try:
-            return json.loads(text), None
-        except (TypeError, ValueError):
-            return None, "$: no JSON"
+    def judged(r: dict) -> tuple[str, str]:
+        arguments, bad = _parsed(r["arguments"])
+        result, torn = _parsed(r["content"])
+        if r["known"]:
+            status = r["known"]
+        elif r["order_step"] < 0:
+            status = "cycle"
+        else:
+            if bad is None:
+                bad = fault(arguments, schemas[r["name"]]) if r["name"] in schemas else "$: unknown tool"
+            if bad is None and r["content"] is not None and torn:
+                bad = f"result {torn}"
+            status = f"invalid: {bad}" if bad else "ok" if r["content"] is not None else "no result"
+        record = {"id": r["call_id"], "name": r["name"], "arguments": arguments, "result": result, "status": status}
+        return status, canonical_json({k: v for k, v in record.items() if v is not None})
 
     def run(batches):
         for batch in batches:
             out = []
             for r in batch.to_pylist():
-                arguments, bad = load(r["arguments"])
-                if bad is None:
-                    bad = fault(arguments, schemas[r["name"]]) if r["name"] in schemas else "$: unknown tool"
-                status = "cycle" if r["order_step"] < 0 else f"invalid: {bad}" if bad else "ok" if r["content"] is not None else "no result"
-                record = {"id": r["call_id"], "name": r["name"], "arguments": arguments, "result": load(r["content"])[0], "status": status}
-                try:
-                    text = canonical_json({k: v for k, v in record.items() if v is not None})
-                except ValueError:
-                    text = canonical_json({"id": r["call_id"], "status": "invalid: $: not a JSON number"})
+                status, text = judged(r)
                 out.append({k: r[k] for k in ("conv_id", "call_id", "position", "order_at", "order_step")} | {"status": status, "record": text})
             yield pa.RecordBatch.from_pylist(out, kinds)
 
-    named = ["call_id", "name", "arguments", "content"]
+    named = ["call_id", "name", "arguments", "content", "known"]
     return rows.select(F.col("conv_id").cast("long"), "position", "order_at", F.col("order_step").cast("int"), *named).mapInArrow(run, schema)

@@ -161,6 +161,47 @@ def test_written_calls(spark):
     assert json.loads(got[0]["record"]) == {"id": "1", "name": "add", "arguments": {"x": 1, "y": 2}, "result": 3, "status": "ok"}
 
 
+def test_no_block_ends_the_job(spark):
+    """Deep nesting, lone surrogates, huge numbers, NaN and lists of types: a status each."""
+    deep = "[" * 200_000
+    texts = [
+        '<tool_call>' + deep + '</tool_call>',
+        '<tool_call>{"id":"\\ud800","name":"add","arguments":{}}</tool_call>',
+        '<tool_call>{"id":"s","name":"add","arguments":{"x":"\\ud800"}}</tool_call>',
+        '<tool_call>{"id":"n","name":"\\udfff","arguments":{},"depends_on":["\\ud800",3,"s"]}</tool_call>',
+        '<tool_call>{"id":"h","name":"whole","arguments":1' + "0" * 400 + '}</tool_call>',
+        '<tool_call>{"id":"e","name":"add","arguments":1e999}</tool_call>',
+        '<tool_call>{"id":"m","name":"add","arguments":{"x":' + "[" * 900 + "]" * 900 + '}}</tool_call>',
+        '<tool_call>{"id":"r","name":"add","arguments":{}}</tool_call><tool_result>{"id":"r","content":"\\ud800"}</tool_result>',
+        '<tool_call>{"id":"l","name":"either","arguments":null}</tool_call>',
+        '<tool_call></tool_call>', "", None,
+    ]
+    df = spark.createDataFrame([(1, i, "user", t) for i, t in enumerate(texts)], "conv_id long, turn long, role string, text string")
+    found = blocks(df)
+    tools = {"add": {"type": "object"}, "whole": {"type": "integer", "minimum": 1}, "either": {"type": ["null", "string"]}}
+    got = {r["call_id"]: r for r in linked_calls(found.where("kind = 'call'"), found.where("kind = 'result'"), tools).collect()}
+    status = {k: r["status"] for k, r in got.items()}
+    assert status.pop("m").startswith(("invalid: $: n", "no result"))
+    assert status == {
+        "s": "invalid: $: not Unicode", "n": "invalid: $: unknown tool", "h": "no result", "e": "invalid: $: not a JSON number",
+        "r": "invalid: result $: not Unicode", "l": "no result",
+    }
+    assert all(json.loads(r["record"])["status"] == r["status"] for r in got.values())
+
+
+def test_every_result_and_call_has_a_row(spark):
+    calls = [(1, "a", 1, "add", "{}", []), (1, "a", 4, "add", "[]", None), (1, "a", 4, "add", "[]", None), (2, "a", 1, "add", "{}", []), (None, "a", 1, "add", "{}", [])]
+    results = [(1, "a", 2, "1"), (1, "a", 3, "2"), (1, "a", 3, "2"), (1, "b", 5, "3"), (3, "a", 1, "4"), (3, "a", 2, "5"), (3, None, 2, "5")]
+    made = spark.createDataFrame(calls, "conv_id long, call_id string, position long, name string, arguments string, depends_on array<string>")
+    heard = spark.createDataFrame(results, "conv_id long, call_id string, position long, content string")
+    got = linked_calls(made, heard, {"add": {"type": "object"}})
+    assert sorted((r["conv_id"], r["call_id"], r["position"], r["status"], json.loads(r["record"]).get("result")) for r in got.collect()) == [
+        (1, "a", 1, "ok", 1), (1, "a", 3, "repeated result", 2), (1, "a", 4, "repeated call", None), (1, "b", 5, "no call", 3),
+        (2, "a", 1, "no result", None), (3, "a", 1, "no call", 4), (3, "a", 2, "repeated result", 5),
+    ]
+    assert linked_calls(made.limit(0), heard.limit(0), {}).count() == 0
+
+
 def test_common_subsequence():
     rng = random.Random(2)
     for _ in range(200):
