@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -214,6 +215,56 @@ def granger(df: DataFrame, order: str, y: str, x: str, max_lag: int = 3, alpha:
     )
 
 
+_TESTS = "lag int, nobs bigint, f_stat double, f_p_value double, chi2 double, chi2_p_value double, is_significant boolean"
+
+
+def granger_by(
+    df: DataFrame, entity: str, order: str, y: str, x: str, max_lag: int = 3, alpha: float = 0.05, segment: Column | str | None = None
+) -> DataFrame:
+    """`granger` for every entity at once: (entity, lag, nobs, f_stat, f_p_value, chi2, chi2_p_value, is_significant).
+
+    The moments of all lag counts are summed by entity in one aggregation, combined in the map tasks, and each entity's k x k
+    fits are solved on its own row of moments, wherever that is. A lag count whose fit is singular, exact or left without
+    degrees of freedom has NULL statistics. Rows without entity, y or x are left out; raw-grain series need `segment`.
+    """
+    s = Series.of("entity", "order", segment)
+    data = df.select(*([] if segment is None else [c for c in df.columns if c not in ("entity", "order", "y", "x")]),
+                     F.col(entity).alias("entity"), F.col(order).alias("order"), F.col(y).cast("double").alias("y"), F.col(x).cast("double").alias("x"))
+    steps = list(range(1, max_lag + 1))
+    ready = lags(data.dropna(subset=["entity", "y", "x"]), s, {"y": steps, "x": steps})
+    columns, sets = [], {}
+    for p in steps:
+        sets[p] = ["y", *[f"y_lag{i}" for i in range(1, p + 1)], *[f"x_lag{i}" for i in range(1, p + 1)]]
+        held = {c: F.when(F.col(f"y_lag{p}").isNotNull(), F.col(c)) for c in sets[p]}
+        pairs = [(a, b) for i, a in enumerate(sets[p]) for b in sets[p][i:]]
+        columns += [F.count(held["y"]).alias(f"n{p}"), F.array(*[F.covar_pop(held[a], held[b]) for a, b in pairs]).alias(f"s{p}")]
+
+    def tests(n: int, upper: Sequence[float], p: int) -> tuple:
+        none = (p, n, None, None, None, None, None)
+        if n - 2 * p - 1 <= 0:
+            return none
+        m = Moments(tuple(sets[p]), n, np.zeros(len(sets[p])), _symmetric(upper, len(sets[p])) * n)
+        try:
+            small, full = m.fit("y", sets[p][1 : p + 1]), m.fit("y", sets[p][1:])
+        except np.linalg.LinAlgError:
+            return none
+        if not full.ssr > 1e-12 * full.total:
+            return none
+        gain = (small.ssr - full.ssr) / full.ssr
+        f, chi2 = gain / p * full.df_resid, gain * n
+        f_p = f_sf(f, p, full.df_resid)
+        return p, n, f, f_p, chi2, chi2_sf(chi2, p), f_p < alpha
+
+    def solve(batches):
+        for rows in batches:
+            out = [(e, *tests(int(r[f"n{p}"]), r[f"s{p}"], p)) for e, (_, r) in zip(rows["entity"], rows.iterrows()) for p in steps]
+            yield pd.DataFrame(out, columns=["entity", *[f.split()[0] for f in _TESTS.split(", ")]])
+
+    kind = dict(data.dtypes)["entity"]
+    found = ready.groupBy("entity").agg(*columns).mapInPandas(solve, f"entity {kind}, {_TESTS}")
+    return found.withColumnRenamed("entity", entity)
+
+
 def causality(df: DataFrame, order: str, y: str, x: str, max_lag: int = 3) -> dict[str, DataFrame]:
     """Unit-root tests on levels and differences, then the causality test on levels only if both are stationary."""
     s = Series.of((), order)

@@ -354,6 +354,26 @@ def granger_causality(spark, sf):
     return EC.granger(_monthly(spark, sf), "month", "npl_ratio", "llp_ratio")
 
 
+@query(
+    "granger_by_nation",
+    """WITH m AS (SELECT c_nationkey AS nation, year(o_orderdate) * 100 + month(o_orderdate) AS month, avg(CAST(o_totalprice AS DOUBLE)) AS y,
+      CAST(count(*) AS DOUBLE) AS x FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
+    l AS (SELECT nation, y, lag(y) OVER w AS y1, lag(x) OVER w AS x1 FROM m WINDOW w AS (PARTITION BY nation ORDER BY month)),
+    s AS (SELECT nation, count(y1) AS n, covar_pop(y, y) FILTER (y1 IS NOT NULL) AS yy, covar_pop(y, y1) AS yp, covar_pop(y1, y1) AS pp,
+      covar_pop(y, x1) AS yx, covar_pop(x1, x1) AS xx, covar_pop(x1, y1) AS xp FROM l GROUP BY 1),
+    g AS (SELECT nation, n, yy - yp * yp / pp AS ssr, (yx - yp * xp / pp) * (yx - yp * xp / pp) / nullif(xx - xp * xp / pp, 0) AS gain FROM s)
+    SELECT CAST(nation AS BIGINT) AS nation, n AS nobs, round(CASE WHEN n > 3 THEN gain / (ssr - gain) * (n - 3) END, 6) AS f_stat,
+    round(CASE WHEN n > 3 THEN gain / (ssr - gain) * n END, 6) AS chi2 FROM g""",
+)
+def granger_by_nation(spark, sf):
+    """Do order counts foretell mean order values? One lag, every nation in one job."""
+    orders, customers = table(spark, sf, "orders"), table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    month = (F.year("o_orderdate") * 100 + F.month("o_orderdate")).alias("month")
+    monthly = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).groupBy(F.col("c_nationkey").cast("bigint").alias("nation"), month)
+    found = EC.granger_by(monthly.agg(F.avg(F.col("o_totalprice").cast("double")).alias("y"), F.count(F.lit(1)).alias("x")), "nation", "month", "y", "x", 1)
+    return rounded(found.select("nation", "nobs", "f_stat", "chi2"))
+
+
 @query("causality_analysis")
 def causality_analysis(spark, sf):
     """Unit-root tests decide between levels and differences for the causality test."""

@@ -112,6 +112,22 @@ def test_granger(spark):
         assert r["is_significant"] and r["nobs"] == 80 - p
 
 
+def test_granger_by_entity_equals_one_by_one(spark):
+    rng = np.random.default_rng(4)
+    rows = [(e, t, float(rng.normal()), float(rng.normal())) for e in "ab" for t in range(50)]
+    rows += [("short", t, float(t), float(t * t)) for t in range(3)] + [("flat", t, float(rng.normal()), 1.0) for t in range(30)]
+    rows += [("a", 60, None, 1.0), (None, 1, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "e string, t int, y double, x double").repartition(3)
+    got = {(r["e"], r["lag"]): r for r in econometrics.granger_by(df, "e", "t", "y", "x", 2).collect()}
+    assert len(got) == 8
+    for e in "ab":
+        for want in econometrics.granger(df.filter(F.col("e") == e), "t", "y", "x", 2).collect():
+            r = got[e, want["lag"]]
+            assert r["nobs"] == want["nobs"] and r["is_significant"] == want["is_significant"]
+            assert all(close(r[c], want[c], 1e-7) for c in ("f_stat", "f_p_value", "chi2", "chi2_p_value"))
+    assert all(got[e, p]["f_stat"] is None and got[e, p]["is_significant"] is None for e in ("short", "flat") for p in (1, 2))
+
+
 def brute_dtw(a, b, band=None):
     table = np.full((len(a) + 1, len(b) + 1), np.inf)
     table[0, 0] = 0
