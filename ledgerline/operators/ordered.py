@@ -246,7 +246,7 @@ def running_totals(df: DataFrame, col: str, sums: Sequence[str], most: int = SEG
     A task adds up one segment of at most `most` rows. What comes before a segment is added up level by level: the steps, some
     hundred for a power of two, then the parts of each step that was cut, 65,536 at most.
     """
-    seg = value_segments(df, col, "__seg", most)
+    seg = value_segments(stored(df), col, "__seg", most)  # stored: each level and the sums read it
     totals = stored(seg.groupBy("__seg").agg(*[F.sum(c).alias(f"__s_{c}") for c in sums]))
     depth = totals.agg(F.max(F.size("__seg"))).first()[0] or 0
     starts = totals.select("__seg", *[(F.col(f"__s_{c}") * 0).alias(f"__s_{c}") for c in sums])
