@@ -249,58 +249,84 @@ def nearest_centre(df: DataFrame, cols: Sequence[str], fit: Clusters, out: str =
     return df.withColumn(out, nearest["id"])
 
 
+def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Euclidean distances of all rows of x and y by one matrix product; those of near rows, where the product loses digits, are
+    taken again from the differences."""
+    gaps = x @ y.T
+    gaps *= -2.0
+    norms = (x**2).sum(axis=1)[:, None], (y**2).sum(axis=1)
+    gaps += norms[0]
+    gaps += norms[1]
+    i, j = np.nonzero(gaps < 1e-5 * (norms[0] + norms[1]))
+    step = max(1, 2_000_000 // max(1, x.shape[1]))
+    for at in range(0, len(i), step):
+        m, n = i[at : at + step], j[at : at + step]
+        gaps[m, n] = ((x[m] - y[n]) ** 2).sum(axis=1)
+    return np.sqrt(gaps, out=gaps)
+
+
+STRIP_ROWS, LEAST_STRIPS = 8192, 8
+
+
 def silhouette(
     df: DataFrame, row_id: str, cluster: str, cols: Sequence[str], block_rows: int = 2000
 ) -> DataFrame:
     """(silhouette): exact mean silhouette on Euclidean distance.
 
-    Rows are hashed into blocks and blocks meet pairwise; a task holds two blocks and returns only distance
-    sums per row and cluster, so no row pair is ever written out. The work is quadratic in the rows: for very
-    many rows use the squared-distance score of `kmeans_search`.
+    Rows are hashed into strips and strips meet pairwise, each pair once: a task holds two strips of some 8,192 rows, measures
+    `block_rows` of one against `block_rows` of the other at a time and returns only distance sums per row and cluster, for
+    both sides, so no row pair is ever written out. A row is sent once for every strip, so large strips keep the shuffle small.
+    The work is quadratic in the rows: for very many rows use the squared-distance score of `kmeans_search`.
     """
-    blocks = max(1, math.ceil(df.count() / block_rows))
+    n_rows = df.count()
+    strips = min(max(1, math.ceil(n_rows / block_rows)), max(LEAST_STRIPS, math.ceil(n_rows / STRIP_ROWS)))
     base = df.select(
         F.col(row_id).alias("id"),
         F.col(cluster).alias("c"),
         F.array(*[F.col(c).cast("double") for c in cols]).alias("v"),
-        F.pmod(F.xxhash64(row_id), F.lit(blocks)).cast("int").alias("own"),
+        F.pmod(F.xxhash64(row_id), F.lit(strips)).cast("int").alias("own"),
     )
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = base.withColumn("other", every)
-    right = base.withColumnRenamed("own", "other").withColumn("own", every)
     label = dict(base.dtypes)["c"]
     key_type = dict(base.dtypes)["id"]
+    other = base.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(strips - 1))))
+    met = other.select("id", "c", "v", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
 
-    def sums(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if a.empty or b.empty:
-            return pd.DataFrame({"id": [], "c": [], "o": [], "d": [], "n": []})
-        x, y = np.stack(a["v"].to_numpy()), np.stack(b["v"].to_numpy())
-        labels, where = np.unique(b["c"].to_numpy(), return_inverse=True)
-        member = np.eye(len(labels))[where]
-        step = max(1, 4_000_000 // (y.size or 1))
-        total = np.vstack(
-            [
-                np.sqrt(((x[i : i + step, None, :] - y[None, :, :]) ** 2).sum(axis=2)) @ member
-                for i in range(0, len(x), step)
-            ]
-        )
+    def listed(rows: pd.DataFrame, labels: np.ndarray, total: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
         m = len(labels)
         return pd.DataFrame(
             {
-                "id": np.repeat(a["id"].to_numpy(), m),
-                "c": np.repeat(a["c"].to_numpy(), m),
-                "o": np.tile(labels, len(a)),
+                "id": np.repeat(rows["id"].to_numpy(), m),
+                "c": np.repeat(rows["c"].to_numpy(), m),
+                "o": np.tile(labels, len(rows)),
                 "d": total.ravel(),
-                "n": np.tile(member.sum(axis=0).astype("int64"), len(a)),
+                "n": np.tile(counts.astype("int64"), len(rows)),
             }
         )
 
-    met = (
-        left.groupBy("own", "other")
-        .cogroup(right.groupBy("own", "other"))
-        .applyInPandas(sums, f"id {key_type}, c {label}, o {label}, d double, n bigint")
-    )
-    by_cluster = met.groupBy("id", "c", "o").agg(F.sum("d").alias("d"), F.sum("n").alias("n"))
+    def sums(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        lo, hi = key
+        a, b = (rows[rows["own"] == s] for s in (lo, hi))
+        if a.empty or b.empty:
+            return pd.DataFrame({"id": [], "c": [], "o": [], "d": [], "n": []})
+        sides = []
+        for side in (a, b):
+            labels, where = np.unique(side["c"].to_numpy(), return_inverse=True)
+            sides.append((np.stack(side["v"].to_numpy()), labels, np.eye(len(labels))[where]))
+        (x, of_a, in_a), (y, of_b, in_b) = sides
+        to_b, to_a = np.zeros((len(x), len(of_b))), np.zeros((len(y), len(of_a)))
+        for i in range(0, len(x), block_rows):
+            for j in range(0, len(y), block_rows):
+                dist = _distances(x[i : i + block_rows], y[j : j + block_rows])
+                to_b[i : i + block_rows] += dist @ in_b[j : j + block_rows]
+                if lo != hi:
+                    to_a[j : j + block_rows] += dist.T @ in_a[i : i + block_rows]
+        out = listed(a, of_b, to_b, in_b.sum(axis=0))
+        return out if lo == hi else pd.concat([out, listed(b, of_a, to_a, in_a.sum(axis=0))])
+
+    # As many partitions as tiles, so that few tiles do not gather in one task.
+    dealt = met.repartition(strips * (strips + 1) // 2, "lo", "hi")
+    found = dealt.groupBy("lo", "hi").applyInPandas(sums, f"id {key_type}, c {label}, o {label}, d double, n bigint")
+    by_cluster = found.groupBy("id", "c", "o").agg(F.sum("d").alias("d"), F.sum("n").alias("n"))
     same = F.col("c") == F.col("o")
     scored = by_cluster.groupBy("id").agg(
         F.max(F.when(same, F.try_divide("d", F.col("n") - 1))).alias("a"),

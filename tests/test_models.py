@@ -205,6 +205,23 @@ def test_silhouette_and_davies_bouldin(spark):
     assert keep.sum() == 59 and close(got, np.mean(worst), 1e-9)
 
 
+def test_silhouette_of_near_copies_in_few_strips(spark):
+    rng = np.random.default_rng(4)
+    points = np.repeat(rng.normal(size=(20, 2)) + 1e4, 15, axis=0) + rng.normal(size=(300, 2)) * 1e-6
+    label = np.arange(300) % 3
+    dist = np.sqrt(((points[:, None] - points[None]) ** 2).sum(2))
+    scores = []
+    for i in range(300):
+        own = (label == label[i]) & (np.arange(300) != i)
+        a, b = dist[i, own].mean(), min(dist[i, label == c].mean() for c in {0, 1, 2} - {label[i]})
+        scores.append((b - a) / max(a, b))
+    df = spark.createDataFrame([(i, int(c), *map(float, p)) for i, (c, p) in enumerate(zip(label, points))], "i int, c int, x double, y double")
+    out = clusters.silhouette(df, "i", "c", ["x", "y"], 5)
+    assert close(out.first()[0], np.mean(scores), 1e-9)
+    # Small blocks do not send every row sixty times.
+    assert "sequence(0, 7" in out._jdf.queryExecution().analyzed().toString()
+
+
 def test_pca(spark):
     x = RNG.normal(size=(50, 4)) @ RNG.normal(size=(4, 4))
     z = (x - x.mean(0)) / x.std(0)
