@@ -237,7 +237,13 @@ class StoredTable:
         version = live.version + 1 if live else 1
         load = f"{version:09d}-{uuid.uuid4().hex[:12]}"
         by = [*partition_by, *self.spec.cluster_by]
-        laid_out = rows.repartitionByRange(*by).sortWithinPartitions(*by) if by else rows
+        # The last part of the range spreads the rows of one partition folder or cluster value over tasks.
+        spread = F.xxhash64(F.spark_partition_id(), *rows.columns)
+        laid_out = (
+            rows.withColumn("__spread", spread).repartitionByRange(*by, "__spread").drop("__spread").sortWithinPartitions(*by)
+            if by
+            else rows
+        )
         laid_out.write.mode("errorifexists").partitionBy(*partition_by).parquet(f"{self.path}/{LOADS}/{load}")
         parts = self._written(load, rows.schema, partition_by, run.audit_key if of_run else None)
         new = {p.folder for p in parts}

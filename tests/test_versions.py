@@ -156,3 +156,16 @@ def test_a_load_takes_effect_once(spark, tmp_path, monkeypatch):
     assert log() == {(1, "SUCCESS", 2)} and target.read().count() == 2 and len(target.versions()) == 1
     assert load_once(data, run(2), target, audit, "load") == 2
     assert log() == {(1, "SUCCESS", 2), (2, "SUCCESS", 2)} and target.read().count() == 4
+
+
+def test_one_run_is_written_by_several_tasks(spark, tmp_path):
+    spec = TableSpec("t", {"k": "bigint"})
+    made = StoredTable(spark, spec, str(tmp_path / "t"))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        made.append(spark.range(0, 4000, 1, 4).select((F.col("id") % 2).alias("k")), run(1))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    written = made.read().groupBy(F.input_file_name()).count().collect()
+    assert len(written) > 1 and max(r["count"] for r in written) < 4000 and sum(r["count"] for r in written) == 4000
