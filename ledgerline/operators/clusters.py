@@ -21,7 +21,7 @@ from ledgerline.functions.scalars import map_label
 from ledgerline.operators.filters import exclude
 from ledgerline.operators.scaling import zscore
 from ledgerline.operators.windows import latest_non_null
-from ledgerline.storage import stored
+from ledgerline.storage import checkpointed, stored
 
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
@@ -99,7 +99,11 @@ def _scan(points: DataFrame, work: Callable[[np.ndarray], Iterable[tuple]], sche
 def _nearest(x: np.ndarray, norms: np.ndarray, models: Sequence[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
     """(label, squared distance) by model: the distances to all centres of all models come from one matrix product."""
     every = np.vstack(models)
-    gaps = np.maximum(norms[:, None] - 2.0 * (x @ every.T) + (every**2).sum(axis=1), 0.0)
+    gaps = x @ every.T
+    gaps *= -2.0
+    gaps += norms[:, None]
+    gaps += (every**2).sum(axis=1)
+    np.maximum(gaps, 0.0, out=gaps)
     out, at = [], 0
     for centres in models:
         own = gaps[:, at : at + len(centres)]
@@ -116,10 +120,11 @@ def _advance(points: DataFrame, models: Mapping[int, np.ndarray]) -> dict[int, t
 
     def work(x: np.ndarray):
         norms = (x**2).sum(axis=1)
-        for m, (label, gap) in zip(ids, _nearest(x, norms, stacks)):
-            for j in np.unique(label):
-                own = label == j
-                yield (m, int(j)), np.concatenate([[own.sum(), gap[own].sum(), norms[own].sum()], x[own].sum(axis=0)])
+        for m, centres, (label, gap) in zip(ids, stacks, _nearest(x, norms, stacks)):
+            sums = [np.bincount(label, weights=w, minlength=len(centres)) for w in (None, gap, norms, *x.T)]
+            held = np.column_stack(sums)
+            for j in np.flatnonzero(held[:, 0]):
+                yield (m, int(j)), held[j]
 
     parts = _scan(points, work, "model int, cluster int, v array<double>", sum(map(len, stacks)))
     sums = parts.groupBy("model", "cluster").agg(F.array(*[F.sum(F.col("v")[i]) for i in range(d + 3)]).alias("v"))
@@ -130,6 +135,18 @@ def _advance(points: DataFrame, models: Mapping[int, np.ndarray]) -> dict[int, t
     return out
 
 
+SCAN_ROWS = 20_000
+
+
+def _dealt(points: DataFrame) -> DataFrame:
+    """Points stored in as many files as there are tasks for them: rows are narrow, so by bytes alone a task would hold millions."""
+    cores = points.sparkSession.sparkContext.defaultParallelism
+    parts = min(math.ceil(points.count() / SCAN_ROWS), 4 * cores)
+    if parts <= max(1, points.rdd.getNumPartitions()):
+        return points
+    return checkpointed(points.repartition(parts))
+
+
 def _starts(rows: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
     """k-means++ seeding: each further centre is drawn in proportion to its squared distance from those drawn."""
     picked = [rows[rng.integers(len(rows))]]
@@ -160,7 +177,7 @@ def fit_kmeans(
     silhouettes cover all rows. The driver holds centres only. A frame without rows is an error.
     """
     ks, cols = sorted(set(map(int, k_range))), list(cols)
-    points = stored(df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)]))
+    points = _dealt(stored(df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])))
     chosen = points.orderBy(F.xxhash64(*points.columns, F.lit(seed)), *points.columns).limit(start_rows).toPandas().to_numpy(dtype=float)
     if not len(chosen):
         raise ValueError("no rows to cluster")
