@@ -11,7 +11,7 @@ from ledgerline.operators.ordered import union_of
 from ledgerline.operators.scaling import zscore
 from ledgerline.operators.windows import time_split
 from ledgerline.plans import reports
-from ledgerline.storage import checkpointed
+from ledgerline.storage import checkpointed, stored
 from suite.registry import query
 from suite.timeseries import forecaster
 from suite.views import (
@@ -168,9 +168,9 @@ def _risk_rows(spark, sf):
     )
 
 
-def _evaluated(spark, sf):
+def _evaluated(spark, sf, baseline=True):
     return reports.risk_evaluation(
-        _risk_rows(spark, sf), RISK_FEATURES, "year", ["entity"], "risk_label"
+        _risk_rows(spark, sf), RISK_FEATURES, "year", ["entity"], "risk_label", baseline=baseline
     )
 
 
@@ -182,7 +182,7 @@ def risk_model_metrics(spark, sf):
 
 @query("risk_gates")
 def risk_gates(spark, sf):
-    return _evaluated(spark, sf)["gates"]
+    return _evaluated(spark, sf, baseline=False)["gates"]
 
 
 def _forest(spark, sf):
@@ -207,7 +207,7 @@ def risk_predictions(spark, sf):
 def flagged_trend(spark, sf):
     rows = _risk_rows(spark, sf).drop("risk_label")
     scores = RK.score_risk(_forest(spark, sf), rows, RISK_FEATURES, 0.6, "npl_ratio", ["entity", "year"], "forest")
-    return reports.flagged_trend(scores, "entity", "risk_label")
+    return reports.flagged_trend(stored(scores), "entity", "risk_label")
 
 
 AUC_SQL = """(SELECT sum(CASE WHEN p.prob > n.prob THEN 1.0 WHEN p.prob = n.prob THEN 0.5 ELSE 0 END) / count(*)

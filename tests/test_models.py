@@ -342,6 +342,39 @@ def test_risk_evaluation(spark):
     assert {r["metric"]: r["passed"] for r in out["gates"].collect()}["auc"]
 
 
+def test_large_training_sets_are_dealt_and_sorted(spark, monkeypatch):
+    df = spark.range(0, 1000, 1, 1).select((F.col("id") * 7 % 100).cast("double").alias("a"), (F.col("id") % 2).cast("double").alias("y"))
+    assert risk._dealt(df, ["a"]) is df
+    monkeypatch.setattr(risk, "TRAIN_ROWS", 100)
+    dealt = risk._dealt(df, ["a"])
+    parts = [[r["a"] for r in p] for p in dealt.rdd.glom().collect()]
+    assert len(parts) == 10 and max(map(len, parts)) < 200 and all(p == sorted(p) for p in parts)
+    assert sorted(v for p in parts for v in p) == sorted(r["a"] for r in df.collect())
+    model = risk.fit_risk_forest(df, ["a"], "y", trees=3, depth=3)
+    assert model.getCacheNodeIds() and model.getNumTrees == 3
+
+
+def test_gates_fit_no_baseline(spark, monkeypatch):
+    def asked(*args):
+        raise AssertionError("the gates do not ask for the logistic model")
+
+    monkeypatch.setattr(reports, "fit_logistic", asked)
+    rows = [(2000 + i // 30, i, i % 17 / 17, float(i % 17 > 9)) for i in range(300)]
+    df = spark.createDataFrame(rows, "year int, id int, a double, y double")
+    out = reports.risk_evaluation(df, ["a"], "year", ["id"], "y", trees=3, depth=3, baseline=False)
+    assert out["logistic"] is None and {r["metric"] for r in out["gates"].collect()} == {"auc", "recall"}
+    assert [r["model"] for r in out["metrics"].collect()] == ["random_forest"]
+
+
+def test_points_of_a_search_are_dealt_by_rows(spark, monkeypatch):
+    df = spark.range(0, 1000, 1, 1).select(F.col("id").cast("double").alias("x"))
+    assert clusters._dealt(df) is df
+    monkeypatch.setattr(clusters, "SCAN_ROWS", 100)
+    dealt = clusters._dealt(df)
+    assert dealt.rdd.getNumPartitions() == 10 and sorted(r["x"] for r in dealt.collect()) == [float(i) for i in range(1000)]
+    assert sum(clusters.fit_kmeans(df, ["x"], [2], 2)[2].sizes) == 1000
+
+
 DAILY = Series.of("k", "t")
 
 
