@@ -12,10 +12,14 @@ import pyarrow as pa
 
 from ledgerline.llm.arrays import SPACE, flat
 
-KEPT_CHUNKS = 500_000
+KEPT_CHUNKS = 800_000
 ENCODE_BYTES = 8 << 20
+#: Chunks that the library gets as one text, where they surely stay apart.
+JOINED_CHUNKS = 256
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True
+_MARK = np.zeros(256, bool)  # visible ASCII but letters
+_MARK[33:127] = ~_LETTER[33:127]
 _made: dict[str, Encoder] = {}
 
 
@@ -38,7 +42,8 @@ def encoder(path: str) -> Encoder:
 
 def cuts_at_words(config: dict) -> bool:
     """True for a byte-level tokenizer with the usual split pattern: a letter followed by an ASCII non-letter always ends a
-    piece, and so does a lone line feed before a letter. Chunks cut there are encoded one by one with the same ids."""
+    piece, and so does a lone line feed before a letter; a space between an ASCII mark or digit and a letter begins one. Chunks
+    cut there are encoded one by one with the same ids."""
     split = config.get("pre_tokenizer") or {}
     return (
         config.get("normalizer") is None
@@ -53,11 +58,12 @@ def cuts_at_words(config: dict) -> bool:
 
 class Encoder:
     """ids(texts) gives all ids and the bounds of each text. Where the tokenizer allows it, texts are cut into chunks (about
-    words) and each distinct chunk is encoded once while it is remembered; else whole texts are encoded."""
+    words) and each distinct chunk is encoded once while it is remembered; else whole texts are encoded. When too many chunks
+    are remembered, those that were met in one call only are forgotten, and all if that is not enough."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.chunks, self.added = False, []
+        self.chunks, self.added, self.length = False, [], None
         if path.endswith(".model"):
             import sentencepiece
 
@@ -74,6 +80,12 @@ class Encoder:
             tokenizer.no_padding()
             tokenizer.no_truncation()
             self.encode = lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            if self.chunks:  # every symbol of a byte-level token stands for one byte, but added tokens are text
+                own = tokenizer.get_vocab(with_added_tokens=True)
+                self.length = np.zeros(max(own.values(), default=-1) + 1, np.int64)
+                self.length[list(own.values())] = [len(t) for t in own]
+                for t in config["added_tokens"]:
+                    self.length[t["id"]] = len(t["content"].encode())
         self._forget()
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -96,6 +108,7 @@ class Encoder:
             ends[1:] |= (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] != 0x97) & (data[1:] != 0xB7)
             first[1:-1] = ends[:-1] & ~letter[1:] & (data[1:] < 0x80)
             first[2:-1] |= (data[:-2] < 0x80) & ~SPACE[data[:-2]] & (data[1:-1] == 10) & letter[2:]
+            first[1:-2] |= _MARK[data[:-2]] & (data[1:-1] == 32) & letter[2:]
             content = data.tobytes()
             for token in self.added:
                 at = content.find(token)
@@ -108,16 +121,65 @@ class Encoder:
     def _forget(self) -> None:
         self.index: dict[str, int] = {}
         self.begin, self.size, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.met = np.zeros(0, np.int32)
+
+    def _keep_frequent(self) -> None:
+        """Forget the chunks that only one call had."""
+        stay = self.met > 1
+        names = [name for name, keep in zip(self.index, stay.tolist(), strict=True) if keep]  # in order of their numbers
+        begin, size = self.begin[stay], self.size[stay]
+        end = np.cumsum(size)
+        self.pool = self.pool[np.repeat(begin - end + size, size) + np.arange(size.sum())]
+        self.index, self.begin, self.size = dict(zip(names, range(len(names)), strict=True)), end - size, size
+        self.met = np.ones(len(names), np.int32)  # they have to be met again
+
+    def _full(self) -> bool:
+        return len(self.index) > KEPT_CHUNKS or len(self.pool) > 8 * KEPT_CHUNKS
 
     def _known(self, pieces: list[str]) -> np.ndarray:
-        if len(self.index) > KEPT_CHUNKS or len(self.pool) > 8 * KEPT_CHUNKS:
-            self._forget()
+        if self._full():
+            self._keep_frequent()
+            if self._full():
+                self._forget()
         new = [p for p in pieces if p not in self.index]
         if new:
-            found = self.encode(new)
-            each = np.fromiter(map(len, found), np.int64, len(found))
+            found, each = self._encoded(new)
             self.begin = np.concatenate((self.begin, len(self.pool) + np.cumsum(each) - each))
             self.size = np.concatenate((self.size, each))
-            self.pool = np.concatenate((self.pool, np.fromiter(chain.from_iterable(found), np.int32, int(each.sum()))))
+            self.pool = np.concatenate((self.pool, found))
+            self.met = np.concatenate((self.met, np.zeros(len(new), np.int32)))
             self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
-        return np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
+        at = np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
+        self.met[at] += 1  # pieces are distinct
+        return at
+
+    def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of distinct pieces, and how many each has. Chunks that begin with an ASCII non-letter and end with a letter may
+        stand side by side: each border ends a piece. The library gets these as long texts, and the bytes that the ids spell
+        tell the chunks apart."""
+        apart = [p[0] < "\x80" and not p[0].isalpha() and p[-1] < "\x80" and p[-1].isalpha() if p else False for p in pieces] if self.length is not None else []
+        if not any(apart):
+            found = self.encode(pieces)
+            each = np.fromiter(map(len, found), np.int64, len(found))
+            return np.fromiter(chain.from_iterable(found), np.int32, int(each.sum())), each
+        side = np.array(apart)
+        chunks = [p for p, keep in zip(pieces, apart, strict=True) if keep]
+        texts = ["".join(chunks[k : k + JOINED_CHUNKS]) for k in range(0, len(chunks), JOINED_CHUNKS)]
+        long = self.encode(texts)
+        ids = np.fromiter(chain.from_iterable(long), np.int32, sum(map(len, long)))
+        spelt = np.cumsum(self.length[ids])
+        want = np.cumsum(np.fromiter((len(c.encode()) for c in chunks), np.int64, len(chunks)))
+        stop = np.searchsorted(spelt, want)
+        if not np.array_equal(spelt[np.minimum(stop, len(spelt) - 1)], want):  # ids that don't spell the chunks: one by one
+            found = self.encode(pieces)
+            each = np.fromiter(map(len, found), np.int64, len(found))
+            return np.fromiter(chain.from_iterable(found), np.int32, int(each.sum())), each
+        alone = self.encode([p for p, keep in zip(pieces, apart, strict=True) if not keep])
+        each = np.zeros(len(pieces), np.int64)
+        each[side] = np.diff(np.concatenate(([0], stop + 1)))
+        each[~side] = [len(f) for f in alone]
+        joined = np.repeat(side, each)
+        out = np.empty(len(joined), np.int32)
+        out[joined] = ids
+        out[~joined] = np.fromiter(chain.from_iterable(alone), np.int32, int((~joined).sum()))
+        return out, each

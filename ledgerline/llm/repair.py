@@ -34,6 +34,27 @@ class RePair:
     rules: int = 12_000
 
 
+def _numbered(code: np.ndarray, bucket: np.ndarray, heavy: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct codes in order, the number of each code among them and how often each is there; equal codes share a bucket, and
+    heavy marks the buckets. One code a bucket needs no sort of all codes; only the others that meet there are sorted."""
+    own = np.flatnonzero(heavy)
+    place = np.zeros(len(heavy), np.int32)
+    place[own] = np.arange(len(own))
+    kind = place[bucket].astype(np.int64)
+    kinds = np.zeros(len(own), np.uint64)
+    kinds[kind] = code
+    other = np.flatnonzero(kinds[kind] != code)
+    if len(other):
+        more, number = np.unique(code[other], return_inverse=True)
+        kind[other] = len(kinds) + number
+        kinds = np.concatenate((kinds, more))
+    order = np.argsort(kinds)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    kind = rank[kind]
+    return kinds[order], kind, np.bincount(kind, minlength=len(kinds))
+
+
 def compress(ids: np.ndarray, bounds: np.ndarray, first: int, p: RePair) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, document bounds among them, rules). A pass counts neighbouring pairs within documents, turns the most frequent
     ones into nonterminals and replaces their occurrences from left to right; a pair used only once is not replaced."""
@@ -47,13 +68,16 @@ def compress(ids: np.ndarray, bounds: np.ndarray, first: int, p: RePair) -> tupl
         if room <= 0 or len(symbols) < 2:
             break
         bucket = (symbols[:-1] * np.uint32(2654435761) ^ symbols[1:] * np.uint32(2246822519)) >> np.uint32(11)
+        bucket = bucket.astype(np.intp)
         bucket[last[:-1]] = 0
         count = np.bincount(bucket, minlength=_BUCKETS)
         count[0] = 0
-        bar = max(p.least, int(np.partition(count, -room)[-room]))
-        at = np.flatnonzero((count >= bar)[bucket])
+        many = count[count >= p.least]
+        bar = int(np.partition(many, -room)[-room]) if len(many) > room else p.least
+        heavy = count >= bar
+        at = np.flatnonzero(heavy[bucket])
         code = symbols[at].astype(np.uint64) << np.uint64(32) | symbols[at + 1]
-        kinds, kind, often = np.unique(code, return_inverse=True, return_counts=True)
+        kinds, kind, often = _numbered(code, bucket[at], heavy)
         top = np.argsort(-often, kind="stable")[:room]
         chosen = np.zeros(len(kinds), bool)
         chosen[top[often[top] >= p.least]] = True
