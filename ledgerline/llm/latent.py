@@ -92,9 +92,7 @@ def document_frequencies(codes: DataFrame, p: Latent) -> tuple[np.ndarray, int]:
         for part in slices(batches, "codes"):
             code, of = _read(part.column("codes"))
             begin, _, _ = passages(of, p.whole, p.whole)
-            number = np.searchsorted(begin, np.arange(len(code)), side="right") - 1
-            pair = np.unique(number * p.features + code)
-            total += np.bincount(pair % p.features, minlength=p.features)
+            total += np.bincount(_once(code, begin, p.whole), minlength=p.features)
             count += len(begin)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"feature": np.append(used, -1), "n": np.append(total[used], count)})
@@ -107,6 +105,21 @@ def document_frequencies(codes: DataFrame, p: Latent) -> tuple[np.ndarray, int]:
     return out, sum(r[1] for r in rows if r[0] == -1)
 
 
+def _once(code: np.ndarray, begin: np.ndarray, width: int) -> np.ndarray:
+    """Each code of each passage once, where a passage ends with the next one's beginning; no passage is longer than width. The
+    words of many passages are sorted as the lines of one table."""
+    out, end = [np.zeros(0, np.int64)], np.append(begin[1:], len(code))
+    for lo in range(0, len(begin), 1 << 14):
+        a, b = begin[lo : lo + (1 << 14)], end[lo : lo + (1 << 14)]
+        place = a[:, None] + np.arange(width)
+        lines = np.where(place < b[:, None], code[np.minimum(place, len(code) - 1)], -1).astype(np.int32)
+        lines.sort(axis=1)
+        new = lines >= 0
+        new[:, 1:] &= lines[:, 1:] != lines[:, :-1]
+        out.append(lines[new])
+    return np.concatenate(out)
+
+
 def _vectors(code: np.ndarray, begin: np.ndarray, end: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Sums of table rows over short ranges of codes."""
     out = np.zeros((len(begin), table.shape[1]), table.dtype)
@@ -169,8 +182,11 @@ def _gathered(codes: DataFrame, table: np.ndarray, weight: np.ndarray | None, p:
             run = np.diff(np.append(cut, len(word)))
             pieces = -(-run // PIECE)
             first = np.cumsum(pieces) - pieces
-            a = np.repeat(cut, pieces) + PIECE * (np.arange(pieces.sum()) - np.repeat(first, pieces))
-            sums = _vectors(owner, a, np.minimum(a + PIECE, np.repeat(cut + run, pieces)), mapped_to)
+            # every piece has PIECE lines: those that a word's last piece lacks are a line of zeros
+            adds = np.full(PIECE * int(pieces.sum()), len(begin))
+            adds[np.arange(len(word)) + np.repeat(PIECE * first - cut, run)] = owner
+            a = np.arange(0, len(adds), PIECE)
+            sums = _vectors(adds, a, a + PIECE, np.append(mapped_to, np.zeros((1, mapped_to.shape[1]), mapped_to.dtype), axis=0))
             total[word[cut]] += np.add.reduceat(sums, first, axis=0)
         used = np.flatnonzero(total.any(1))
         values = pa.FixedSizeListArray.from_arrays(pa.array(total[used].reshape(-1)), total.shape[1]).cast(pa.list_(pa.float32()))

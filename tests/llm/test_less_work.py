@@ -6,6 +6,7 @@ import pyarrow as pa
 
 from ledgerline.llm import encoder as encoding
 from ledgerline.llm.encoder import Encoder
+from ledgerline.llm.latent import _once, passages
 from ledgerline.llm.repair import _numbered
 
 
@@ -37,3 +38,16 @@ def test_pairs_that_share_a_bucket_are_told_apart():
     code = np.array([9, 4, 9, 7, 5, 4, 9], np.uint64)
     kinds, kind, often = _numbered(code, np.array([1, 1, 1, 3, 3, 1, 1]), np.array([False, True, False, True]))
     assert kinds.tolist() == [4, 5, 7, 9] and kind.tolist() == [3, 0, 3, 2, 1, 0, 3] and often.tolist() == [2, 1, 1, 3]
+
+
+def test_codes_of_passages_count_once():
+    """Lines of a table give what a sort of all pairs gives: short, empty, repeated and overlapping last passages."""
+    rng = np.random.default_rng(3)
+    of = np.cumsum([0, 0, 1, 24, 25, 0, 70, 3, 24 * 700, 0])
+    code = rng.integers(0, 9, of[-1])
+    code[-40:] = 7
+    begin, _, _ = passages(of, 24, 24)
+    number = np.searchsorted(begin, np.arange(len(code)), side="right") - 1
+    want = np.unique(number * 9 + code) % 9
+    assert np.array_equal(np.bincount(_once(code, begin, 24), minlength=9), np.bincount(want, minlength=9))
+    assert len(_once(np.zeros(0, np.int64), np.zeros(0, np.int64), 24)) == 0
