@@ -16,6 +16,9 @@ from ledgerline.llm.arrays import arrow_schema, flat, hash64, mapped, mix
 #: How SentencePiece writes a space inside a piece.
 SPACE_MARK = "▁"
 
+#: Ids that are decoded at a time, about; a longer row is decoded by itself.
+DECODE_IDS = 1 << 19
+
 
 @dataclass(frozen=True)
 class Sampling:
@@ -68,25 +71,46 @@ class Lattice:
         self.surface = [model.id_to_piece(i).replace(SPACE_MARK, " ").encode() for i in range(len(model))]
         for b, i in enumerate(self.bytes):
             self.surface[i] = bytes([b])
+        self.content = np.frombuffer(b"".join(self.surface), np.uint8)
+        self.length = np.array([len(t) for t in self.surface], np.int64)
+        self.place = np.cumsum(self.length) - self.length
         self.width = max(map(len, text))
-        self.tables = []
+        self.tables, self.nodes = [], []  # pieces; pieces and beginnings of longer ones
         for n in range(1, self.width + 1):
-            own = [k for k, t in enumerate(text) if len(t) == n]
-            codes = np.array([[ord(c) for c in text[k]] for k in own], np.uint64).reshape(len(own), n)
-            value = np.zeros(len(own), np.uint64)
+            own = {t: k for k, t in enumerate(text) if len(t) == n}
+            begins = {t[:n] for t in text if len(t) > n}
+            names = [*own, *sorted(begins - own.keys())]
+            codes = np.array([[ord(c) for c in t] for t in names], np.uint64).reshape(len(names), n)
+            value = np.zeros(len(names), np.uint64)
             for c in range(n):
                 value = _roll(value, codes[:, c])
+            at = list(own.values())
+            number, weight = np.full(len(names), -1, np.int32), np.zeros(len(names))
+            number[: len(at)], weight[: len(at)] = [ids[k] for k in at], np.exp(alpha * score[at])
+            order = np.argsort(value[: len(at)])
+            self.tables.append((value[: len(at)][order], number[: len(at)][order], weight[: len(at)][order]))
             order = np.argsort(value)
-            self.tables.append((value[order], np.array([ids[k] for k in own], np.int32)[order], np.exp(alpha * score[own])[order]))
-
-    def find(self, value: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Piece ids (-1: none) and weights of strings of n code points, by hash."""
-        known, ids, weight = self.tables[n - 1]
+            self.nodes.append((value[order], number[order], weight[order], np.array([t in begins for t in names], bool)[order]))
+
+    def spelt(self, ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
+        """The texts that lists of ids spell, without the dummy space. Raises on bytes that are not UTF-8."""
+        size = self.length[ids]
+        end = np.concatenate(([0], np.cumsum(size)))
+        content = self.content[np.repeat(self.place[ids] - end[:-1], size) + np.arange(end[-1])]
+        at, filled = end[bounds], np.diff(bounds) > 0
+        stay = np.ones(len(content), bool)
+        stay[at[:-1][filled]] = False
+        at = at - np.concatenate(([0], np.cumsum(filled)))
+        return pa.Array.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(content[stay])]).cast(pa.large_string())
+
+    def find(self, value: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Piece ids (-1: none) and weights of strings of n code points, by hash, and whether longer pieces begin so."""
+        known, ids, weight, begins = self.nodes[n - 1]
         if not len(known):
-            return np.full(len(value), -1, np.int32), np.zeros(len(value))
+            return np.full(len(value), -1, np.int32), np.zeros(len(value)), np.zeros(len(value), bool)
         at = np.minimum(np.searchsorted(known, value), len(known) - 1)
         hit = known[at] == value
-        return np.where(hit, ids[at], -1), np.where(hit, weight[at], 0.0)
+        return np.where(hit, ids[at], -1), np.where(hit, weight[at], 0.0), hit & begins[at]
 
 
 def _roll(value: np.ndarray, code: np.ndarray) -> np.ndarray:
@@ -143,38 +167,63 @@ def sample(texts: pa.Array, seeds: np.ndarray, model: Lattice) -> tuple[np.ndarr
     points = code[np.repeat(word[one] - pool[:-1], length) + np.arange(pool[-1])]
     ends = np.repeat(pool[1:], length)
     total = len(points)
-    # all edges of the lattice: piece of w code points that ends behind position i
-    value = np.zeros(total, np.uint64)
-    ids = np.full((model.width, total), -1, np.int32)
-    weight = np.zeros((model.width, total))
+    # all edges of the lattice, by the position that they end at, then by width; a string that begins no piece is followed no more
+    found = []
+    least = model.tables[0][2].min() if len(model.tables[0][2]) else 1.0
+    live, value = np.arange(total), np.zeros(total, np.uint64)
     for w in range(1, model.width + 1):
-        live = np.flatnonzero(np.arange(total) + w <= ends)
+        value = _roll(value, points[live + w - 1])
+        piece, weight, begins = model.find(value, w)
+        if w == 1:  # no piece: byte pieces, one way
+            found.append((live, piece, np.where(piece < 0, least, weight)))
+        else:
+            hit = np.flatnonzero(piece >= 0)
+            found.append((live[hit] + w - 1, piece[hit], weight[hit]))
+        on = np.flatnonzero(begins & (live + w < ends[live]))
+        live, value = live[on], value[on]
         if not len(live):
             break
-        value[live] = _roll(value[live], points[live + w - 1])
-        ids[w - 1, live + w - 1], weight[w - 1, live + w - 1] = model.find(value[live], w)
-    lone = ids[0] < 0  # no piece: byte pieces, one way
-    weight[0, lone] = model.tables[0][2].min() if len(model.tables[0][2]) else 1.0
+    count = np.ones(total, np.int64)
+    for end, _, _ in found[1:]:
+        count[end] += 1
+    first_edge = np.cumsum(count) - count
+    edges = int(count.sum())
+    ids, width_of, log_weight = np.empty(edges, np.int32), np.empty(edges, np.int32), np.empty(edges)
+    free = first_edge.copy()
+    for w, (end, piece, weight) in enumerate(found, 1):
+        at = free[end]
+        ids[at], width_of[at], log_weight[at] = piece, w, np.log(weight)
+        free[end] += 1
+    del found, free
     # forward filtering: scaled sums of the weights of all ways to each position
     place = np.arange(total) - np.repeat(pool[:-1], length)
-    by_place = np.argsort(place, kind="stable")
+    by_place = np.lexsort((-count, place))  # positions with many edges first: those with more than k are a beginning
     edge = np.searchsorted(place[by_place], np.arange(place.max() + 2))
-    into = np.ones((model.width, total))
+    into = np.empty(edges)
     log_alpha = np.zeros(total)
     for step in range(len(edge) - 1):
         here = by_place[edge[step] : edge[step + 1]]
-        widest = min(model.width, step + 1)
-        back = np.zeros((widest, len(here)))
-        for w in range(1, widest + 1):
-            if w <= step:
-                back[w - 1] = log_alpha[here - w]
-        with np.errstate(divide="ignore"):
-            score = np.log(weight[:widest, here]) + back
-        top = score.max(0)
-        share = np.exp(score - top)
-        running = np.cumsum(share, 0)
-        log_alpha[here] = top + np.log(running[-1])  # logarithms: long words neither overflow nor vanish
-        into[:widest, here] = running / running[-1]
+        own = first_edge[here]
+        more = np.searchsorted(-count[here], -np.arange(count[here[0]]), side="left")  # how many have more than k edges
+        scores = []
+        for k, m in enumerate(more.tolist()):
+            at = own[:m] + k
+            w = width_of[at]
+            score = log_weight[at] + np.where(w <= step, log_alpha[here[:m] - w], 0.0)
+            if k:
+                top[:m] = np.maximum(top[:m], score)
+            else:
+                top = score.copy()
+            scores.append(score)
+        running = np.zeros(len(here))
+        for k, score in enumerate(scores):
+            m = len(score)
+            running[:m] += np.exp(score - top[:m])
+            into[own[:m] + k] = running[:m]
+        log_alpha[here] = top + np.log(running)  # logarithms: long words neither overflow nor vanish
+        for k, score in enumerate(scores):
+            m = len(score)
+            into[own[:m] + k] /= running[:m]
     # backward sampling for every word of the texts
     last = pool[1:][kind] - 1
     begin = pool[:-1][kind]
@@ -186,22 +235,22 @@ def sample(texts: pa.Array, seeds: np.ndarray, model: Lattice) -> tuple[np.ndarr
     while len(live):
         draw = mix(key[live] + np.uint64((turn + 1) * 0xD1B54A32D192ED03 & 0xFFFFFFFFFFFFFFFF))
         u = (draw >> np.uint64(11)) * (1.0 / (1 << 53))
-        width = np.ones(len(live), np.int64)
-        for w in range(model.width - 1):
-            width += u >= into[w, where]
-        width = np.minimum(width, where - begin[live] + 1)
-        steps.append((live, where, width))
-        where = where - width
+        drawn = first_edge[where]
+        open_ = np.flatnonzero(u >= into[drawn])
+        while len(open_):  # the last edge of a position has 1
+            drawn[open_] += 1
+            open_ = open_[u[open_] >= into[drawn[open_]]]
+        steps.append((live, where, drawn))
+        where = where - width_of[drawn]
         more = where >= begin[live]
         live, where = live[more], where[more]
         turn += 1
     owner = np.concatenate([s[0] for s in steps])
     where = np.concatenate([s[1] for s in steps])
-    width = np.concatenate([s[2] for s in steps])
+    drawn = np.concatenate([s[2] for s in steps])
     order = np.argsort(word[owner] + where - begin[owner], kind="stable")
-    owner, where, width = owner[order], where[order], width[order]
-    out = ids[width - 1, where]
-    return _with_bytes(out, points[where], doc[owner], model, len(bounds) - 1)
+    owner, where, drawn = owner[order], where[order], drawn[order]
+    return _with_bytes(ids[drawn], points[where], doc[owner], model, len(bounds) - 1)
 
 
 def _distinct(code: np.ndarray, word: np.ndarray, word_end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -262,18 +311,21 @@ def decode_pieces(rows: DataFrame, model_path: str, key: str = "doc_id", ids: st
 
     def run(batches):
         model = lattice(model_path, 0.0)
-        for batch in batches:
-            texts, count, crc = [], [], []
-            for own in batch.column("ids"):
-                own = own.values.to_numpy(zero_copy_only=False) if own.is_valid else np.zeros(0, np.int32)
-                spelt = b"".join([model.surface[i] for i in own.tolist()])
-                texts.append(spelt[1:].decode("utf-8") if len(own) else "")
-                count.append(len(own))
-                crc.append(zlib.crc32(own.astype("<u4").tobytes()))
-            decoded = pa.array(texts, pa.string())
-            out = [batch.column("key"), decoded, pa.array(count, pa.int64()), pa.array(crc, pa.int64())]
-            same = pa.compute.equal(decoded, batch.column("text").cast(pa.string()))
-            yield pa.RecordBatch.from_arrays([*out, same, batch.column("ids")], schema=kinds)
+        for whole in batches:
+            sizes = pa.compute.fill_null(pa.compute.list_value_length(whole.column("ids")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            total, start = np.cumsum(sizes), 0
+            while start < whole.num_rows:
+                end = max(start + 1, int(np.searchsorted(total, (total[start - 1] if start else 0) + DECODE_IDS, side="right")))
+                batch, size = whole.slice(start, end - start), sizes[start:end]
+                own, start = batch.column("ids"), end
+                bounds = np.concatenate(([0], np.cumsum(size)))
+                flat_ids = own.flatten().to_numpy(zero_copy_only=False).astype("<u4")
+                raw = flat_ids.tobytes()
+                crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+                decoded = model.spelt(flat_ids, bounds).cast(pa.string())
+                out = [batch.column("key"), decoded, pa.array(size, pa.int64()), pa.array(crc, pa.int64())]
+                same = pa.compute.equal(decoded, batch.column("text").cast(pa.string()))
+                yield pa.RecordBatch.from_arrays([*out, same, own], schema=kinds)
 
     out = rows.select(F.col(key).alias("key"), F.col(ids).alias("ids"), text.alias("text")).mapInArrow(run, schema)
     named = out.select(F.col("key").alias(key), "decoded", "n_pieces", "ids_crc32", F.col("ids").alias(ids), F.col("same").alias("lossless"))

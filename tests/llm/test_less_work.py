@@ -7,6 +7,7 @@ import pyarrow as pa
 from ledgerline.llm import encoder as encoding
 from ledgerline.llm.encoder import Encoder
 from ledgerline.llm.latent import _once, passages
+from ledgerline.llm.pieces import lattice, sample
 from ledgerline.llm.repair import _numbered
 
 
@@ -51,3 +52,23 @@ def test_codes_of_passages_count_once():
     want = np.unique(number * 9 + code) % 9
     assert np.array_equal(np.bincount(_once(code, begin, 24), minlength=9), np.bincount(want, minlength=9))
     assert len(_once(np.zeros(0, np.int64), np.zeros(0, np.int64), 24)) == 0
+
+
+def test_lattice_asks_only_for_beginnings_of_pieces():
+    """Strings that begin no piece are not looked up at greater widths, and lists of ids spell the texts at once."""
+    own = lattice(public_tokenizers.path("piece_bpe_32k.model"), 0.5)
+    asked, plain = [], own.find
+    own.find = lambda value, n: (asked.append(len(value)), plain(value, n))[1]
+    texts = ["qzxjvkqw " * 300, None, "", " ", "▁▁ x", "日本 é\U0001f600  \n\n  ab", "x" * 3000, "the " * 50 + "\0", " lead", "trail  "]
+    try:
+        ids, bounds = sample(pa.array([*texts, " ".join("qzxjvkqw"[k:] + str(k) * 9 for k in range(8))]), np.arange(11, dtype=np.uint64), own)
+    finally:
+        del own.find
+    assert sum(asked) < 0.5 * own.width * asked[0]
+    assert own.spelt(ids, bounds).to_pylist()[:10] == [t or "" for t in texts]
+    crossed = [own.bytes[b] for b in "é".encode()]
+    try:
+        own.spelt(np.array([own.bytes[32], *crossed[:1]]), np.array([0, 2]))
+        raise AssertionError("half a character was decoded")
+    except pa.ArrowInvalid:
+        pass
