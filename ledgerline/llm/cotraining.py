@@ -8,9 +8,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerline.llm.arrays import arrow_schema, slices
 from ledgerline.llm.store import scratch, stored
@@ -128,13 +129,16 @@ def telling_terms(rows: DataFrame, p: CoTraining) -> np.ndarray:
     return np.array(sorted(found), np.int64).view(np.uint64)
 
 
-def _fit(rows: DataFrame, view: str, size: int, p: CoTraining) -> Head:
-    """rows: (view, goal, weight)."""
-    count = rows.count()
-    whole = rows.coalesce(count // FIT_ROWS + 1).withColumn("names", F.transform(view, lambda k: k.cast("string")))
-    vectors = CountVectorizerModel.from_vocabulary([str(k) for k in range(size)], inputCol="names", outputCol="features", binary=True)
-    model = LogisticRegression(labelCol="goal", weightCol="weight", maxIter=p.iterations, regParam=p.penalty, standardization=False).fit(
-        vectors.transform(whole).select("features", "goal", "weight")
+def _vector(numbers: Column, size: int) -> Column:
+    """Sorted, distinct feature numbers in the form in which Parquet holds a sparse vector of ones, and is read as one."""
+    ones = F.array_repeat(F.lit(1.0), F.size(numbers))
+    return F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"), numbers.alias("indices"), ones.alias("values"))
+
+
+def _fit(rows: DataFrame, view: str, count: int, p: CoTraining) -> Head:
+    """rows: (view, goal, weight), count of them."""
+    model = LogisticRegression(featuresCol=view, labelCol="goal", weightCol="weight", maxIter=p.iterations, regParam=p.penalty, standardization=False).fit(
+        rows.coalesce(count // FIT_ROWS + 1)
     )
     return Head(view, model.coefficients.toArray(), float(model.intercept))
 
@@ -151,7 +155,7 @@ def _logits(head: Head) -> Column:
             out.append(head.logits(part.flatten().to_numpy(), of, len(part)))
         return pa.array(np.concatenate(out) if out else np.zeros(0))
 
-    return run(head.view)
+    return run(F.unwrap_udt("words")["indices"] if head.view == "words" else F.col("marks"))
 
 
 def _platt(rows: list[tuple[float, float]]) -> tuple[float, float]:
@@ -243,23 +247,32 @@ def co_train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     views = docs.select(F.col(key).alias("_key"), numbered(docs, text, vocabulary, p.page_features).alias("v")).select("_key", "v.*")
     joined = views.join(known, F.col("_key") == F.col("key"), "left").withColumn("part", F.coalesce("part", F.lit("pool")))
     folder = scratch(spark, "views")
-    joined.where("part <> 'spare'").select("words", "page", "low", "toxic", "part").write.partitionBy("part").parquet(folder)
-    sample = spark.read.schema("words array<int>, page array<int>, low double, toxic double, part string").parquet(folder)
+    page = F.array_sort(F.array_distinct("page"))  # two of a page's marks may share a number
+    both = [_vector(F.col("words"), max(1, len(vocabulary))).alias("words"), _vector(page, p.page_features).alias("page"), F.col("page").alias("marks")]
+    joined.where("part <> 'spare'").select(*both, "low", "toxic", "part").write.partitionBy("part").parquet(folder)
+    kinds = StructType().add("words", VectorUDT()).add("page", VectorUDT())
+    kinds = StructType([*kinds, *StructType.fromDDL("marks array<int>, low double, toxic double, part string")])
+    sample = spark.read.schema(kinds).parquet(folder)
     train, fold, pool = (sample.where(F.col("part") == of) for of in ("train", "fold", "pool"))
-    size = {"words": max(1, len(vocabulary)), "page": p.page_features}
 
-    def head(view: str, goal: str, extra: DataFrame | None) -> tuple[Head, list] | None:
+    def goals(rows: DataFrame, goal: str) -> dict[float, int]:
+        return {r[0]: r[1] for r in rows.groupBy(goal).count().collect() if r[0] is not None}  # two kinds at most
+
+    known_goals = {goal: goals(train, goal) for goal in ("low", "toxic")}
+
+    def head(view: str, goal: str, extra: tuple[DataFrame, dict[float, int]] | None) -> tuple[Head, list] | None:
         rows = train.where(F.col(goal).isNotNull()).select(view, F.col(goal).alias("goal"), F.lit(1.0).alias("weight"))
-        rows = rows if extra is None else rows.unionByName(extra)
-        if rows.select("goal").distinct().count() < 2:
+        told, more = extra or (None, {})
+        rows = rows if told is None else rows.unionByName(told)
+        if len(known_goals[goal].keys() | more.keys()) < 2:
             return None
-        fitted = _fit(rows, view, size[view], p)
+        fitted = _fit(rows, view, sum(known_goals[goal].values()) + sum(more.values()), p)
         marks = fold.where(F.col(goal).isNotNull()).select(_logits(fitted).alias("x"), goal)
         marks = [(r[0], r[1]) for r in marks.collect()]  # a fifth of labelled_rows
         slope, base = _platt(marks) if marks else (1.0, 0.0)
         return Head(view, fitted.weights, fitted.shift, slope, base), marks
 
-    def sure(found: tuple[Head, list], other: str) -> DataFrame | None:
+    def sure(found: tuple[Head, list], other: str) -> tuple[DataFrame, dict[float, int]] | None:
         own, marks = found
         proven = []
         for says in (0.0, 1.0):
@@ -271,8 +284,9 @@ def co_train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
         q = 1 / (1 + F.exp(-F.lit(own.slope) * _logits(own) - F.lit(own.base)))
         says = F.when(F.col("q") >= p.sure, 1.0).when(F.col("q") <= 1 - p.sure, 0.0)
         told = pool.select(other, q.alias("q")).withColumn("goal", says).where(F.col("goal").isin(proven)).select(other, "goal")
-        weight = min(1.0, train.where("low is not null").count() / max(1, told.count()))
-        return told.withColumn("weight", F.lit(weight))
+        count = goals(told, "goal")
+        weight = min(1.0, sum(known_goals["low"].values()) / max(1, sum(count.values())))
+        return told.withColumn("weight", F.lit(weight)), count
 
     toxic = head("words", "toxic", None)
     to_word = to_page = None

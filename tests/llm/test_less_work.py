@@ -4,7 +4,11 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 
+from pyspark.ml.linalg import VectorUDT
+
+from ledgerline.llm import cotraining
 from ledgerline.llm import encoder as encoding
+from ledgerline.llm.cotraining import CoTraining, co_train
 from ledgerline.llm.encoder import Encoder
 from ledgerline.llm.latent import _once, passages
 from ledgerline.llm.pieces import lattice, sample
@@ -72,3 +76,20 @@ def test_lattice_asks_only_for_beginnings_of_pieces():
         raise AssertionError("half a character was decoded")
     except pa.ArrowInvalid:
         pass
+
+
+def test_fits_read_stored_sparse_vectors(spark, monkeypatch):
+    """Feature numbers are not turned into strings and back for every pass of every fit; a row's vector has each number once."""
+    seen, plain = [], cotraining._fit
+    monkeypatch.setattr(cotraining, "_fit", lambda rows, view, *rest: (seen.append((rows, view, rest)), plain(rows, view, *rest))[1])
+    rows = [(k, " ".join(f"{'bad' if k % 3 == 0 else 'good'}{c} %%" for c in "abcdefgh"), "en", "s", 50) for k in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(k, int(k % 3 > 0), 0) for k in range(0, 90, 2)], "doc_id long, quality int, toxic int")
+    fitted = co_train(docs, labels, p=CoTraining(rounds=1, proof=2, sure=0.6, least_docs=2, evidence=1.0, page_features=16, iterations=5))
+    assert set(fitted.heads) == {"word", "page"} and len(seen) == 4
+    for df, view, rest in seen:
+        assert isinstance(df.schema[view].dataType, VectorUDT)
+        assert "cast" not in df._jdf.queryExecution().optimizedPlan().toString().lower()
+        found = [r[0] for r in df.select(view).collect()]
+        assert rest[0] == len(found) and all((np.diff(v.indices) > 0).all() and (v.values == 1).all() for v in found)
+        assert {v.size for v in found} == {16 if view == "page" else len(fitted.vocabulary)}
