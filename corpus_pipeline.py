@@ -43,8 +43,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The sampled piece ids of each document, with a digest and whether they decode to the text."""
-    decoded = decode_pieces(encode_sampled(docs, PIECES), PIECES, original="text")
+    """The sampled piece ids of each document, with a digest and whether they decode to the text. The ids are stored between the
+    two passes: in one pass each task would need two Python workers, which live on with their tables."""
+    decoded = decode_pieces(stored(encode_sampled(docs, PIECES), "encoded"), PIECES, original="text")
     return decoded.select("doc_id", "ids", "n_pieces", "ids_crc32", F.length("decoded").alias("n_chars"), "lossless")
 
 

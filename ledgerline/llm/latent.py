@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from ledgerline.llm.arrays import LOWER, arrow_schema, flat, hash64, mapped, slices, words
 from ledgerline.llm.store import stored
 
-#: Vectors of one word that are added at a time.
-PIECE = 8
+#: Vectors of one word that are added at a time; sums of them that a task holds at a time, about; bytes of codes that it reads at a time.
+PIECE, HELD_SUMS, CODE_BYTES = 8, 1 << 13, 2 << 20
 
 
 @dataclass(frozen=True)
@@ -89,7 +89,7 @@ def document_frequencies(codes: DataFrame, p: Latent) -> tuple[np.ndarray, int]:
 
     def run(batches):
         total, count = np.zeros(p.features, np.int64), 0
-        for part in slices(batches, "codes"):
+        for part in slices(batches, "codes", CODE_BYTES):
             code, of = _read(part.column("codes"))
             begin, _, _ = passages(of, p.whole, p.whole)
             total += np.bincount(_once(code, begin, p.whole), minlength=p.features)
@@ -163,15 +163,16 @@ def _gathered(codes: DataFrame, table: np.ndarray, weight: np.ndarray | None, p:
     def run(batches):
         table = shared.value
         total = np.zeros((lines, table.shape[1]), np.float32)
-        for part in slices(batches, "codes"):
+        for part in slices(batches, "codes", CODE_BYTES):
             code, of = _read(part.column("codes"))
             begin, end, _ = passages(of, p.whole, p.whole)
             if not len(begin):
                 continue
-            mapped_to = _vectors(code, begin, end, table)
             if weight is None:
+                mapped_to = _vectors(code, begin, end, table)
                 total += mapped_to.T @ mapped_to
                 continue
+            mapped_to = _vectors(code, np.append(begin, 0), np.append(end, 0), table)  # a line of zeros at the end
             # each word adds its passage's vector; the last passage of a text may overlap the one before
             size = end - begin
             word = code[np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())]
@@ -182,12 +183,10 @@ def _gathered(codes: DataFrame, table: np.ndarray, weight: np.ndarray | None, p:
             run = np.diff(np.append(cut, len(word)))
             pieces = -(-run // PIECE)
             first = np.cumsum(pieces) - pieces
-            # every piece has PIECE lines: those that a word's last piece lacks are a line of zeros
+            # every piece has PIECE lines: those that a word's last piece lacks are the line of zeros
             adds = np.full(PIECE * int(pieces.sum()), len(begin))
             adds[np.arange(len(word)) + np.repeat(PIECE * first - cut, run)] = owner
-            a = np.arange(0, len(adds), PIECE)
-            sums = _vectors(adds, a, a + PIECE, np.append(mapped_to, np.zeros((1, mapped_to.shape[1]), mapped_to.dtype), axis=0))
-            total[word[cut]] += np.add.reduceat(sums, first, axis=0)
+            _add(total, word[cut], first, adds, mapped_to)
         used = np.flatnonzero(total.any(1))
         values = pa.FixedSizeListArray.from_arrays(pa.array(total[used].reshape(-1)), total.shape[1]).cast(pa.list_(pa.float32()))
         yield pa.RecordBatch.from_arrays([pa.array(used), values], names=["line", "numbers"])
@@ -200,6 +199,18 @@ def _gathered(codes: DataFrame, table: np.ndarray, weight: np.ndarray | None, p:
     return out if weight is None else weight[:, None] * out
 
 
+def _add(total: np.ndarray, word: np.ndarray, first: np.ndarray, adds: np.ndarray, lines: np.ndarray) -> None:
+    """Add to each word's line of total the lines that its pieces name; first: the first piece of each word. Some words at a
+    time, so that the sums of all pieces of a slice are never held at once."""
+    ends = np.append(first[1:], len(adds) // PIECE)
+    lo = 0
+    while lo < len(word):
+        hi = max(lo + 1, int(np.searchsorted(ends, first[lo] + HELD_SUMS, side="right")))
+        a = PIECE * np.arange(first[lo], ends[hi - 1])
+        total[word[lo:hi]] += np.add.reduceat(_vectors(adds, a, a + PIECE, lines), first[lo:hi] - first[lo], axis=0)
+        lo = hi
+
+
 @dataclass(frozen=True)
 class Anchors:
     """Words of short items, one of which any copy must have: (code, item, need) by code, with the number of the item's words

@@ -6,7 +6,7 @@ import pyarrow as pa
 
 from pyspark.ml.linalg import VectorUDT
 
-from ledgerline.llm import cotraining
+from ledgerline.llm import arrays, cotraining, latent
 from ledgerline.llm import encoder as encoding
 from ledgerline.llm.cotraining import CoTraining, co_train
 from ledgerline.llm.encoder import Encoder
@@ -93,3 +93,28 @@ def test_fits_read_stored_sparse_vectors(spark, monkeypatch):
         found = [r[0] for r in df.select(view).collect()]
         assert rest[0] == len(found) and all((np.diff(v.indices) > 0).all() and (v.values == 1).all() for v in found)
         assert {v.size for v in found} == {16 if view == "page" else len(fitted.vocabulary)}
+
+
+def test_sums_of_words_are_held_in_parts(monkeypatch):
+    """Lines are added word by word as before, without the sums of all pieces at once; a word with many pieces is not cut."""
+    rng = np.random.default_rng(5)
+    lines = np.append(rng.integers(-9, 9, (50, 4)), np.zeros((1, 4)), axis=0).astype(np.float32)
+    pieces = np.array([1, 3, 40, 1, 1, 2, 7])
+    first, word = np.cumsum(pieces) - pieces, np.array([0, 2, 3, 5, 6, 8, 9])
+    adds = rng.integers(0, 51, latent.PIECE * pieces.sum())
+    want = np.ones((11, 4), np.float32)
+    np.add.at(want, np.repeat(word, latent.PIECE * pieces), lines[adds])
+    sizes, plain, got = [], latent._vectors, np.ones((11, 4), np.float32)
+    monkeypatch.setattr(latent, "HELD_SUMS", 5)
+    monkeypatch.setattr(latent, "_vectors", lambda *a: (sizes.append(len(a[1])), plain(*a))[1])
+    latent._add(got, word, first, adds, lines)
+    assert np.array_equal(got, want) and sizes == [4, 40, 4, 7]
+
+
+def test_workers_keep_small_tables_of_powers(monkeypatch):
+    """Small slices leave small tables in a worker; longer texts still get the whole table."""
+    monkeypatch.setattr(arrays, "_powers", {})
+    data = np.random.default_rng(1).integers(0, 256, 3_000_000).astype(np.uint8)
+    code = arrays.hash64(data[:1000], np.array([0, 10]), np.array([1000, 30]))
+    assert sum(t.nbytes for t in arrays._powers.values()) < 1 << 16
+    assert arrays.hash64(data, np.array([0, 10, 2_999_000]), np.array([1000, 30, 3_000_000]))[:2].tolist() == code.tolist()
