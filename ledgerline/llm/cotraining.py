@@ -19,6 +19,8 @@ from ledgerline.llm.views import Vocabulary, distinct_pairs, page_terms, word_te
 
 #: Rows of a fit that one task holds, about; bytes of text, and rows of stored numbers, that a task works on at a time.
 FIT_ROWS, VIEW_BYTES, LOGIT_ROWS = 20_000, 128 << 10, 1_000
+#: MB of rows that a fit keeps side by side: larger arrays fill whole regions of the executor's heap, which then grows to its limit.
+FIT_BLOCK_MB = 0.25
 
 
 @dataclass(frozen=True)
@@ -137,14 +139,15 @@ def _vector(numbers: Column, size: int) -> Column:
 
 def _fit(rows: DataFrame, view: str, count: int, p: CoTraining) -> Head:
     """rows: (view, goal, weight), count of them."""
-    model = LogisticRegression(featuresCol=view, labelCol="goal", weightCol="weight", maxIter=p.iterations, regParam=p.penalty, standardization=False).fit(
-        rows.coalesce(count // FIT_ROWS + 1)
-    )
+    model = LogisticRegression(
+        featuresCol=view, labelCol="goal", weightCol="weight", maxIter=p.iterations, regParam=p.penalty, standardization=False, maxBlockSizeInMB=FIT_BLOCK_MB
+    ).fit(rows.coalesce(count // FIT_ROWS + 1))
     return Head(view, model.coefficients.toArray(), float(model.intercept))
 
 
 def _logits(head: Head) -> Column:
-    """The head's logits of stored numbers."""
+    """The head's logits of stored numbers. The function is marked as not deterministic, so that a filter by its result is not
+    pushed below it: a second run over the rows would need a second Python worker for each task."""
 
     @F.arrow_udf("double")
     def run(numbers: pa.Array) -> pa.Array:
@@ -155,7 +158,7 @@ def _logits(head: Head) -> Column:
             out.append(head.logits(part.flatten().to_numpy(), of, len(part)))
         return pa.array(np.concatenate(out) if out else np.zeros(0))
 
-    return run(F.unwrap_udt("words")["indices"] if head.view == "words" else F.col("marks"))
+    return run.asNondeterministic()(F.unwrap_udt("words")["indices"] if head.view == "words" else F.col("marks"))
 
 
 def _platt(rows: list[tuple[float, float]]) -> tuple[float, float]:

@@ -95,6 +95,19 @@ def test_fits_read_stored_sparse_vectors(spark, monkeypatch):
         assert {v.size for v in found} == {16 if view == "page" else len(fitted.vocabulary)}
 
 
+def test_a_fit_has_one_python_function(spark, monkeypatch):
+    """A filter by the scores does not score once more, in a second worker of each task; arrays of a fit stay small."""
+    plans, blocks, plain, real = [], [], cotraining._fit, cotraining.LogisticRegression
+    monkeypatch.setattr(cotraining, "LogisticRegression", lambda **k: (blocks.append(k.get("maxBlockSizeInMB", 1)), real(**k))[1])
+    monkeypatch.setattr(cotraining, "_fit", lambda rows, *rest: (plans.append(rows._jdf.queryExecution().optimizedPlan().toString()), plain(rows, *rest))[1])
+    rows = [(k, " ".join(f"{'bad' if k % 3 == 0 else 'good'}{c} %%" for c in "abcdefgh"), "en", "s", 50) for k in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(k, int(k % 3 > 0), 0) for k in range(0, 90, 2)], "doc_id long, quality int, toxic int")
+    co_train(docs, labels, p=CoTraining(rounds=1, proof=2, sure=0.6, least_docs=2, evidence=1.0, iterations=5))
+    assert [p.count("ArrowEvalPython") for p in plans] == [0, 0, 1, 1]
+    assert max(blocks) <= 0.5  # an array of half a MB has a region of the heap to itself
+
+
 def test_sums_of_words_are_held_in_parts(monkeypatch):
     """Lines are added word by word as before, without the sums of all pieces at once; a word with many pieces is not cut."""
     rng = np.random.default_rng(5)
