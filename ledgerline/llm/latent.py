@@ -16,6 +16,8 @@ from ledgerline.llm.store import stored
 
 #: Vectors of one word that are added at a time; sums of them that a task holds at a time, about; bytes of codes that it reads at a time.
 PIECE, HELD_SUMS, CODE_BYTES = 8, 1 << 13, 2 << 20
+#: Lines of a matrix that go through a shuffle as one value.
+LINES = 16
 
 
 @dataclass(frozen=True)
@@ -46,15 +48,25 @@ class Latent:
     block: int = 1000
 
 
+def hashed(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of whole texts, A-Z lower-cased, and the bounds of each text's."""
+    data, bounds = flat(texts)
+    data = LOWER[data]
+    starts, ends, of = words(data, bounds)
+    return hash64(data, starts, ends), of
+
+
+def features_of(value: np.ndarray, p: Latent) -> np.ndarray:
+    return (value >> np.uint64(32)).astype(np.uint32) % np.uint32(p.features)
+
+
 def coded(rows: DataFrame, key: str, text: str, p: Latent) -> DataFrame:
     """(key, codes): the hashed lower-cased words of each whole text as little-endian 16-bit integers."""
     kind = dict(rows.dtypes)[key]
 
     def run(part):
-        data, bounds = flat(part.column("text"))
-        data = LOWER[data]
-        starts, ends, of = words(data, bounds)
-        code = (hash64(data, starts, ends) >> np.uint64(32)).astype(np.uint32) % np.uint32(p.features)
+        value, of = hashed(part.column("text"))
+        code = features_of(value, p)
         raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(of) - 1, [None, pa.py_buffer(2 * of.astype(np.int64)), pa.py_buffer(code.astype("<u2"))])
         return {"key": part.column("key"), "codes": raw.cast(pa.binary())}
 
@@ -187,16 +199,26 @@ def _gathered(codes: DataFrame, table: np.ndarray, weight: np.ndarray | None, p:
             adds = np.full(PIECE * int(pieces.sum()), len(begin))
             adds[np.arange(len(word)) + np.repeat(PIECE * first - cut, run)] = owner
             _add(total, word[cut], first, adds, mapped_to)
+        total = np.pad(total, ((0, -lines % LINES), (0, 0))).reshape(-1, LINES * table.shape[1])
         used = np.flatnonzero(total.any(1))
-        values = pa.FixedSizeListArray.from_arrays(pa.array(total[used].reshape(-1)), total.shape[1]).cast(pa.list_(pa.float32()))
-        yield pa.RecordBatch.from_arrays([pa.array(used), values], names=["line", "numbers"])
-
-    parts = codes.mapInArrow(run, "line long, numbers array<float>")
-    sums = parts.groupBy("line").agg(*[F.sum(F.col("numbers")[i]).alias(f"c{i}") for i in range(table.shape[1])])
-    out = np.zeros((lines, table.shape[1]))
-    for r in sums.collect():
-        out[r[0]] = r[1:]
-    return out if weight is None else weight[:, None] * out
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array([x.tobytes() for x in total[used]], pa.binary())], names=["part", "numbers"])
+
+    def add(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, numbers in zip(batch.column("part").to_pylist(), batch.column("numbers"), strict=True):
+                own = np.frombuffer(numbers.as_buffer(), np.float32)
+                sums[part] = sums[part] + own if part in sums else own.astype(float)
+        yield pa.RecordBatch.from_arrays([pa.array([*sums], pa.int64()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["part", "numbers"])
+
+    parts = codes.mapInArrow(run, "part long, numbers binary").repartition("part").mapInArrow(add, "part long, numbers binary")
+    out = np.zeros((-(-lines // LINES), LINES, table.shape[1]))
+    for r in parts.collect():  # features x (rank + extra) numbers, as bytes
+        out[r[0]] = np.frombuffer(r[1]).reshape(LINES, -1)
+    out = out.reshape(-1, table.shape[1])[:lines]
+    if weight is not None:
+        out *= weight[:, None]
+    return out
 
 
 def _add(total: np.ndarray, word: np.ndarray, first: np.ndarray, adds: np.ndarray, lines: np.ndarray) -> None:
@@ -261,11 +283,15 @@ class Anchors:
         return tuple(np.concatenate(out, axis=1))
 
 
-def candidates(codes: DataFrame, items: list[tuple[int, np.ndarray]], latent: np.ndarray, count: np.ndarray, p: Latent) -> DataFrame:
-    """(key, item, begin, end) of passages with a cosine of at least p.nearest to a passage of an item, and of the surroundings
-    of short items' anchors; neighbouring passages of one document that are near the same item are one stretch. count: passages
-    that have each feature."""
-    items = [(i, c) for i, c in items if len(c)]
+def found_items(texts: DataFrame, items: list[tuple[int, np.ndarray]], latent: np.ndarray, count: np.ndarray, p: Latent) -> DataFrame:
+    """(key, item, overlap) of the stretches that pass the alignment and answer checks. items: hashes of each item's words. texts: (key, text).
+
+    Candidates are passages with a cosine of at least p.nearest to a passage of an item, and surroundings of short items' anchors;
+    neighbouring passages of one document that are near the same item are one stretch, and it is aligned where it is found, so that
+    no text is shuffled. count: passages that have each feature."""
+    value_of = [(i, v) for i, v in items if len(v)]
+    goals = [v.tolist() for _, v in sorted(value_of, key=lambda x: len(x[1]) < p.passage + p.stride - 1)]  # short items last, as below
+    items = [(i, features_of(v, p).astype(np.int64)) for i, v in value_of]
     short = [(i, c) for i, c in items if len(c) < p.passage + p.stride - 1]
     items = [(i, c) for i, c in items if len(c) >= p.passage + p.stride - 1]
     anchors = Anchors.of([c for _, c in short], count, p)
@@ -280,15 +306,16 @@ def candidates(codes: DataFrame, items: list[tuple[int, np.ndarray]], latent: np
     goal = np.concatenate(goal) if goal else np.zeros((0, latent.shape[1]), np.float32)
     goal /= np.maximum(np.linalg.norm(goal, axis=1, keepdims=True), 1e-9)
     number = np.array([i for i, _ in items + short], np.int64)
-    shared = codes.sparkSession.sparkContext.broadcast((latent, goal, first, number, owns, anchors))  # one block of items
-    kind = dict(codes.dtypes)["key"]
-    schema = f"key {kind}, item long, begin long, end long"
+    shared = texts.sparkSession.sparkContext.broadcast((latent, goal, first, number, owns, anchors, goals))  # one block of items
+    kind = dict(texts.dtypes)["key"]
+    schema = f"key {kind}, item long, overlap double"
     kinds = arrow_schema(schema)
 
     def run(batches):
-        latent, goal, first, number, owns, anchors = shared.value
-        for part in slices(batches, "codes", 1 << 20) if len(number) else ():
-            code, of = _read(part.column("codes"))
+        latent, goal, first, number, owns, anchors, goals = shared.value
+        for part in slices(batches, "text") if len(number) else ():
+            value, of = hashed(part.column("text"))
+            code = features_of(value, p).astype(np.int64)
             begin, end, doc = passages(of, p.passage, p.stride)
             item, of_item, from_, to = anchors.stretches(code, of)
             hits = [np.stack([item + len(first), of_item, from_, to])]
@@ -312,17 +339,32 @@ def candidates(codes: DataFrame, items: list[tuple[int, np.ndarray]], latent: np
             opens = np.flatnonzero(head)
             last = np.append(opens[1:], len(c)) - 1 if len(opens) else opens
             c, owner, a, b = c[opens], owner[opens], a[opens], b[last]
+            share = np.array([overlap(goals[k], value[of[i] : of[i + 1]], x - of[i], y - of[i], p) for k, i, x, y in zip(c, owner, a, b, strict=True)], float)
+            some = np.flatnonzero(share > 0)
             yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("key").take(pa.array(owner)),
-                    pa.array(number[c], pa.int64()),
-                    pa.array(a - of[:-1][owner]),
-                    pa.array(b - of[:-1][owner]),
-                ],
-                schema=kinds,
+                [part.column("key").take(pa.array(owner[some])), pa.array(number[c[some]], pa.int64()), pa.array(share[some])], schema=kinds
             )
 
-    return codes.mapInArrow(run, schema)
+    return texts.mapInArrow(run, schema)
+
+
+def overlap(own: list[int], document: np.ndarray, begin: int, end: int, p: Latent) -> float:
+    """The largest share of the item's words that a common subsequence has within a stretch of twice its length, with room around
+    begin and end; 0 if none is enough."""
+    room, best = len(own), 0.0
+    there = document[max(0, begin - room) : end + room].tolist()
+    for at in range(0, max(1, len(there) - room), room):
+        near = there[at : at + 2 * room]
+        length = common_subsequence(own, near)
+        enough = length >= p.overlap * len(own)
+        if len(own) < p.short:
+            enough = length == len(own)
+        elif not enough and length >= p.overlap_with_answer * len(own):
+            answer = own[-p.answer_words :]
+            enough = any(near[i : i + len(answer)] == answer for i in range(len(near) - len(answer) + 1))
+        if enough:
+            best = max(best, length / len(own))
+    return best
 
 
 def common_subsequence(a: list, b: Iterable) -> int:
@@ -359,15 +401,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
         parts = max(1, -(-known.count() // p.block))
         for k in range(parts):
             mine = known.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == k)
-            block = [(r[0], np.frombuffer(r[1], "<u2").astype(np.int64)) for r in coded(mine, "item", "text", p).collect()]
-            near = candidates(codes.where("key is not null"), block, latent, count, p)
+            block = [(r[0], hashed(pa.array([r[1]], pa.string()))[0]) for r in mine.collect()]
+            texts = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).where("key is not null")
+            near = found_items(texts, block, latent, count, p)
             found = near if found is None else found.unionByName(near)
     if found is None:
         none = docs.select(F.col(key).alias("key"))
         return none.select(F.col("key").alias(key), F.array().cast("array<bigint>").alias("items"), F.lit(0.0).alias("overlap"), F.lit(False).alias("contaminated"))
-    found = stored(found, "candidates")
-    aligned = stored(_aligned(found, docs, known, key, text, p), "aligned")
-    hits = aligned.groupBy("key").agg(F.sort_array(F.collect_set("item")).alias("items"), F.max("overlap").alias("overlap"))
+    hits = stored(found, "aligned").groupBy("key").agg(F.sort_array(F.collect_set("item")).alias("items"), F.max("overlap").alias("overlap"))
     rows = codes.select("key").join(stored(hits, "hits"), "key", "left")
     return rows.select(
         F.col("key").alias(key),
@@ -376,48 +417,3 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
         F.col("items").isNotNull().alias("contaminated"),
     )
 
-
-def _aligned(found: DataFrame, docs: DataFrame, known: DataFrame, key: str, text: str, p: Latent) -> DataFrame:
-    """(key, item, overlap) of the candidates that pass the alignment and answer checks."""
-    texts = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    asked = stored(found.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("item", "begin", "end"))).alias("asked")), "asked")
-    # Always by shuffle: the documents asked for grow with the input, so a broadcast would only hold for small ones.
-    rows = texts.join(asked.hint("merge"), "key")
-    goals = known.select("item", F.col("text").alias("goal"))
-    each = rows.select("key", "text", F.explode("asked").alias("a")).select("key", "text", "a.*").join(goals, "item")
-    kind = dict(docs.dtypes)[key]
-
-    def run(part):
-        sides = []
-        for name in ("text", "goal"):
-            data, bounds = flat(part.column(name))
-            data = LOWER[data]
-            starts, ends, of = words(data, bounds)
-            sides.append((hash64(data, starts, ends), of))
-        (word, of), (goal, goal_of) = sides
-        begin, end = part.column("begin").to_numpy(), part.column("end").to_numpy()
-        share = np.zeros(len(begin))
-        for k in range(len(begin)):
-            own = goal[goal_of[k] : goal_of[k + 1]].tolist()
-            if not own:
-                continue
-            room = len(own)
-            lo, hi = max(0, begin[k] - room), min(of[k + 1] - of[k], end[k] + room)
-            there = word[of[k] + lo : of[k] + hi].tolist()
-            best = 0.0
-            for at in range(0, max(1, len(there) - room), room):
-                near = there[at : at + 2 * room]
-                length = common_subsequence(own, near)
-                enough = length >= p.overlap * len(own)
-                if len(own) < p.short:
-                    enough = length == len(own)
-                elif not enough and length >= p.overlap_with_answer * len(own):
-                    answer = own[-p.answer_words :]
-                    enough = any(near[i : i + len(answer)] == answer for i in range(len(near) - len(answer) + 1))
-                if enough:
-                    best = max(best, length / len(own))
-            share[k] = best
-        return {"key": part.column("key"), "item": part.column("item"), "overlap": share}
-
-    named = ["key", "text", "item", "begin", "end", "goal"]
-    return mapped(each, named, run, f"key {kind}, item long, overlap double").where("overlap > 0")

@@ -131,3 +131,35 @@ def test_workers_keep_small_tables_of_powers(monkeypatch):
     code = arrays.hash64(data[:1000], np.array([0, 10]), np.array([1000, 30]))
     assert sum(t.nbytes for t in arrays._powers.values()) < 1 << 16
     assert arrays.hash64(data, np.array([0, 10, 2_999_000]), np.array([1000, 30, 3_000_000]))[:2].tolist() == code.tolist()
+
+
+def test_sums_reach_the_driver_as_bytes(spark, monkeypatch):
+    """The sums of a pass come as a few values and are the sums of all tasks, whatever the number of lines."""
+    p = latent.Latent(features=100, rank=4, extra=3)
+    docs = spark.createDataFrame([(k, " ".join(f"w{k * j % 50}" for j in range(1, 60))) for k in range(40)], "doc_id long, text string")
+    codes = latent.coded(docs.repartition(5), "doc_id", "text", p)
+    a = np.zeros((0, 100))
+    for r in codes.collect():
+        code = np.frombuffer(r[1], "<u2").astype(np.int64)
+        of = np.array([0, len(code)])
+        a = np.append(a, [np.bincount(code[x:y], minlength=100) for x, y in zip(*passages(of, p.whole, p.whole)[:2])], axis=0)
+    seen, plain = [], type(codes).collect
+    monkeypatch.setattr(type(codes), "collect", lambda self: (seen.append(plain(self)), seen[-1])[1])
+    x, weight = np.random.default_rng(2).standard_normal((100, 7)), np.arange(100) / 10
+    assert np.allclose(latent._gathered(codes, x, weight, p), weight[:, None] * (a.T @ (a @ x)), rtol=1e-4, atol=1e-2)
+    assert np.allclose(latent._gathered(codes, x, None, p), (a @ x).T @ (a @ x), rtol=1e-4, atol=1e-2)
+    assert [len(rows) for rows in seen] == [7, 1] and all(isinstance(r[1], (bytes, bytearray)) for rows in seen for r in rows)
+
+
+def test_alignment_needs_no_shuffle_of_texts(spark, monkeypatch):
+    """Stretches are aligned in the task that finds them; only the keys that hold an item are joined."""
+    plans, plain = [], latent.stored
+    monkeypatch.setattr(latent, "stored", lambda df, name: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), plain(df, name))[1])
+    words = [f"v{k}" for k in range(300)]
+    item = " ".join(words[:30])
+    rows = [(k, " ".join(words[(k * 7 + j * (k + 1)) % 300] for j in range(80)) + (" " + item if k % 10 == 0 else "")) for k in range(60)]
+    docs = spark.createDataFrame([*rows, (None, item), (7, item), (90, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item), (2, None), (3, "")], "item_id long, text string")
+    got = latent.contaminated(docs, bench, p=latent.Latent(features=1024, rank=32)).where("contaminated").collect()
+    assert sorted(r["doc_id"] for r in got) == [0, 7, 7, 10, 20, 30, 40, 50] and all(r["items"] == [1] for r in got)
+    assert not any("Join" in plan for plan in plans)
