@@ -158,8 +158,8 @@ def right_factors(codes: DataFrame, weight: np.ndarray, p: Latent) -> np.ndarray
     """
     width = p.rank + p.extra
     start = np.random.default_rng(p.seed).standard_normal((p.features, width)).astype(np.float32)
-    tall = _gathered(codes, weight[:, None] * start, weight, p)
-    q, _ = np.linalg.qr(tall)
+    q, _ = np.linalg.qr(_gathered(codes, weight[:, None] * start, weight, p))
+    del start
     small = _gathered(codes, (weight[:, None] * q).astype(np.float32), None, p)
     value, turn = np.linalg.eigh((small + small.T) / 2)
     top = np.argsort(-value)[: p.rank]
