@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 
 from ledgerline.llm.arrays import arrow_schema, slices
 from ledgerline.llm.store import scratch, stored
-from ledgerline.llm.views import Vocabulary, distinct_pairs, page_terms, word_terms
+from ledgerline.llm.views import Vocabulary, distinct_pairs, page_terms, word_numbers, word_terms
 
 #: Rows of a fit that one task holds, about; bytes of text, and rows of stored numbers, that a task works on at a time.
 FIT_ROWS, VIEW_BYTES, LOGIT_ROWS = 20_000, 128 << 10, 1_000
@@ -75,9 +75,9 @@ def _viewed(columns: list[pa.Array], vocabulary: Vocabulary, page_features: int)
     batch = pa.RecordBatch.from_arrays(columns, ["text", "lang", "source", "n_chars"])
     for part in slices(iter([batch]), "text", VIEW_BYTES):
         n = part.num_rows
-        terms, of, fresh = word_terms(part.column(0))
+        words, fresh = word_numbers(part.column(0), vocabulary)
         page = page_terms(part.column(0), fresh, *(part.column(i) for i in (1, 2, 3)), page_features)
-        yield n, vocabulary.found(terms, of), (page.ravel(), np.repeat(np.arange(n), page.shape[1]))
+        yield n, words, (page.ravel(), np.repeat(np.arange(n), page.shape[1]))
     pa.default_memory_pool().release_unused()  # workers live on between stages
 
 

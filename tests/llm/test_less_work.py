@@ -13,6 +13,7 @@ from ledgerline.llm.encoder import Encoder
 from ledgerline.llm.latent import _once, passages
 from ledgerline.llm.pieces import lattice, sample
 from ledgerline.llm.repair import _numbered
+from ledgerline.llm.views import Vocabulary, word_numbers, word_terms
 
 
 def test_chunks_meet_the_library_in_long_texts(monkeypatch):
@@ -133,6 +134,21 @@ def test_workers_keep_small_tables_of_powers(monkeypatch):
     assert arrays.hash64(data, np.array([0, 10, 2_999_000]), np.array([1000, 30, 3_000_000]))[:2].tolist() == code.tolist()
 
 
+def test_distinct_words_are_looked_up_once(monkeypatch):
+    """A word that is repeated in a slice is looked up once, and every text still gets each of its features once."""
+    texts = pa.array(["Good %% bad bad", None, "", "bad Good x%$# " * 300, "é中 ü", "%%% 12", "goodness"] * 3)
+    terms, of, fresh = word_terms(texts)
+    known, asked = Vocabulary(np.unique(terms)[::2]), []
+    want = known.found(terms, of)
+    plain = Vocabulary.numbers
+    monkeypatch.setattr(Vocabulary, "numbers", lambda self, terms: (asked.append(len(terms)), plain(self, terms))[1])
+    got, new = word_numbers(texts, known)
+    assert all(np.array_equal(a, b) for a, b in zip(got, want)) and np.array_equal(new, fresh)
+    assert asked[0] == 6 * 6  # good, bad, x, é中, ü, goodness; as words and by five beginnings
+    pairs = set(zip(want[1].tolist(), known.terms[want[0]].tolist()))
+    assert pairs == {(t, x) for t, x in zip(of.tolist(), terms.tolist()) if x in set(known.terms.tolist())}
+
+
 def test_sums_reach_the_driver_as_bytes(spark, monkeypatch):
     """The sums of a pass come as a few values and are the sums of all tasks, whatever the number of lines."""
     p = latent.Latent(features=100, rank=4, extra=3)
